@@ -57,13 +57,14 @@ def keep_valid(c: Column, pattern: str) -> Column:
     return F.when(c.rlike(pattern), c)
 
 
-def list_items(c: Column) -> Column:
-    """``"A, B, and A"`` to ``[A, B]``: order kept, repeats and empty items dropped.
+def split_list(c: Column) -> Column:
+    """``"A, B, and C"`` to its items. ``"A and B"`` without a comma is one item."""
+    return F.split(F.regexp_replace(c, LIST_AND, ","), LIST_COMMA)
+
 
-    ``"A and B"`` without a comma is one item.
-    """
-    items = F.split(F.regexp_replace(c, LIST_AND, ","), LIST_COMMA)
-    return F.filter(F.array_distinct(items), lambda item: item != "")
+def list_items(c: Column) -> Column:
+    """The items of ``split_list`` in order, without repeats and empty ones."""
+    return F.filter(F.array_distinct(split_list(c)), lambda item: item != "")
 
 
 def ordinal(c: Column, codes: Mapping[str, int]) -> Column:

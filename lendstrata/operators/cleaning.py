@@ -30,10 +30,10 @@ def cast_columns(
 def multi_hot(df: DataFrame, source: str, vocabulary: Sequence[str], prefix: str = "Has_") -> DataFrame:
     """One int flag per vocabulary entry of a delimited list; the list column goes.
 
-    A NULL list gives NULL flags, an empty one zeros.
+    A NULL list gives NULL flags, an empty one zeros. Repeats and empty items make no
+    difference to membership, so the plain split is searched.
     """
-    items = text.list_items(F.col(source))
-    listed = df.withColumn("_items", items)
+    listed = df.withColumn("_items", text.split_list(F.col(source)))
     flags = {flag_name(v, prefix): F.array_contains("_items", v).cast("int") for v in vocabulary}
     return listed.withColumns(flags).drop("_items", source)
 

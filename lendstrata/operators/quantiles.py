@@ -1,14 +1,14 @@
 """Column quantiles and the inter-quartile outlier filter.
 
-Two ways to a quantile, both one aggregation over one scan for all columns:
+Two ways to a quantile, for all columns at once:
 
-* ``approx_quantiles``: mergeable sketches, one small buffer per column and task.
-* ``exact_quantiles``: value counts, combined map-side and summed per value over the
-  whole cluster; a coarse histogram locates the wanted rank and only the values of that
-  histogram cell are ranked. Takes row weights, so repeated rows need not be repeated.
+* ``approx_quantiles``: one scan with mergeable sketches, one small buffer per column and task.
+* ``exact_quantiles``: two scans. The first counts rows in a coarse histogram, which locates
+  the cell of the wanted rank; the second counts the distinct values of that cell alone.
+  Takes row weights, so repeated rows need not be repeated.
 
-Neither sorts a column, and no task or driver sees more than sketches, a histogram of
-bounded size, or the distinct values of one narrow cell.
+Neither sorts a column, both combine map-side before they shuffle, and no task or driver
+sees more than sketches, a histogram of bounded size, or the distinct values of a narrow cell.
 """
 
 from __future__ import annotations
@@ -64,11 +64,9 @@ def exact_quantiles(
     whose cumulative weight reaches ``p`` of the total. NULL and NaN do not count."""
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     numeric = df.select(w.alias("_w"), *(nan_to_null(F.col(c).cast("double")).alias(c) for c in columns))
-    counts = (
-        unpivot(numeric, ["_w"], columns, "_column", "_value")
-        .filter("_value is not null and _w > 0")
-        .groupBy("_column", "_value")
-        .agg(F.sum("_w").alias("_n"))
+    values = (
+        unpivot(numeric.filter("_w > 0"), ["_w"], columns, "_column", "_value")
+        .filter("_value is not null")
         .withColumn("_cell", _cell(F.col("_value")))
     )
 
@@ -76,20 +74,22 @@ def exact_quantiles(
     upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     wanted = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probabilities)))
     targets = (
-        counts.groupBy("_column", "_cell")
-        .agg(F.sum("_n").alias("_n"))
+        values.groupBy("_column", "_cell")
+        .agg(F.sum("_w").alias("_n"))
         .select("*", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total"))
         .withColumn("_want", F.explode(wanted))
         .withColumn("_rank", F.greatest(F.lit(1), F.ceil(F.col("_want.p") * F.col("_total"))))
         .filter("_rank <= _upto and _rank > _upto - _n")
-        .select("_column", "_cell", F.col("_want.i").alias("_i"), (F.expr("_rank - (_upto - _n)")).alias("_rank"))
+        .select("_column", "_cell", F.col("_want.i").alias("_i"), F.expr("_rank - (_upto - _n)").alias("_rank"))
     )  # one row per column and probability, hence safe to broadcast
 
     inside = Window.partitionBy("_column", "_i").orderBy("_value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     found = (
-        counts.join(F.broadcast(targets), ["_column", "_cell"])
+        values.join(F.broadcast(targets), ["_column", "_cell"])
+        .groupBy("_column", "_i", "_rank", "_value")
+        .agg(F.sum("_w").alias("_n"))
         .select("_column", "_i", "_value", "_rank", F.sum("_n").over(inside).alias("_upto"))
         .filter("_upto >= _rank")
     )

@@ -26,25 +26,20 @@ def _key_id(df: DataFrame, on: Sequence[str], like: DataFrame) -> Column:
     return F.xxhash64(*(F.col(c).cast(like.schema[c].dataType) for c in on))
 
 
-def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]]) -> list[DataFrame]:
-    """Hashes (``_key_id``) of the hot keys, one frame per key set.
+def hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[list[int]]:
+    """Hashes of the hot keys, one list per key set, from one scan of the key columns.
 
-    One scan of the key columns with a frequent-items sketch per key set and no shuffle
-    beyond one sketch per task. At most ``1 / HOT_SHARE`` keys can be hot, so each frame
-    is safe to broadcast. A wrong estimate could only change the balance, never a result.
+    Each task keeps a frequent-items sketch per key set and nothing else is shuffled. At
+    most ``1 / HOT_SHARE`` keys can be hot, so the lists are short. A wrong estimate could
+    only change the balance of a join, never its result.
     """
     k = round(1 / HOT_SHARE)
-    sketches = [
-        F.call_function("approx_top_k", _key_id(df, on, df), F.lit(k), F.lit(TRACKED_KEYS)).alias(f"_top{i}")
-        for i, on in enumerate(key_sets)
-    ]
-    summary = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches)
-    return [
-        summary.select("_rows", F.explode(f"_top{i}").alias("_top"))
-        .filter(F.col("_top.count") >= F.col("_rows") * HOT_SHARE)
-        .select(F.col("_top.item").alias("_key_id"))
-        for i in range(len(key_sets))
+    top = [
+        F.call_function("approx_top_k", _key_id(df, on, df), F.lit(k), F.lit(TRACKED_KEYS)) for on in key_sets
     ]
+    rows = F.count(F.lit(1))
+    summary = df.agg(*(F.filter(t, lambda x: x["count"] >= rows * HOT_SHARE)["item"] for t in top)).first()
+    return [list(items) for items in summary]
 
 
 def skew_join(
@@ -52,7 +47,7 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot: DataFrame | None = None,
+    hot: Sequence[int] | None = None,
     salt: str | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -60,29 +55,24 @@ def skew_join(
 
     Left rows of a hot key are spread over ``salts`` buckets and the right rows of just
     those keys are copied into each bucket; all other keys are joined as usual. The
-    result is the plain join's, row for row. ``salt`` names a column from
-    ``with_row_salt``; without it a hash of the row spreads all but identical copies.
+    result is the plain join's, row for row, and without hot keys so is the plan.
+    ``hot`` comes from ``hot_keys`` of the left side, which is otherwise called here.
+    ``salt`` names a column from ``with_row_salt``; without it a hash of the row spreads
+    all but identical copies.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how}")
     keys = list(on)
-    hot = hot_keys(left, [keys])[0] if hot is None else hot
-    flagged = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    hot = hot_keys(left, keys)[0] if hot is None else hot
+    if not hot:
+        return left.join(right, keys, how)
     spread = F.xxhash64(*left.columns) if salt is None else F.col(salt)
-
-    salted_left = (
-        left.withColumn("_key_id", _key_id(left, keys, left))
-        .join(flagged, "_key_id", "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(spread, F.lit(salts))).otherwise(0).cast("int"))
-        .drop("_key_id", "_hot")
-    )
-    buckets = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.withColumn("_key_id", _key_id(right, keys, left))
-        .join(flagged, "_key_id", "left")
-        .withColumn("_salt", F.explode(buckets))
-        .drop("_key_id", "_hot")
-    )
+    bucket = F.when(_key_id(left, keys, left).isin(hot), F.pmod(spread, F.lit(salts))).otherwise(0)
+    buckets = F.when(
+        _key_id(right, keys, left).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
+    ).otherwise(F.array(F.lit(0)))
+    salted_left = left.withColumn("_salt", bucket.cast("int"))
+    salted_right = right.withColumn("_salt", F.explode(buckets))
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 

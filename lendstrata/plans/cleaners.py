@@ -107,10 +107,16 @@ SOURCES: dict[str, SourceSpec] = {
 def clean_snapshots(bronze: DataFrame, spec: SourceSpec, audit: Observation | None = None) -> DataFrame:
     """Raw contract in, complete rows in the cleaned contract out, any number of snapshots.
 
-    With ``audit`` the action that consumes the result also reports how many rows came
-    in and how many of them each column would cost through its NULLs.
+    The action that consumes the result also counts the rows that came in; with ``audit``
+    it reports, besides, how many rows each column costs through its NULLs. Observing has
+    a second use: the test for complete rows stays above the projection. Pushed below it,
+    all the parsing would be done twice, in a method too large for the JIT, which takes
+    five times as long.
     """
     assert_schema(bronze, spec.raw, spec.name)
     cleaned = conform(spec.clean(bronze.drop(specs.LOAD_DATE)), spec.cleaned)
-    observed = cleaned if audit is None else cleaned.observe(audit, *null_counts(cleaned))
+    if audit is None:
+        observed = cleaned.observe(f"cleaning {spec.name}", F.count(F.lit(1)).alias("rows"))
+    else:
+        observed = cleaned.observe(audit, *null_counts(cleaned))
     return assert_schema(complete_cases(observed), spec.cleaned, spec.cleaned_name)

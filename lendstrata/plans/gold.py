@@ -136,13 +136,13 @@ def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFr
     financials = with_row_salt(with_monthly_balance(mart["fact_financials"]))
     customers = mart["dim_customer"].select("customer_id", *wide)
     if grain == "loan_type":
-        hot_snapshots, hot_customers = hot_keys(mart["fact_financials"], [BY_SNAPSHOT, BY_CUSTOMER])
+        hot_snapshots, hot_customers = hot_keys(mart["fact_financials"], BY_SNAPSHOT, BY_CUSTOMER)
         copies = loan_type_copies(mart["fact_loan"], mart["fact_customer_loan_type"])
         base = skew_join(financials, copies, BY_SNAPSHOT, hot=hot_snapshots, salt="_row_salt")
         return skew_join(base, customers, BY_CUSTOMER, hot=hot_customers, salt="_row_salt").drop("_row_salt")
     if grain == "loan":
         loans = with_row_salt(mart["fact_loan"].select("loan_id", *BY_SNAPSHOT))
-        hot_snapshots, hot_customers = hot_keys(mart["fact_loan"], [BY_SNAPSHOT, BY_CUSTOMER])
+        hot_snapshots, hot_customers = hot_keys(mart["fact_loan"], BY_SNAPSHOT, BY_CUSTOMER)
         base = skew_join(loans, financials.drop("_row_salt"), BY_SNAPSHOT, hot=hot_snapshots, salt="_row_salt")
         base = skew_join(base, customers, BY_CUSTOMER, hot=hot_customers, salt="_row_salt")
         return base.drop("_row_salt").withColumn("_copies", F.lit(1).cast("long"))
@@ -191,7 +191,7 @@ def star_rows(mart: Mapping[str, DataFrame]) -> DataFrame:
     customer row, code dimensions included. For ad-hoc reports; the feature table itself
     is built without materialising these copies."""
     loans = with_row_salt(mart["fact_loan"])
-    hot_snapshots, hot_customers = hot_keys(mart["fact_loan"], [BY_SNAPSHOT, BY_CUSTOMER])
+    hot_snapshots, hot_customers = hot_keys(mart["fact_loan"], BY_SNAPSHOT, BY_CUSTOMER)
     by_snapshot = {"on": BY_SNAPSHOT, "hot": hot_snapshots, "salt": "_row_salt"}
     joined = skew_join(loans, with_monthly_balance(mart["fact_financials"]), **by_snapshot)
     typed = skew_join(joined, mart["fact_customer_loan_type"], how="left", **by_snapshot)

@@ -45,10 +45,10 @@ def clickstream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def mart_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The mart; financials, which several of its tables read, are cleaned once."""
+    """The mart over stored cleaned tables, where several of its tables read them."""
     return mart.build_mart(
         mart.CleanedTables(
-            loans=loans(spark, d),
+            loans=stage(loans(spark, d), "loans"),
             attributes=attributes(spark, d),
             clickstream=clickstream(spark, d),
             financials=stage(financials(spark, d), "financials"),
