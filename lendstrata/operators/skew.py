@@ -9,17 +9,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 HOT_SHARE = 0.01  # a key is hot from this share of the rows on
 TRACKED_KEYS = 1024  # counters per sketch; ample to find every key above HOT_SHARE
 SALTS = 32
+ROW_SALT = "_row_salt"
 COPIES_PER_CHUNK = 65_536
 
 
-def with_row_salt(df: DataFrame, name: str = "_row_salt") -> DataFrame:
-    """Number the rows of a table scan for later use as salt.
+def with_row_salt(df: DataFrame) -> DataFrame:
+    """Number the rows of a table scan, for ``skew_join`` to salt with.
 
     To be applied to a scan directly: the rows of a file split keep their order, so a
     task that is run again numbers them alike and identical copies still get different
     numbers. After a shuffle that would not hold.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    return df.withColumn(ROW_SALT, F.monotonically_increasing_id())
 
 
 def _key_id(df: DataFrame, on: Sequence[str], like: DataFrame) -> Column:
@@ -48,17 +49,15 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     hot: Sequence[int] | None = None,
-    salt: str | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join whose left side may hold hot keys.
 
-    Left rows of a hot key are spread over ``salts`` buckets and the right rows of just
+    Left rows of a hot key are spread over ``SALTS`` buckets and the right rows of just
     those keys are copied into each bucket; all other keys are joined as usual. The
     result is the plain join's, row for row, and without hot keys so is the plan.
     ``hot`` comes from ``hot_keys`` of the left side, which is otherwise called here.
-    ``salt`` names a column from ``with_row_salt``; without it a hash of the row spreads
-    all but identical copies.
+    Rows are spread by the number ``with_row_salt`` gave them; rows without one by their
+    hash, which spreads all but identical copies.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how}")
@@ -66,10 +65,10 @@ def skew_join(
     hot = hot_keys(left, keys)[0] if hot is None else hot
     if not hot:
         return left.join(right, keys, how)
-    spread = F.xxhash64(*left.columns) if salt is None else F.col(salt)
-    bucket = F.when(_key_id(left, keys, left).isin(hot), F.pmod(spread, F.lit(salts))).otherwise(0)
+    spread = F.col(ROW_SALT) if ROW_SALT in left.columns else F.xxhash64(*left.columns)
+    bucket = F.when(_key_id(left, keys, left).isin(hot), F.pmod(spread, F.lit(SALTS))).otherwise(0)
     buckets = F.when(
-        _key_id(right, keys, left).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
+        _key_id(right, keys, left).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))
     ).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn("_salt", bucket.cast("int"))
     salted_right = right.withColumn("_salt", F.explode(buckets))

@@ -11,7 +11,7 @@ from lendstrata.functions.credit import default_label
 from lendstrata.functions.numeric import indicator
 from lendstrata.operators.features import add_ratios, log_features
 from lendstrata.operators.quantiles import iqr_filter
-from lendstrata.operators.skew import hot_keys, replicate_rows, skew_join, with_row_salt
+from lendstrata.operators.skew import ROW_SALT, hot_keys, replicate_rows, skew_join, with_row_salt
 from lendstrata.sources.specs import SNAPSHOT
 from lendstrata.sources.staging import stage
 
@@ -125,6 +125,13 @@ def loan_type_copies(loans: DataFrame, loan_types: DataFrame) -> DataFrame:
     )
 
 
+def _with_hot_keys(scan: DataFrame) -> tuple[DataFrame, list[int], list[int]]:
+    """The fact to start the joins from, salted when it has hot keys, and these keys."""
+    hot_snapshots, hot_customers = hot_keys(scan, BY_SNAPSHOT, BY_CUSTOMER)
+    start = with_row_salt(scan) if hot_snapshots or hot_customers else scan
+    return start, hot_snapshots, hot_customers
+
+
 def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFrame:
     """Financials joined to the loans of the same customer and snapshot, and to customers.
 
@@ -132,21 +139,18 @@ def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFr
     the joins to those facts only repeat rows: the base holds each row once, with the
     number of its copies in ``_copies``. At the grain of loans the loans are joined.
     """
-    wide = ["Age", "Name", "Occupation"]
-    financials = with_row_salt(with_monthly_balance(mart["fact_financials"]))
-    customers = mart["dim_customer"].select("customer_id", *wide)
+    customers = mart["dim_customer"].select("customer_id", "Age", "Name", "Occupation")
     if grain == "loan_type":
-        hot_snapshots, hot_customers = hot_keys(mart["fact_financials"], BY_SNAPSHOT, BY_CUSTOMER)
+        financials, hot_snapshots, hot_customers = _with_hot_keys(mart["fact_financials"])
         copies = loan_type_copies(mart["fact_loan"], mart["fact_customer_loan_type"])
-        base = skew_join(financials, copies, BY_SNAPSHOT, hot=hot_snapshots, salt="_row_salt")
-        return skew_join(base, customers, BY_CUSTOMER, hot=hot_customers, salt="_row_salt").drop("_row_salt")
-    if grain == "loan":
-        loans = with_row_salt(mart["fact_loan"].select("loan_id", *BY_SNAPSHOT))
-        hot_snapshots, hot_customers = hot_keys(mart["fact_loan"], BY_SNAPSHOT, BY_CUSTOMER)
-        base = skew_join(loans, financials.drop("_row_salt"), BY_SNAPSHOT, hot=hot_snapshots, salt="_row_salt")
-        base = skew_join(base, customers, BY_CUSTOMER, hot=hot_customers, salt="_row_salt")
-        return base.drop("_row_salt").withColumn("_copies", F.lit(1).cast("long"))
-    raise ValueError(f"unknown grain {grain!r}")
+        base = skew_join(with_monthly_balance(financials), copies, BY_SNAPSHOT, hot=hot_snapshots)
+    elif grain == "loan":
+        loans, hot_snapshots, hot_customers = _with_hot_keys(mart["fact_loan"].select("loan_id", *BY_SNAPSHOT))
+        joined = skew_join(loans, with_monthly_balance(mart["fact_financials"]), BY_SNAPSHOT, hot=hot_snapshots)
+        base = joined.withColumn("_copies", F.lit(1).cast("long"))
+    else:
+        raise ValueError(f"unknown grain {grain!r}")
+    return skew_join(base, customers, BY_CUSTOMER, hot=hot_customers).drop(ROW_SALT)
 
 
 def star_features(base: DataFrame, options: StarOptions = StarOptions()) -> DataFrame:
@@ -190,10 +194,8 @@ def star_rows(mart: Mapping[str, DataFrame]) -> DataFrame:
     """Every column of the joined star, one row per loan, financial row, loan type and
     customer row, code dimensions included. For ad-hoc reports; the feature table itself
     is built without materialising these copies."""
-    loans = with_row_salt(mart["fact_loan"])
-    hot_snapshots, hot_customers = hot_keys(mart["fact_loan"], BY_SNAPSHOT, BY_CUSTOMER)
-    by_snapshot = {"on": BY_SNAPSHOT, "hot": hot_snapshots, "salt": "_row_salt"}
-    joined = skew_join(loans, with_monthly_balance(mart["fact_financials"]), **by_snapshot)
-    typed = skew_join(joined, mart["fact_customer_loan_type"], how="left", **by_snapshot)
-    owned = skew_join(typed, mart["dim_customer"], BY_CUSTOMER, hot=hot_customers, salt="_row_salt")
-    return enrich_with_dimensions(owned.drop("_row_salt"), mart)
+    loans, hot_snapshots, hot_customers = _with_hot_keys(mart["fact_loan"])
+    joined = skew_join(loans, with_monthly_balance(mart["fact_financials"]), BY_SNAPSHOT, hot=hot_snapshots)
+    typed = skew_join(joined, mart["fact_customer_loan_type"], BY_SNAPSHOT, "left", hot=hot_snapshots)
+    owned = skew_join(typed, mart["dim_customer"], BY_CUSTOMER, hot=hot_customers)
+    return enrich_with_dimensions(owned.drop(ROW_SALT), mart)

@@ -14,12 +14,12 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lendstrata.functions.dates import month_spine_between
-from lendstrata.operators.contracts import assert_schema
+from lendstrata.operators.contracts import assert_same_columns, assert_schema
 from lendstrata.operators.incremental import missing_snapshots
 from lendstrata.plans import gold, mart
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
 from lendstrata.sources import files
-from lendstrata.sources.specs import LOAD_DATE, SNAPSHOT, SourceSpec
+from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 
 logger = logging.getLogger(__name__)
 
@@ -122,6 +122,8 @@ def load_cleaned(
         return {}
     audit = Observation(f"audit_{spec.name}")
     cleaned = clean_snapshots(files.slice_snapshots(bronze, dates), spec, audit)
+    if files.table_exists(spark, cleaned_path):
+        assert_same_columns(cleaned, files.read_table(spark, cleaned_path), ignore=(SNAPSHOT, LINEAGE))
     files.write_snapshots(cleaned, cleaned_path)
     logger.info("%s: %s", spec.name, audit.get)
     return audit.get

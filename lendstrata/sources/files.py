@@ -95,8 +95,11 @@ def write_table(
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Parquet scan, with an imposed schema or with the stored one."""
-    return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    """Parquet scan with the stored schema or with an imposed one, in whose order the
+    columns then come (a partition column would otherwise be last)."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

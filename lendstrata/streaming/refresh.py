@@ -10,9 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lendstrata.plans.cleaners import clean_snapshots
-from lendstrata.plans.medallion import read_bronze
-from lendstrata.sources.files import write_snapshots
+from lendstrata.plans.medallion import load_cleaned
 from lendstrata.sources.specs import SNAPSHOT, SourceSpec
 
 
@@ -21,14 +19,13 @@ def refresh_cleaned(
 ) -> StreamingQuery:
     """Start a query that takes in all bronze files not seen before, then stops.
 
-    Only the partition column of the new files is streamed. The changed snapshots reach
-    the cleaning job through a semi join that prunes bronze to their partitions.
+    Only the partition column of the new files is streamed. The changed snapshots, at most
+    as many as the calendar has, become a partition filter on bronze.
     """
 
     def replace(batch: DataFrame, _: int) -> None:
-        changed = batch.select(SNAPSHOT).distinct()
-        touched = read_bronze(batch.sparkSession, bronze_path, spec).join(changed, SNAPSHOT, "left_semi")
-        write_snapshots(clean_snapshots(touched.select(*spec.raw.names), spec), cleaned_path)
+        changed = [r[SNAPSHOT] for r in batch.distinct().collect()]
+        load_cleaned(batch.sparkSession, bronze_path, cleaned_path, spec, changed, reload=True)
 
     return (
         spark.readStream.schema(spec.raw)
