@@ -169,10 +169,15 @@ def star_features(base: DataFrame, options: StarOptions = StarOptions()) -> Data
     return replicate_rows(slim.select(*STAR_COLUMNS, "_copies"), "_copies")
 
 
-def build_star(mart: Mapping[str, DataFrame], options: StarOptions = StarOptions()) -> DataFrame:
+def build_star(
+    mart: Mapping[str, DataFrame], options: StarOptions = StarOptions(), clustered: bool = False
+) -> DataFrame:
     """The loan analytics star. The joins run once, into a staged table that the
-    quartiles, the least balance and the features are then read from."""
-    return star_features(stage(star_base(mart, options.grain), "star-base"), options)
+    quartiles, the least balance and the features are then read from. With ``clustered``
+    that table is partitioned by snapshot, while its rows are still folded, and the
+    unfolded star can be written by snapshot without a shuffle."""
+    base = stage(star_base(mart, options.grain), "star-base", [SNAPSHOT] if clustered else [])
+    return star_features(base, options)
 
 
 def enrich_with_dimensions(rows: DataFrame, mart: Mapping[str, DataFrame]) -> DataFrame:

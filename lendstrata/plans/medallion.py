@@ -7,10 +7,12 @@ others; what failed is raised together at the end of its layer, never swallowed.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lendstrata.functions.dates import month_spine_between
@@ -37,6 +39,7 @@ MART_TABLES = (
     "fact_customer_loan_type",
 )
 GOLD_TABLES = ("loan_analytics_star", "label_store")
+PARALLEL_STEPS = 4
 
 
 @dataclass(frozen=True)
@@ -124,7 +127,7 @@ def load_cleaned(
     cleaned = clean_snapshots(files.slice_snapshots(bronze, dates), spec, audit)
     if files.table_exists(spark, cleaned_path):
         assert_same_columns(cleaned, files.read_table(spark, cleaned_path), ignore=(SNAPSHOT, LINEAGE))
-    files.write_snapshots(cleaned, cleaned_path)
+    files.write_snapshots(cleaned, cleaned_path, clustered=True)
     logger.info("%s: %s", spec.name, audit.get)
     return audit.get
 
@@ -147,18 +150,24 @@ def read_mart(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def write_mart(tables: dict[str, DataFrame], layout: Layout, mode: str = "overwrite") -> None:
-    """Facts are partitioned by snapshot, dimensions are not."""
-    for name, df in tables.items():
-        partition_by = [SNAPSHOT] if name.startswith("fact_") else []
-        files.write_table(df, layout.mart(name), partition_by, mode)
+    """Facts are partitioned by snapshot as the cleaned tables are, so they are written
+    without a shuffle; dimensions are not partitioned."""
+
+    def write(name: str) -> None:
+        fact = name.startswith("fact_")
+        files.write_table(tables[name], layout.mart(name), [SNAPSHOT] if fact else [], mode, clustered=fact)
+
+    failures = _attempt(tables, write)
+    if failures:
+        raise RunFailed("mart", failures)
 
 
 def write_gold(spark: SparkSession, config: RunConfig) -> None:
     tables = read_mart(spark, config.layout)
-    star = gold.build_star(tables, config.star)
-    files.write_table(star, config.layout.gold("loan_analytics_star"), [SNAPSHOT])
+    star = gold.build_star(tables, config.star, clustered=True)
+    files.write_table(star, config.layout.gold("loan_analytics_star"), [SNAPSHOT], clustered=True)
     labels = gold.label_store(tables["fact_loan"], config.dpd_threshold, config.mob_threshold)
-    files.write_table(labels, config.layout.gold("label_store"), [SNAPSHOT])
+    files.write_table(labels, config.layout.gold("label_store"), [SNAPSHOT], clustered=True)
 
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
@@ -189,12 +198,17 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
     return audits
 
 
-def _attempt(names: Sequence[str], step: Callable[[str], None]) -> dict[str, Exception]:
+def _attempt(names: Iterable[str], step: Callable[[str], None]) -> dict[str, Exception]:
+    """Run independent steps side by side, so that small ones do not leave the cluster idle."""
     failures: dict[str, Exception] = {}
-    for name in names:
+
+    def attempt(name: str) -> None:
         try:
             step(name)
-        except Exception as e:  # kept and raised by the caller once the other sources are done
+        except Exception as e:  # kept and raised by the caller once the other steps are done
             logger.exception("%s failed", name)
             failures[name] = e
+
+    with ThreadPoolExecutor(PARALLEL_STEPS) as pool:
+        list(pool.map(inheritable_thread_target(attempt), names))
     return failures

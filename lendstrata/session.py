@@ -9,6 +9,8 @@ TUNING = {
     # Wide cleaning projections compile to methods beyond HotSpot's 8,000-byte JIT limit and
     # would be interpreted. Past this limit Spark generates split, compilable methods instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Tasks that write a few partitions keep their files open instead of sorting their rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lendstrata.functions.dates import parse_date
@@ -69,29 +69,39 @@ def slice_snapshots(df: DataFrame, dates: Sequence[date] | None = None, on: str
     return df.filter(F.col(on).isNotNull() if dates is None else F.col(on).isin(list(dates)))
 
 
-def write_snapshots(df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,)) -> None:
+def _arranged(df: DataFrame, partition_by: Sequence[str], clustered: bool) -> DataFrameWriter:
+    """One shuffle that gives each partition files of even size: many for a large one, one
+    for a small one, whatever the number of tasks. Rows that come clustered from a scan of
+    a table with the same partitioning through narrow operators need no shuffle at all."""
+    arranged = df if clustered else df.hint("rebalance", *partition_by)
+    return arranged.write.option("maxRecordsPerFile", ROWS_PER_FILE)
+
+
+def write_snapshots(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,), clustered: bool = False
+) -> None:
     """Replace the snapshots that occur in ``df`` and leave all others alone.
 
     ``df`` must hold its snapshots whole. Writing the same rows again changes nothing.
-    Rebalancing gives each snapshot files of even size: many for a large one, one for a
-    small one, whatever the number of tasks.
     """
     (
-        df.hint("rebalance", *partition_by)
-        .write.mode("overwrite")
+        _arranged(df, partition_by, clustered)
+        .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    clustered: bool = False,
 ) -> None:
     """Write a whole table, by default in place of what was there."""
-    writer = df.hint("rebalance", *partition_by).write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    _arranged(df, partition_by, clustered).mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

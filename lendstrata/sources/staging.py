@@ -9,9 +9,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from lendstrata.sources.files import read_table, write_table
+
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder from the session; a local one only where Spark itself is local."""
@@ -28,9 +33,15 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the staging folder and return a scan of it."""
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    write_table(df, path, partition_by, clustered=not partition_by)
+    return read_table(spark, path, df.schema)
+
+
+def stage_all(**frames: DataFrame) -> list[DataFrame]:
+    """Stage independent frames side by side, each labelled with its argument's name."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(inheritable_thread_target(stage), frames.values(), frames))

@@ -210,7 +210,12 @@ NEEDS: dict[str, list[str]] = {
 }
 
 
-def _with(layers: list[str], select: str, extra: dict[str, str] | None = None) -> str:
+def _with(
+    layers: list[str],
+    select: str,
+    extra: dict[str, str] | None = None,
+    instead: dict[str, str] | None = None,
+) -> str:
     """``select`` over the layers it names, preceded by all they build on."""
     order: list[str] = []
 
@@ -222,7 +227,7 @@ def _with(layers: list[str], select: str, extra: dict[str, str] | None = None) -
 
     for name in layers:
         visit(name)
-    parts = {n: LAYERS[n] for n in order} | (extra or {})
+    parts = {n: (instead or {}).get(n, LAYERS[n]) for n in order} | (extra or {})
     return "WITH " + ",\n".join(f"{n} AS ({sql})" for n, sql in parts.items()) + f"\n{select}"
 
 
@@ -288,7 +293,12 @@ PRICES = "SELECT o_orderkey, o_custkey, o_totalprice, c_acctbal FROM orders JOIN
 
 
 def oracle_sql() -> dict[str, str]:
-    star = _with(["star_rows"], STAR_SELECT + " FROM kept", _iqr("star_rows", OUTLIERS, 1.5))
+    kept_star = STAR_SELECT + " FROM kept"
+    star_iqr = _iqr("star_rows", OUTLIERS, 1.5)
+    calendar = {
+        raw: f"SELECT * FROM ({LAYERS[raw]}) WHERE snapshot_date >= DATE '2000-01-01'"
+        for raw in ("raw_loans", "raw_financials", "raw_attributes")
+    }
     return {
         # sources and snapshots
         "month_spine": """
@@ -453,10 +463,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT * EXCLUDE (Annual_Income, Monthly_Inhand_Salary, Monthly_Balance, Amount_invested_monthly,
                       Outstanding_Debt, Total_EMI_per_month) FROM balanced""",
         ),
-        "loan_analytics_star": star,
+        "loan_analytics_star": _with(["star_rows"], kept_star, star_iqr),
+        "medallion_run": _with(["star_rows"], kept_star, star_iqr, calendar),
         "loan_analytics_star_by_loan": _with(
             ["loan_rows"],
-            STAR_SELECT.replace("SELECT customer_id", "SELECT loan_id, customer_id", 1) + " FROM kept",
+            kept_star.replace("SELECT customer_id", "SELECT loan_id, customer_id", 1),
             _iqr("loan_rows", OUTLIERS, 1.5),
         ),
     }

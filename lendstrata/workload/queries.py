@@ -14,7 +14,7 @@ from lendstrata.plans import cleaners, gold, mart, medallion
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
 from lendstrata.sources import feature_store, files, specs
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
-from lendstrata.sources.staging import stage, staging_path
+from lendstrata.sources.staging import stage_all, staging_path
 from lendstrata.streaming.refresh import refresh_cleaned
 from lendstrata.workload import inputs
 from lendstrata.workload.inputs import table
@@ -45,13 +45,14 @@ def clickstream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def mart_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """The mart over stored cleaned tables, where several of its tables read them."""
+    """The mart over cleaned tables; those that are read repeatedly are stored first."""
+    stored_loans, stored_financials = stage_all(loans=loans(spark, d), financials=financials(spark, d))
     return mart.build_mart(
         mart.CleanedTables(
-            loans=stage(loans(spark, d), "loans"),
+            loans=stored_loans,
             attributes=attributes(spark, d),
             clickstream=clickstream(spark, d),
-            financials=stage(financials(spark, d), "financials"),
+            financials=stored_financials,
         )
     )
 
@@ -391,6 +392,27 @@ def loan_analytics_star_by_loan(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(gold.build_star(mart_tables(spark, d), gold.StarOptions(grain="loan", relative_error=0)))
 
 
+def medallion_run(spark: SparkSession, d: str) -> DataFrame:
+    """All layers, from the four sources delivered as CSV to the star read back from gold.
+
+    The calendar starts in 2000, as years of the financials have two digits.
+    """
+    root = staging_path(spark, "run")
+    layout = medallion.Layout(f"{root}/raw", f"{root}/lake")
+    for name, raw in {
+        "lms_loan_daily": inputs.raw_loans(spark, d),
+        "features_financials": inputs.raw_financials(spark, d),
+        "features_attributes": inputs.raw_attributes(spark, d),
+        "feature_clickstream": inputs.raw_clickstream(spark, d),
+    }.items():
+        write_raw_csv(raw, layout.csv(name), SOURCES[name])
+    medallion.run(
+        spark,
+        medallion.RunConfig(layout, date(2000, 1, 1), date(2024, 1, 1), star=gold.StarOptions(relative_error=0)),
+    )
+    return _rounded(files.read_table(spark, layout.gold("loan_analytics_star")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "month_spine": month_spine,
@@ -443,4 +465,5 @@ def queries() -> dict[str, Query]:
         "drop_collinear": drop_collinear,
         "loan_analytics_star": loan_analytics_star,
         "loan_analytics_star_by_loan": loan_analytics_star_by_loan,
+        "medallion_run": medallion_run,
     }
