@@ -48,30 +48,46 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot: Sequence[int] | None = None,
+    hot_left: Sequence[int] | None = None,
+    hot_right: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Equi-join whose left side may hold hot keys.
-
-    Left rows of a hot key are spread over ``SALTS`` buckets and the right rows of just
-    those keys are copied into each bucket; all other keys are joined as usual. The
-    result is the plain join's, row for row, and without hot keys so is the plan.
-    ``hot`` comes from ``hot_keys`` of the left side, which is otherwise called here.
-    Rows are spread by the number ``with_row_salt`` gave them; rows without one by their
-    hash, which spreads all but identical copies.
+    """Equi-join for sides that may hold hot keys.
+
+    The rows of a key that is hot on one side are spread over ``SALTS`` buckets there, and
+    the other side's rows of just that key are copied into each bucket; all other keys are
+    joined as usual. The result is the plain join's, row for row, and without hot keys so
+    is the plan. A left join spreads its left side only, so its right side should be
+    aggregated to few rows per key.
+
+    The hot keys come from ``hot_keys`` of either side, which is called here for a side
+    not given. Rows are spread by the number ``with_row_salt`` gave them; rows without one
+    by their hash, which spreads all but identical copies. The left numbers are kept.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how}")
     keys = list(on)
-    hot = hot_keys(left, keys)[0] if hot is None else hot
-    if not hot:
-        return left.join(right, keys, how)
-    spread = F.col(ROW_SALT) if ROW_SALT in left.columns else F.xxhash64(*left.columns)
-    bucket = F.when(_key_id(left, keys, left).isin(hot), F.pmod(spread, F.lit(SALTS))).otherwise(0)
-    buckets = F.when(
-        _key_id(right, keys, left).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))
-    ).otherwise(F.array(F.lit(0)))
-    salted_left = left.withColumn("_salt", bucket.cast("int"))
-    salted_right = right.withColumn("_salt", F.explode(buckets))
+    if hot_left is None:
+        hot_left = hot_keys(left, keys)[0]
+    if how == "left":
+        hot_right = []
+    elif hot_right is None:
+        hot_right = hot_keys(right.select(*(F.col(c).cast(left.schema[c].dataType) for c in keys)), keys)[0]
+    only_right = sorted(set(hot_right) - set(hot_left))
+
+    def salted(df: DataFrame, spread: Sequence[int], copied: Sequence[int]) -> DataFrame:
+        """Bucket of each row; copies a row into all buckets where the other side is spread."""
+        key_id = _key_id(df, keys, left)
+        number = F.col(ROW_SALT) if ROW_SALT in df.columns else F.xxhash64(*df.columns)
+        bucket = F.when(key_id.isin(list(spread)), F.pmod(number, F.lit(SALTS)).cast("int")).otherwise(0)
+        if not copied:
+            return df.withColumn("_salt", bucket)
+        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+        return df.withColumn("_salt", F.explode(F.when(key_id.isin(list(copied)), every).otherwise(F.array(bucket))))
+
+    if not hot_left and not only_right:
+        return left.join(right.drop(ROW_SALT), keys, how)
+    salted_left = salted(left, hot_left, only_right)
+    salted_right = salted(right, only_right, hot_left).drop(ROW_SALT)
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -125,11 +125,24 @@ def loan_type_copies(loans: DataFrame, loan_types: DataFrame) -> DataFrame:
     )
 
 
-def _with_hot_keys(scan: DataFrame) -> tuple[DataFrame, list[int], list[int]]:
-    """The fact to start the joins from, salted when it has hot keys, and these keys."""
-    hot_snapshots, hot_customers = hot_keys(scan, BY_SNAPSHOT, BY_CUSTOMER)
-    start = with_row_salt(scan) if hot_snapshots or hot_customers else scan
-    return start, hot_snapshots, hot_customers
+@dataclass(frozen=True)
+class _Fact:
+    """A fact scan to join, numbered when it has hot keys, and these keys."""
+
+    rows: DataFrame
+    hot_snapshots: list[int]
+    hot_customers: list[int]
+
+    @staticmethod
+    def of(scan: DataFrame) -> _Fact:
+        hot_snapshots, hot_customers = hot_keys(scan, BY_SNAPSHOT, BY_CUSTOMER)
+        rows = with_row_salt(scan) if hot_snapshots or hot_customers else scan
+        return _Fact(rows, hot_snapshots, hot_customers)
+
+
+def _join_customers(rows: DataFrame, fact: _Fact, customers: DataFrame) -> DataFrame:
+    (hot,) = hot_keys(customers, BY_CUSTOMER)
+    return skew_join(rows, customers, BY_CUSTOMER, hot_left=fact.hot_customers, hot_right=hot)
 
 
 def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFrame:
@@ -137,20 +150,24 @@ def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFr
 
     No column of the star comes from a loan or a loan type, so at the grain of loan types
     the joins to those facts only repeat rows: the base holds each row once, with the
-    number of its copies in ``_copies``. At the grain of loans the loans are joined.
+    number of its copies in ``_copies``. At the grain of loans the loans are joined, last,
+    so that what may multiply is not shuffled again.
     """
-    customers = mart["dim_customer"].select("customer_id", "Age", "Name", "Occupation")
+    financials = _Fact.of(mart["fact_financials"])
+    balanced = with_monthly_balance(financials.rows)
     if grain == "loan_type":
-        financials, hot_snapshots, hot_customers = _with_hot_keys(mart["fact_financials"])
         copies = loan_type_copies(mart["fact_loan"], mart["fact_customer_loan_type"])
-        base = skew_join(with_monthly_balance(financials), copies, BY_SNAPSHOT, hot=hot_snapshots)
+        counted = skew_join(balanced, copies, BY_SNAPSHOT, hot_left=financials.hot_snapshots, hot_right=[])
+        base = _join_customers(counted, financials, mart["dim_customer"])
     elif grain == "loan":
-        loans, hot_snapshots, hot_customers = _with_hot_keys(mart["fact_loan"].select("loan_id", *BY_SNAPSHOT))
-        joined = skew_join(loans, with_monthly_balance(mart["fact_financials"]), BY_SNAPSHOT, hot=hot_snapshots)
-        base = joined.withColumn("_copies", F.lit(1).cast("long"))
+        loans = _Fact.of(mart["fact_loan"].select("loan_id", *BY_SNAPSHOT))
+        owned = _join_customers(balanced, financials, mart["dim_customer"])
+        base = skew_join(
+            loans.rows, owned, BY_SNAPSHOT, hot_left=loans.hot_snapshots, hot_right=financials.hot_snapshots
+        ).withColumn("_copies", F.lit(1).cast("long"))
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    return skew_join(base, customers, BY_CUSTOMER, hot=hot_customers).drop(ROW_SALT)
+    return base.drop(ROW_SALT, "SSN")
 
 
 def star_features(base: DataFrame, options: StarOptions = StarOptions()) -> DataFrame:
@@ -198,9 +215,15 @@ def enrich_with_dimensions(rows: DataFrame, mart: Mapping[str, DataFrame]) -> Da
 def star_rows(mart: Mapping[str, DataFrame]) -> DataFrame:
     """Every column of the joined star, one row per loan, financial row, loan type and
     customer row, code dimensions included. For ad-hoc reports; the feature table itself
-    is built without materialising these copies."""
-    loans, hot_snapshots, hot_customers = _with_hot_keys(mart["fact_loan"])
-    joined = skew_join(loans, with_monthly_balance(mart["fact_financials"]), BY_SNAPSHOT, hot=hot_snapshots)
-    typed = skew_join(joined, mart["fact_customer_loan_type"], BY_SNAPSHOT, "left", hot=hot_snapshots)
-    owned = skew_join(typed, mart["dim_customer"], BY_CUSTOMER, hot=hot_customers)
-    return enrich_with_dimensions(owned.drop(ROW_SALT), mart)
+    is built without materialising these copies.
+
+    Loan types shrink to one row per customer, snapshot and type before they are joined;
+    how often each was held is unfolded from the staged result.
+    """
+    loans, financials = _Fact.of(mart["fact_loan"]), _Fact.of(mart["fact_financials"])
+    held = mart["fact_customer_loan_type"].groupBy(*BY_SNAPSHOT, "loan_type_id").agg(F.count(F.lit(1)).alias("_held"))
+    typed = skew_join(loans.rows, held, BY_SNAPSHOT, "left", hot_left=loans.hot_snapshots)
+    owned = _join_customers(with_monthly_balance(financials.rows), financials, mart["dim_customer"])
+    joined = skew_join(typed, owned, BY_SNAPSHOT, hot_left=loans.hot_snapshots, hot_right=financials.hot_snapshots)
+    folded = joined.drop(ROW_SALT).withColumn("_held", F.coalesce("_held", F.lit(1)))
+    return enrich_with_dimensions(replicate_rows(stage(folded, "star-rows"), "_held"), mart)

@@ -41,7 +41,8 @@ def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFr
     return read_table(spark, path, df.schema)
 
 
-def stage_all(**frames: DataFrame) -> list[DataFrame]:
+def stage_all(**frames: DataFrame) -> dict[str, DataFrame]:
     """Stage independent frames side by side, each labelled with its argument's name."""
     with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(inheritable_thread_target(stage), frames.values(), frames))
+        staged = pool.map(inheritable_thread_target(stage), frames.values(), frames)
+        return dict(zip(frames, staged))

@@ -46,15 +46,10 @@ def clickstream(spark: SparkSession, d: str) -> DataFrame:
 
 def mart_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The mart over cleaned tables; those that are read repeatedly are stored first."""
-    stored_loans, stored_financials = stage_all(loans=loans(spark, d), financials=financials(spark, d))
-    return mart.build_mart(
-        mart.CleanedTables(
-            loans=stored_loans,
-            attributes=attributes(spark, d),
-            clickstream=clickstream(spark, d),
-            financials=stored_financials,
-        )
+    stored = stage_all(
+        loans=loans(spark, d), financials=financials(spark, d), attributes=attributes(spark, d)
     )
+    return mart.build_mart(mart.CleanedTables(clickstream=clickstream(spark, d), **stored))
 
 
 def priced_orders(spark: SparkSession, d: str) -> DataFrame:

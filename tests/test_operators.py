@@ -110,29 +110,58 @@ def skewed(spark):
     )
 
 
-def other_side(spark):
-    return spark.range(40).select((F.col("id") % 20).cast("int").alias("k"), F.col("id").alias("w"))
+def few_each(spark):
+    """Less than a hundredth of the rows for any key, and the key in another integer type."""
+    return spark.range(800).select((F.col("id") % 400).cast("int").alias("k"), F.col("id").alias("w"))
+
+
+def lopsided(spark):
+    """A third of the rows hold a key that is rare on the skewed side."""
+    rare = F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("id") % 300)
+    return spark.range(900).select(rare.cast("int").alias("k"), F.col("id").alias("w"))
+
+
+def partition_sizes(df):
+    sizes = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    return [r.n for r in sizes]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    yield
+    for key in off:
+        spark.conf.unset(key)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("other", [few_each, lopsided, skewed])
 @pytest.mark.parametrize("salted", [True, False])
-def test_skew_join_equals_join(spark, how, salted):
-    left, right = skewed(spark), other_side(spark)
-    got = skew.skew_join(skew.with_row_salt(left) if salted else left, right, ["k"], how)
-    assert rows(got.select("k", "v", "w")) == rows(left.join(right, "k", how).select("k", "v", "w"))
+def test_skew_join_equals_join(spark, how, other, salted):
+    left, right = skewed(spark), other(spark).withColumnRenamed("v", "w")
+    number = skew.with_row_salt if salted else lambda df: df
+    got = skew.skew_join(number(left), number(right), ["k"], how).select("k", "v", "w")
+    want = left.join(right, "k", how).select("k", "v", "w")
+    summary = [F.count("*"), F.sum(F.xxhash64("k", "v", "w").cast("decimal(38,0)"))]
+    assert got.agg(*summary).collect() == want.agg(*summary).collect()
+    assert "_salt" in got._jdf.queryExecution().toString()
 
 
-def test_hot_keys_are_found_and_spread(spark):
+def test_hot_left_key_is_found_and_spread(spark, shuffled_joins):
     left = skewed(spark)
     (hot,) = skew.hot_keys(left, ["k"])
     ids = {r.k: r.h for r in left.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
     assert ids[7] in hot and ids[-1] in hot
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    joined = skew.skew_join(skew.with_row_salt(left), other_side(spark), ["k"])
-    sizes = [r.n for r in joined.filter("k = 7").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.unset("spark.sql.adaptive.enabled")
+    joined = skew.skew_join(skew.with_row_salt(left), few_each(spark), ["k"])
+    sizes = partition_sizes(joined.filter("k = 7"))
+    assert len(sizes) >= 6 and max(sizes) < sum(sizes) / 2
+
+
+def test_hot_right_key_is_spread(spark, shuffled_joins):
+    joined = skew.skew_join(few_each(spark), lopsided(spark).withColumnRenamed("w", "v"), ["k"])
+    sizes = partition_sizes(joined.filter("k = 8"))
     assert len(sizes) >= 6 and max(sizes) < sum(sizes) / 2
 
 
