@@ -22,6 +22,7 @@ from lendstrata.plans import gold, mart
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
 from lendstrata.sources import files
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
+from lendstrata.sources.staging import staged
 
 logger = logging.getLogger(__name__)
 
@@ -163,9 +164,12 @@ def write_mart(tables: dict[str, DataFrame], layout: Layout, mode: str = "overwr
 
 
 def write_gold(spark: SparkSession, config: RunConfig) -> None:
+    """Star and labels, by snapshot. The star's base is staged by snapshot while its rows
+    are still folded, so the unfolded star is written without a shuffle."""
     tables = read_mart(spark, config.layout)
-    star = gold.build_star(tables, config.star, clustered=True)
-    files.write_table(star, config.layout.gold("loan_analytics_star"), [SNAPSHOT], clustered=True)
+    with staged(gold.star_base(tables, config.star.grain), "star-base", [SNAPSHOT]) as base:
+        star = gold.star_features(base, config.star)
+        files.write_table(star, config.layout.gold("loan_analytics_star"), [SNAPSHOT], clustered=True)
     labels = gold.label_store(tables["fact_loan"], config.dpd_threshold, config.mob_threshold)
     files.write_table(labels, config.layout.gold("label_store"), [SNAPSHOT], clustered=True)
 

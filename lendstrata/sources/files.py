@@ -82,7 +82,8 @@ def write_snapshots(
 ) -> None:
     """Replace the snapshots that occur in ``df`` and leave all others alone.
 
-    ``df`` must hold its snapshots whole. Writing the same rows again changes nothing.
+    ``df`` must hold its snapshots whole. Writing the same rows again changes nothing. A
+    snapshot of which ``df`` holds no row at all keeps what was stored.
     """
     (
         _arranged(df, partition_by, clustered)

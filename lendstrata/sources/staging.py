@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +36,24 @@ def staging_path(spark: SparkSession, label: str) -> str:
 
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the staging folder and return a scan of it."""
-    spark = df.sparkSession
-    path = staging_path(spark, label)
+    return _write(df, staging_path(df.sparkSession, label), partition_by)
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
     write_table(df, path, partition_by, clustered=not partition_by)
-    return read_table(spark, path, df.schema)
+    return read_table(df.sparkSession, path, df.schema)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
+    """A staged table for the actions inside the block; its files go when the block ends."""
+    path = staging_path(df.sparkSession, label)
+    try:
+        yield _write(df, path, partition_by)
+    finally:
+        context = df.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage_all(**frames: DataFrame) -> dict[str, DataFrame]:

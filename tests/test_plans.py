@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lendstrata.plans import cleaners, gold, mart, medallion
 from lendstrata.plans.cleaners import SOURCES
-from lendstrata.sources import feature_store, files, specs
+from lendstrata.sources import feature_store, files, specs, staging
 from lendstrata.streaming.refresh import refresh_cleaned
 from lendstrata.workload import inputs, queries as workload
 from lendstrata.workload.queries import write_raw_csv
@@ -190,6 +190,13 @@ def test_missing_and_broken_sources_are_reported(spark, folder):
 # sources and snapshots
 
 
+def test_staged_table_goes_with_its_block(spark):
+    with staging.staged(spark.range(5), "trial") as table:
+        (part,) = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        assert table.count() == 5 and files.table_exists(spark, part)
+    assert not files.table_exists(spark, part)
+
+
 def test_csv_files_are_sources(spark, folder):
     for name in ("b", "a"):
         with open(f"{folder}/{name}.csv", "w") as f:
