@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_SHARE = 0.01  # a key is hot from this share of the rows on
 TRACKED_KEYS = 512  # counters per sketch; off by at most 1/384 of the rows, so no hot key is missed
-SALTS = 32
+BUCKETS_PER_PARTITION = 4  # a hot key gets four times its fair share of partitions as buckets
 ROW_SALT = "_row_salt"
 COPIES_PER_CHUNK = 65_536
+BROADCAST_ROWS = 50_000
+
+HotKeys = Mapping[int, float]  # hash of a key to its share of the rows
 
 
 def with_row_salt(df: DataFrame) -> DataFrame:
@@ -27,20 +31,31 @@ def _key_id(df: DataFrame, on: Sequence[str], like: DataFrame) -> Column:
     return F.xxhash64(*(F.col(c).cast(like.schema[c].dataType) for c in on))
 
 
-def hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[list[int]]:
-    """Hashes of the hot keys, one list per key set, from one scan of the key columns.
+def hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[HotKeys]:
+    """Hot keys with their share of the rows, per key set, from one scan of the key columns.
 
     Each task keeps a frequent-items sketch per key set and nothing else is shuffled. At
-    most ``1 / HOT_SHARE`` keys can be hot, so the lists are short. A wrong estimate could
+    most ``1 / HOT_SHARE`` keys can be hot, so the answer is short. A wrong estimate could
     only change the balance of a join, never its result.
     """
     k = round(1 / HOT_SHARE)
     top = [
-        F.call_function("approx_top_k", _key_id(df, on, df), F.lit(k), F.lit(TRACKED_KEYS)) for on in key_sets
+        F.call_function("approx_top_k", _key_id(df, on, df), F.lit(k), F.lit(TRACKED_KEYS)).alias(f"top{i}")
+        for i, on in enumerate(key_sets)
     ]
-    rows = F.count(F.lit(1))
-    summary = df.agg(*(F.filter(t, lambda x: x["count"] >= rows * HOT_SHARE)["item"] for t in top)).first()
-    return [list(items) for items in summary]
+    total, *tops = df.agg(F.count(F.lit(1)), *top).first()
+    return [{t["item"]: t["count"] / total for t in items if t["count"] >= total * HOT_SHARE} for items in tops]
+
+
+def _by_buckets(df: DataFrame, hot: HotKeys) -> dict[int, list[int]]:
+    """Hot keys by the number of buckets they get, a power of two that grows with the
+    key's share of the rows and with the shuffle partitions of the session."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups: dict[int, list[int]] = {}
+    for key, share in hot.items():
+        wanted = max(2, share * partitions * BUCKETS_PER_PARTITION)
+        groups.setdefault(2 ** ceil(log2(wanted)), []).append(key)
+    return groups
 
 
 def skew_join(
@@ -48,16 +63,16 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    hot_left: Sequence[int] | None = None,
-    hot_right: Sequence[int] | None = None,
+    hot_left: HotKeys | None = None,
+    hot_right: HotKeys | None = None,
 ) -> DataFrame:
     """Equi-join for sides that may hold hot keys.
 
-    The rows of a key that is hot on one side are spread over ``SALTS`` buckets there, and
-    the other side's rows of just that key are copied into each bucket; all other keys are
-    joined as usual. The result is the plain join's, row for row, and without hot keys so
-    is the plan. A left join spreads its left side only, so its right side should be
-    aggregated to few rows per key.
+    The rows of a key that is hot on one side are spread over buckets there, and the other
+    side's rows of just that key are copied into each bucket; all other keys are joined as
+    usual. The result is the plain join's, row for row, and without hot keys so is the
+    plan. A left join spreads its left side only, so its right side should be aggregated
+    to few rows per key.
 
     The hot keys come from ``hot_keys`` of either side, which is called here for a side
     not given. Rows are spread by the number ``with_row_salt`` gave them; rows without one
@@ -67,30 +82,39 @@ def skew_join(
         raise ValueError(f"skew_join does inner and left joins, not {how}")
     keys = list(on)
     if hot_left is None:
-        hot_left = hot_keys(left, keys)[0]
+        (hot_left,) = hot_keys(left, keys)
     if how == "left":
-        hot_right = []
+        hot_right = {}
     elif hot_right is None:
-        hot_right = hot_keys(right.select(*(F.col(c).cast(left.schema[c].dataType) for c in keys)), keys)[0]
-    only_right = sorted(set(hot_right) - set(hot_left))
+        (hot_right,) = hot_keys(right.select(*(F.col(c).cast(left.schema[c].dataType) for c in keys)), keys)
+    spread_left = _by_buckets(left, hot_left)
+    spread_right = _by_buckets(left, {k: share for k, share in hot_right.items() if k not in hot_left})
+    if not spread_left and not spread_right:
+        return left.join(right.drop(ROW_SALT), keys, how)
 
-    def salted(df: DataFrame, spread: Sequence[int], copied: Sequence[int]) -> DataFrame:
-        """Bucket of each row; copies a row into all buckets where the other side is spread."""
+    def salted(df: DataFrame, spread: Mapping[int, list[int]], copied: Mapping[int, list[int]]) -> DataFrame:
         key_id = _key_id(df, keys, left)
         number = F.col(ROW_SALT) if ROW_SALT in df.columns else F.xxhash64(*df.columns)
-        bucket = F.when(key_id.isin(list(spread)), F.pmod(number, F.lit(SALTS)).cast("int")).otherwise(0)
+        one = [F.when(key_id.isin(ids), F.pmod(number, F.lit(n)).cast("int")) for n, ids in spread.items()]
+        bucket = F.coalesce(*one, F.lit(0))
         if not copied:
             return df.withColumn("_salt", bucket)
-        every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        return df.withColumn("_salt", F.explode(F.when(key_id.isin(list(copied)), every).otherwise(F.array(bucket))))
+        all_ = [F.when(key_id.isin(ids), F.sequence(F.lit(0), F.lit(n - 1))) for n, ids in copied.items()]
+        return df.withColumn("_salt", F.explode(F.coalesce(*all_, F.array(bucket))))
 
-    if not hot_left and not only_right:
-        return left.join(right.drop(ROW_SALT), keys, how)
-    salted_left = salted(left, hot_left, only_right)
-    salted_right = salted(right, only_right, hot_left).drop(ROW_SALT)
+    salted_left = salted(left, spread_left, spread_right)
+    salted_right = salted(right, spread_right, spread_left).drop(ROW_SALT)
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
+def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a table that is usually small but has no fixed bound: broadcast when its
+    rows are counted and few, otherwise joined with its frequent keys spread."""
+    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), list(on), "left")
+    return skew_join(rows, lookup, on, "left")
+
+
 def replicate_rows(df: DataFrame, copies: str) -> DataFrame:
     """Each row ``copies`` times, the count column dropped; rows with none vanish.
 

@@ -11,7 +11,7 @@ from lendstrata.functions.credit import default_label
 from lendstrata.functions.numeric import indicator
 from lendstrata.operators.features import add_ratios, log_features
 from lendstrata.operators.quantiles import iqr_filter
-from lendstrata.operators.skew import ROW_SALT, hot_keys, replicate_rows, skew_join, with_row_salt
+from lendstrata.operators.skew import ROW_SALT, HotKeys, hot_keys, lookup_join, replicate_rows, skew_join, with_row_salt
 from lendstrata.sources.specs import SNAPSHOT
 from lendstrata.sources.staging import stage
 
@@ -130,8 +130,8 @@ class _Fact:
     """A fact scan to join, numbered when it has hot keys, and these keys."""
 
     rows: DataFrame
-    hot_snapshots: list[int]
-    hot_customers: list[int]
+    hot_snapshots: HotKeys
+    hot_customers: HotKeys
 
     @staticmethod
     def of(scan: DataFrame) -> _Fact:
@@ -157,7 +157,7 @@ def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFr
     balanced = with_monthly_balance(financials.rows)
     if grain == "loan_type":
         copies = loan_type_copies(mart["fact_loan"], mart["fact_customer_loan_type"])
-        counted = skew_join(balanced, copies, BY_SNAPSHOT, hot_left=financials.hot_snapshots, hot_right=[])
+        counted = skew_join(balanced, copies, BY_SNAPSHOT, hot_left=financials.hot_snapshots, hot_right={})
         base = _join_customers(counted, financials, mart["dim_customer"])
     elif grain == "loan":
         loans = _Fact.of(mart["fact_loan"].select("loan_id", *BY_SNAPSHOT))
@@ -196,15 +196,14 @@ def enrich_with_dimensions(rows: DataFrame, mart: Mapping[str, DataFrame]) -> Da
     """Left joins to the four code dimensions, for reports that want their texts.
 
     The coded dimensions hold at most as many rows as their code has values and are
-    broadcast; payment behaviours come from free text, so their join is left to the
-    planner's size check.
+    broadcast; payment behaviours come from free text and are broadcast once counted.
     """
-    return (
+    coded = (
         rows.join(F.broadcast(mart["dim_credit_mix"]), "credit_mix_id", "left")
-        .join(mart["dim_payment_behaviour"], "payment_behaviour_id", "left")
         .join(F.broadcast(mart["dim_min_payment"]), "payment_code", "left")
         .join(F.broadcast(mart["dim_loan_type"]), "loan_type_id", "left")
     )
+    return lookup_join(coded, mart["dim_payment_behaviour"], ["payment_behaviour_id"])
 
 
 def star_rows(mart: Mapping[str, DataFrame]) -> DataFrame:
