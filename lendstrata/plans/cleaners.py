@@ -7,6 +7,7 @@ date) to the cleaned one. ``clean_snapshots`` adds the parts they share.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import StringType
 
 from lendstrata.functions import dates, text
 from lendstrata.operators.cleaning import cast_columns, complete_cases, multi_hot, null_counts
@@ -19,6 +20,19 @@ CREDIT_MIX_CODES = {"Standard": 2, "Good": 1, "Bad": 0}
 MIN_PAYMENT_CODES = {"Yes": 1, "No": 0}
 UNKNOWN_BEHAVIOUR = "!@9#%8"
 
+# How the amounts and counts of each source are read.
+LOAN_AMOUNTS = ["loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]
+LOAN_COUNTS = ["tenure", "installment_num"]
+FILLED_AMOUNTS = ["Annual_Income", "Monthly_Inhand_Salary", "Num_of_Delayed_Payment"]
+PLAIN_AMOUNTS = [
+    "Changed_Credit_Limit",
+    "Credit_Utilization_Ratio",
+    "Amount_invested_monthly",
+    "Monthly_Balance",
+    "Total_EMI_per_month",
+    "Outstanding_Debt",
+]
+
 KEY = "Customer_ID"
 
 
@@ -28,14 +42,9 @@ def _normalise_customer(df: DataFrame) -> DataFrame:
 
 def clean_loans(df: DataFrame) -> DataFrame:
     """Normalised key, dates as dates, amounts float, counts int."""
-    typed = cast_columns(
-        df,
-        floats=["loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"],
-        ints=["tenure", "installment_num"],
-    )
-    as_dates = {c: dates.parse_date(F.col(c)) for c in ("loan_start_date", specs.SNAPSHOT)
-                if dict(df.dtypes)[c] == "string"}
-    return _normalise_customer(typed.withColumns(as_dates) if as_dates else typed)
+    typed = cast_columns(df, floats=LOAN_AMOUNTS, ints=LOAN_COUNTS)
+    texts = [c for c in ("loan_start_date", specs.SNAPSHOT) if isinstance(df.schema[c].dataType, StringType)]
+    return _normalise_customer(typed.withColumns({c: dates.parse_date(F.col(c)) for c in texts}))
 
 
 def clean_attributes(df: DataFrame) -> DataFrame:
@@ -57,23 +66,8 @@ def clean_financials(df: DataFrame) -> DataFrame:
     be clean text; filler makes them NULL. A negative number of loans is unknown, with or
     without filler.
     """
-    stripped = cast_columns(
-        df,
-        floats=["Annual_Income", "Monthly_Inhand_Salary", "Num_of_Delayed_Payment"],
-        ints=["Num_of_Loan"],
-    )
-    plain = cast_columns(
-        stripped,
-        floats=[
-            "Changed_Credit_Limit",
-            "Credit_Utilization_Ratio",
-            "Amount_invested_monthly",
-            "Monthly_Balance",
-            "Total_EMI_per_month",
-            "Outstanding_Debt",
-        ],
-        strip=False,
-    )
+    stripped = cast_columns(df, floats=FILLED_AMOUNTS, ints=["Num_of_Loan"])
+    plain = cast_columns(stripped, floats=PLAIN_AMOUNTS, strip=False)
     coded = _normalise_customer(plain).withColumns(
         {
             "Num_of_Loan": text.negative_to_null(F.col("Num_of_Loan")),

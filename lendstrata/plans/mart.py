@@ -13,6 +13,31 @@ from lendstrata.sources.specs import N_CLICK_FEATURES, SNAPSHOT, click_features
 
 FLAG_PREFIX = "Has_"
 
+# What the facts carry over from the cleaned tables.
+FINANCIAL_MEASURES = [
+    "Annual_Income",
+    "Monthly_Inhand_Salary",
+    "Num_Bank_Accounts",
+    "Num_Credit_Card",
+    "Interest_Rate",
+    "Num_of_Loan",
+    "Delay_from_due_date",
+    "Num_of_Delayed_Payment",
+    "Changed_Credit_Limit",
+    "Num_Credit_Inquiries",
+    "Outstanding_Debt",
+    "Credit_Utilization_Ratio",
+    "Total_EMI_per_month",
+    "Amount_invested_monthly",
+]
+CODED_FINANCIALS = {
+    "payment_code": "Payment_of_Min_Amount",
+    "payment_behaviour_id": "Payment_Behaviour",
+    "credit_mix_id": "Credit_Mix",
+}
+CREDIT_HISTORY = ["Credit_History_Years", "Credit_History_Months"]
+LOAN_TERMS = ["loan_start_date", "tenure", "loan_amt", "due_amt", "paid_amt", "overdue_amt", "balance"]
+
 
 @dataclass(frozen=True)
 class CleanedTables:
@@ -83,51 +108,27 @@ def fact_clickstream(clickstream: DataFrame, features: DataFrame) -> DataFrame:
 
 def fact_financials(financials: DataFrame) -> DataFrame:
     """Customer financials per snapshot; balance and loan flags live elsewhere."""
-    return financials.select(
-        F.col("Customer_ID").alias("customer_id"),
-        SNAPSHOT,
-        "Annual_Income",
-        "Monthly_Inhand_Salary",
-        "Num_Bank_Accounts",
-        "Num_Credit_Card",
-        "Interest_Rate",
-        "Num_of_Loan",
-        "Delay_from_due_date",
-        "Num_of_Delayed_Payment",
-        "Changed_Credit_Limit",
-        "Num_Credit_Inquiries",
-        "Outstanding_Debt",
-        "Credit_Utilization_Ratio",
-        "Total_EMI_per_month",
-        "Amount_invested_monthly",
-        F.col("Payment_of_Min_Amount").alias("payment_code"),
-        F.col("Payment_Behaviour").alias("payment_behaviour_id"),
-        F.col("Credit_Mix").alias("credit_mix_id"),
-        "Credit_History_Years",
-        "Credit_History_Months",
-    )
+    coded = [F.col(source).alias(name) for name, source in CODED_FINANCIALS.items()]
+    key = F.col("Customer_ID").alias("customer_id")
+    return financials.select(key, SNAPSHOT, *FINANCIAL_MEASURES, *coded, *CREDIT_HISTORY)
 
 
 def fact_loan(loans: DataFrame) -> DataFrame:
     """Loan snapshots with months on book and days past due."""
-    missed = credit.installments_missed(F.col("overdue_amt"), F.col("due_amt"))
-    first = credit.first_missed_date(F.col(SNAPSHOT), F.col("installments_missed"))
-    dpd = credit.days_past_due(F.col("overdue_amt"), F.col(SNAPSHOT), F.col("first_missed_date"))
-    return loans.select(
+    overdue, due, snapshot = F.col("overdue_amt"), F.col("due_amt"), F.col(SNAPSHOT)
+    counted = loans.withColumn("installments_missed", credit.installments_missed(overdue, due))
+    dated = counted.withColumn(
+        "first_missed_date", credit.first_missed_date(snapshot, F.col("installments_missed"))
+    )
+    return dated.select(
         "loan_id",
         F.col("Customer_ID").alias("customer_id"),
         F.col("installment_num").cast("int").alias("mob"),
-        missed.alias("installments_missed"),
-        first.alias("first_missed_date"),
-        dpd.alias("dpd"),
+        "installments_missed",
+        "first_missed_date",
+        credit.days_past_due(overdue, snapshot, F.col("first_missed_date")).alias("dpd"),
         SNAPSHOT,
-        "loan_start_date",
-        "tenure",
-        "loan_amt",
-        "due_amt",
-        "paid_amt",
-        "overdue_amt",
-        "balance",
+        *LOAN_TERMS,
     )
 
 
