@@ -150,7 +150,9 @@ def read_mart(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {name: files.read_table(spark, layout.mart(name)) for name in MART_TABLES}
 
 
-def write_mart(tables: dict[str, DataFrame], layout: Layout, mode: str = "overwrite") -> None:
+def write_mart(
+    spark: SparkSession, tables: dict[str, DataFrame], layout: Layout, mode: str = "overwrite"
+) -> None:
     """Facts are partitioned by snapshot as the cleaned tables are, so they are written
     without a shuffle; dimensions are not partitioned."""
 
@@ -158,7 +160,7 @@ def write_mart(tables: dict[str, DataFrame], layout: Layout, mode: str = "overwr
         fact = name.startswith("fact_")
         files.write_table(tables[name], layout.mart(name), [SNAPSHOT] if fact else [], mode, clustered=fact)
 
-    failures = _attempt(tables, write)
+    failures = _attempt(spark, tables, write)
     if failures:
         raise RunFailed("mart", failures)
 
@@ -189,20 +191,20 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
             spark, layout.bronze(name), layout.cleaned(spec), spec, dates, config.reload
         )
 
-    failures = _attempt(present, ingest)
-    failures |= _attempt([n for n in present if n not in failures], clean)
+    failures = _attempt(spark, present, ingest)
+    failures |= _attempt(spark, [n for n in present if n not in failures], clean)
     absent = [s.name for s in SOURCES.values() if not files.table_exists(spark, layout.cleaned(s))]
     if absent:
         failures |= {n: failures.get(n, FileNotFoundError(layout.csv(n))) for n in absent}
         raise RunFailed("silver", failures)
-    write_mart(mart.build_mart(read_cleaned(spark, layout)), layout)
+    write_mart(spark, mart.build_mart(read_cleaned(spark, layout)), layout)
     write_gold(spark, config)
     if failures:
         raise RunFailed("silver", failures)
     return audits
 
 
-def _attempt(names: Iterable[str], step: Callable[[str], None]) -> dict[str, Exception]:
+def _attempt(spark: SparkSession, names: Iterable[str], step: Callable[[str], None]) -> dict[str, Exception]:
     """Run independent steps side by side, so that small ones do not leave the cluster idle."""
     failures: dict[str, Exception] = {}
 
@@ -214,5 +216,5 @@ def _attempt(names: Iterable[str], step: Callable[[str], None]) -> dict[str, Exc
             failures[name] = e
 
     with ThreadPoolExecutor(PARALLEL_STEPS) as pool:
-        list(pool.map(inheritable_thread_target(attempt), names))
+        list(pool.map(inheritable_thread_target(spark)(attempt), names))
     return failures

@@ -58,6 +58,7 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Itera
 
 def stage_all(**frames: DataFrame) -> dict[str, DataFrame]:
     """Stage independent frames side by side, each labelled with its argument's name."""
+    spark = next(iter(frames.values())).sparkSession
     with ThreadPoolExecutor(len(frames)) as pool:
-        staged = pool.map(inheritable_thread_target(stage), frames.values(), frames)
-        return dict(zip(frames, staged))
+        tables = pool.map(inheritable_thread_target(spark)(stage), frames.values(), frames)
+        return dict(zip(frames, tables))
