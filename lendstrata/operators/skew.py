@@ -7,8 +7,8 @@ from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_SHARE = 0.01  # a key is hot from this share of the rows on
-TRACKED_KEYS = 512  # counters per sketch; off by at most 1/384 of the rows, so no hot key is missed
+HOT_FACTOR = 4  # a key is hot when it would fill this many fair partitions, but
+HOT_SHARE_RANGE = (0.001, 0.01)  # always above the larger of these shares, never below the smaller
 BUCKETS_PER_PARTITION = 4  # a hot key gets four times its fair share of partitions as buckets
 ROW_SALT = "_row_salt"
 COPIES_PER_CHUNK = 65_536
@@ -31,26 +31,38 @@ def _key_id(df: DataFrame, on: Sequence[str], like: DataFrame) -> Column:
     return F.xxhash64(*(F.col(c).cast(like.schema[c].dataType) for c in on))
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _hot_share(df: DataFrame) -> float:
+    """Share of the rows from which a key is hot; smaller where there are more partitions."""
+    least, most = HOT_SHARE_RANGE
+    return min(most, max(least, HOT_FACTOR / _partitions(df)))
+
+
 def hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[HotKeys]:
     """Hot keys with their share of the rows, per key set, from one scan of the key columns.
 
     Each task keeps a frequent-items sketch per key set and nothing else is shuffled. At
-    most ``1 / HOT_SHARE`` keys can be hot, so the answer is short. A wrong estimate could
-    only change the balance of a join, never its result.
+    most a thousand keys can be hot, so the answer is short. The sketch has four counters
+    for each possible hot key, and a wrong estimate could only change the balance of a
+    join, never its result.
     """
-    k = round(1 / HOT_SHARE)
+    share = _hot_share(df)
+    k, tracked = ceil(1 / share), 2 ** ceil(log2(4 / share))
     top = [
-        F.call_function("approx_top_k", _key_id(df, on, df), F.lit(k), F.lit(TRACKED_KEYS)).alias(f"top{i}")
+        F.call_function("approx_top_k", _key_id(df, on, df), F.lit(k), F.lit(tracked)).alias(f"top{i}")
         for i, on in enumerate(key_sets)
     ]
     total, *tops = df.agg(F.count(F.lit(1)), *top).first()
-    return [{t["item"]: t["count"] / total for t in items if t["count"] >= total * HOT_SHARE} for items in tops]
+    return [{t["item"]: t["count"] / total for t in items if t["count"] >= total * share} for items in tops]
 
 
 def _by_buckets(df: DataFrame, hot: HotKeys) -> dict[int, list[int]]:
     """Hot keys by the number of buckets they get, a power of two that grows with the
     key's share of the rows and with the shuffle partitions of the session."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = _partitions(df)
     groups: dict[int, list[int]] = {}
     for key, share in hot.items():
         wanted = max(2, share * partitions * BUCKETS_PER_PARTITION)

@@ -173,6 +173,15 @@ def test_buckets_grow_with_the_share_and_the_cluster(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
+def test_smaller_keys_are_hot_on_larger_clusters(spark):
+    df = few_each(spark)
+    assert skew.hot_keys(df, ["k"]) == [{}]
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    (hot,) = skew.hot_keys(df, ["k"])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(hot) == 400 and set(hot.values()) == {1 / 400}
+
+
 def test_lookup_join_checks_the_size(spark, monkeypatch, shuffled_joins):
     rows_, lookup = skewed(spark), spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     small = skew.lookup_join(rows_, lookup, ["k"])

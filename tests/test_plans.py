@@ -97,7 +97,7 @@ def test_star_multiplicity(spark):
 
 
 def test_star_equals_features_of_all_joined_rows(spark):
-    """The weighted base gives what the reference order of work gives: join, repeat, then filter."""
+    """The weighted base gives what joining and repeating before filtering gives."""
     tables = workload.mart_tables(spark, SMALL)
     options = gold.StarOptions(relative_error=0)
     all_rows = gold.star_rows(tables).withColumn("_copies", F.lit(1).cast("long"))
