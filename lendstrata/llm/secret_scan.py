@@ -1,12 +1,13 @@
 """Secrets in texts: fixed patterns, and strings that look random to character Markov models.
 
 Two first-order models over characters, one of random strings and one of ordinary
-identifiers, are trained by counting adjacent characters in labelled samples: what the fixed
-patterns find in the corpus is random, words of documents drawn by hash are ordinary. A
+identifiers, are trained by counting adjacent characters in labelled samples: what the
+fixed patterns find in the corpus is random, words of documents drawn by hash, and identifiers put
+together from them, are ordinary. A
 string of the right make is a find when its log-likelihood ratio per character is high. Each
 model mixes its transitions with single characters, evenly likely ones for random strings, so
 that transitions never seen say little. Counting is a grouped sum with at most one row per
-pair of characters; a trained ratio is one literal, looked up by character codes.
+pair of characters; the trained ratios are one literal of a few kilobytes.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ RANDOM = "random"
 #: What the models may judge: runs of these characters with letters and digits.
 STRING = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
-CODES = 128
+#: Ratios are kept as whole steps above the least one.
+STEP, OFFSET = 0.001, 32.0
 
 
 @dataclass(frozen=True)
@@ -39,7 +41,7 @@ class Models:
     about how many documents give ordinary words of at least ``word_length`` characters."""
 
     transitions: float = 0.7
-    threshold: float = 0.9
+    threshold: float = 0.4
     sample_docs: int = 5_000
     word_length: int = 6
 
@@ -69,13 +71,19 @@ def located(text: Column, pattern: str, group: int) -> Column:
 
 def _base(text: Column) -> Column:
     """All base finds: ``(start, kind, end, value)`` by start, then kind as listed."""
-    each = []
-    for k, (_, pattern, group, least) in enumerate(BASE):
-        fit = F.filter(located(text, pattern, group), lambda x, n=least: F.length(x["value"]) >= n)
-        each.append(
-            F.transform(fit, lambda x, k=k: F.struct(x["start"].alias("start"), F.lit(k).alias("kind"), x["end"].alias("end"), x["value"].alias("value")))
-        )
-    return F.array_sort(F.concat(*each))
+    def finds(kind: int, pattern: str, group: int, least: int) -> Column:
+        fit = F.filter(located(text, pattern, group), lambda x: F.length(x["value"]) >= least)
+        return F.transform(fit, lambda x: _find(x, kind))
+
+    return F.array_sort(F.concat(*(finds(k, p, group, least) for k, (_, p, group, least) in enumerate(BASE))))
+
+
+def _find(x: Column, kind: int) -> Column:
+    return F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), x["value"].alias("value"))
+
+
+def _of_kind(kind: int) -> Column:
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
 
 
 def scanned(docs: DataFrame, models: Models) -> DataFrame:
@@ -129,23 +137,37 @@ def _transitions(pairs: dict[tuple[str, str], int], even: bool, weight: float) -
     return out
 
 
-def train(rows: DataFrame, models: Models = Models()) -> list[float]:
-    """Log-likelihood ratio of random to ordinary for ``CODES * code(a) + code(b)``."""
+def _identifiers(word: Column, n: Column) -> Column:
+    """A word, and identifiers made of it and its neighbour as programmers do."""
+    after = F.coalesce(F.get("ordinary", n + 1), word)
+    joined = [F.concat_ws(mark, word, after) for mark in ("_", "-", "/")]
+    number = (n % 100).cast("string")
+    return F.array(
+        word, *joined, F.upper(joined[0]), F.concat(word, F.initcap(after)), F.concat(word, number), F.concat_ws("_", word, F.lit("v"), number)
+    )
+
+
+def train(rows: DataFrame, models: Models = Models()) -> bytes:
+    """Log-likelihood ratios of random to ordinary, two bytes for each pair of characters of
+    ``ALPHABET``: that many ``STEP`` above ``-OFFSET``."""
     random = _pairs(rows.select(F.explode("base").alias("b")).select(F.col("b.value").alias("value")))
-    ordinary = _pairs(rows.select(F.explode("ordinary").alias("value")))
+    ordinary = _pairs(rows.select(F.explode(F.flatten(F.transform("ordinary", _identifiers))).alias("value")))
     p, q = _transitions(random, True, models.transitions), _transitions(ordinary, False, models.transitions)
-    ratio = [0.0] * (CODES * CODES)
-    for (a, b), x in p.items():
-        ratio[CODES * ord(a) + ord(b)] = round(x - q[a, b], 9)
-    return ratio
+    steps = (round((p[a, b] - q[a, b] + OFFSET) / STEP) for a in ALPHABET for b in ALPHABET)
+    return b"".join(min(max(n, 0), 65535).to_bytes(2, "big") for n in steps)
 
 
-def mean_ratio(value: Column, ratio: list[float]) -> Column:
-    """Log-likelihood ratio per transition of strings of at least two characters."""
-    table = F.split(F.lit(",".join(map(repr, ratio))), ",").cast("array<double>")
-    codes = F.transform(F.split(value, ""), F.ascii)
-    steps = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: F.get(table, CODES * a + b))
-    return F.aggregate(steps, F.lit(0.0), lambda x, y: x + y) / F.size(steps)
+def mean_ratio(value: Column, ratios: bytes) -> Column:
+    """Log-likelihood ratio per transition of strings of at least two of the characters."""
+    places = F.transform(F.split(value, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
+
+    def ratio(a: Column, b: Column) -> Column:
+        at = 2 * (a * len(ALPHABET) + b) + 1
+        return F.conv(F.hex(F.substring(F.lit(ratios), at, F.lit(2))), 16, 10).cast("long")
+
+    n = F.length(value) - 1
+    steps = F.zip_with(F.slice(places, 1, n), F.slice(places, 2, n), ratio)
+    return F.aggregate(steps, F.lit(0).cast("long"), lambda x, y: x + y) * F.lit(STEP) / n - OFFSET
 
 
 def scan(docs: DataFrame, models: Models = Models()) -> DataFrame:
@@ -160,19 +182,15 @@ def scan(docs: DataFrame, models: Models = Models()) -> DataFrame:
     number of finds.
     """
     rows = stage(scanned(docs, models), "secrets")
-    ratio = train(rows, models)
+    ratios = train(rows, models)
     apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    high = F.filter("strings", lambda x: apart(x) & (mean_ratio(x["value"], ratio) >= models.threshold))
-    odd = F.transform(
-        high, lambda x: F.struct(x["start"].alias("start"), F.lit(len(BASE)).alias("kind"), x["end"].alias("end"), x["value"].alias("value"))
-    )
+    high = F.filter("strings", lambda x: apart(x) & (mean_ratio(x["value"], ratios) >= models.threshold))
+    odd = F.transform(high, lambda x: _find(x, len(BASE)))
     names = F.array(*(F.lit(k) for k in (*(b[0] for b in BASE), RANDOM)))
     listed = lambda spans: F.array_join(
         F.transform(spans, lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ","
     )
-    counts = {
-        f"n_{name}": F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long") for k, (name, *_) in enumerate(BASE)
-    }
+    counts = {f"n_{name}": _of_kind(k) for k, (name, *_) in enumerate(BASE)}
     return rows.withColumn("odd", F.when(F.size("strings") > 0, odd).otherwise(F.slice("base", 1, 0))).select(
         "doc_id",
         *(c.alias(n) for n, c in counts.items()),

@@ -19,6 +19,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from .common import stage
@@ -220,10 +221,13 @@ def _compared(reps: DataFrame, n: int, threshold: float) -> DataFrame:
 
     pairs = stage(boxes.mapInPandas(partners, "g long, h long"), "vector-pairs")
     slim = grouped.select("grp", "node", "copies", "v")
-    left = slim.join(pairs, F.col("grp") == F.col("g")).select("g", "h", "node", "copies", "v")
-    right = slim.join(pairs.where("g <> h"), F.col("grp") == F.col("h")).select("g", "h", "node", "copies", "v")
+    sides = [
+        slim.join(some, F.col("grp") == F.col(own)).select("g", "h", F.lit(side).alias("side"), "node", "copies", "v")
+        for side, (own, some) in enumerate((("g", pairs), ("h", pairs.where("g <> h"))))
+    ]
 
-    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+    def compare(both: pa.Table) -> pa.Table:
+        a, b = (both.filter(pc.equal(both["side"], side)) for side in (0, 1))
         same = b.num_rows == 0
         tables = (a,) if same else (a, b)
         nodes, copies = ([t[c].to_numpy() for t in tables] for c in ("node", "copies"))
@@ -246,6 +250,5 @@ def _compared(reps: DataFrame, n: int, threshold: float) -> DataFrame:
         other = [None] * (len(node) - len(forest)) + [y for _, y in forest]
         return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64()), "other": pa.array(other, pa.int64())})
 
-    return left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInArrow(
-        compare, "node long, links long, other long"
-    )
+    # two groups of bounded size
+    return sides[0].union(sides[1]).groupBy("g", "h").applyInArrow(compare, "node long, links long, other long")
