@@ -18,17 +18,18 @@ from tokenizers import Tokenizer
 from .units import cut_at_spaces, ragged, resolve
 
 #: White space as the pre-tokenizer's pattern has it (Unicode's White_Space).
-SPACES = "\t-\r \x85\xa0  -     　"
+SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
-_EDGE = re.compile(f"[{SPACES}]")
+_SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACES}]", c))
 #: Units that are given to the library as one string.
 JOINED = 512
 
 
 #: A unit must hold other characters than white space, end with one, and have no more white
 #: space in front than the space that it was cut at.
-_ODD_FIRST = f"^$|[{SPACES}]$"
-_ODD_LATER = f"^[{SPACES}]|{_ODD_FIRST}"
+_ARROW_SPACES = "".join(sorted(_SPACES))
+_ODD_FIRST = f"^$|[{_ARROW_SPACES}]$"
+_ODD_LATER = f"^[{_ARROW_SPACES}]|{_ODD_FIRST}"
 
 
 def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -60,10 +61,12 @@ class Encoder:
         before they are encoded, and the ids are cut where the bytes of a unit end."""
         out: list[bytes] = []
         joined: list[list[str]] = [[]]
+        last = ""
         for u in units:
-            if joined[-1] and (len(joined[-1]) == JOINED or not _EDGE.match(u[:1]) or _EDGE.match(joined[-1][-1][-1:])):
+            if u[:1] not in _SPACES or last in _SPACES or len(joined[-1]) == JOINED:
                 joined.append([])
             joined[-1].append(u)
+            last = u[-1:]
         if not units:
             return out
         texts = ["".join(us) for us in joined]
@@ -80,9 +83,9 @@ class Encoder:
                 out += [raw[i:j] for i, j in zip(cuts, cuts[1:])]
         return out
 
-    def units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def units(self, units: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(flat, starts, lengths)`` of the units' ids."""
-        return ragged(resolve(units, self.memo, self.encode), "<u2")
+        return ragged(resolve(units, codes, self.memo, self.encode), "<u2")
 
 
 @lru_cache(maxsize=2)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import stage
-from .units import resolve, slices
+from .units import resolve, slices, strings
 
 UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, drawn by a hash of their id.
@@ -41,7 +41,7 @@ def letter_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     parts = pc.split_pattern(pc.utf8_trim(spaced, characters=" "), " ")
     encoded = parts.values.slice(parts.offsets[0].as_py(), parts.offsets[-1].as_py() - parts.offsets[0].as_py()).dictionary_encode()
     bounds = parts.offsets.to_numpy().astype(np.int64)
-    return encoded.dictionary.to_pylist(), encoded.indices.to_numpy(), bounds - bounds[0]
+    return strings(encoded.dictionary), encoded.indices.to_numpy(), bounds - bounds[0]
 
 
 def chunks(word: str) -> list[str]:
@@ -141,7 +141,7 @@ class Model:
         langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if not self.langs or not words:
             return langs, scores
-        each = np.array(resolve(words, self.memo, self.scores))
+        each = np.array(resolve(words, codes, self.memo, self.scores))
         each[empty] = 0
         # every text has at least one part, which is empty where there is no letter
         sums = np.add.reduceat(each[codes], bounds[:-1], axis=0)

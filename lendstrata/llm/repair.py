@@ -21,7 +21,7 @@ from .units import gather
 MAGIC, VERSION, HEADER = b"RPAIR", 1, struct.Struct("<5s6I")
 #: Most rounds, pairs replaced in a round, occurrences that a rule must have, and the least
 #: part of the sequence that a round must save for another to follow.
-ROUNDS, PAIRS, LEAST, GAIN = 5, 3000, 24, 0.02
+ROUNDS, PAIRS, LEAST, GAIN = 4, 3500, 24, 0.02
 _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 18
 
 

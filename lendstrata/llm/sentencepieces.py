@@ -228,7 +228,7 @@ class Model:
 
         units, codes, bounds = cut_at_spaces(plain, " ", "^$" if self.splits else "", "^$" if self.splits else "", recut)
         flat, starts, lengths = ragged(
-            resolve(units, self.memo, lambda us: self.segment_all([u.encode() for u in us])), "<i4"
+            resolve(units, codes, self.memo, lambda us: self.segment_all([u.encode() for u in us])), "<i4"
         )
         ends = sums(lengths[codes], bounds)
         return gather(flat, starts, lengths, codes), np.concatenate([[0], np.cumsum(ends)])

@@ -63,7 +63,7 @@ class Counter:
 
     def count(self, texts: pa.Array) -> np.ndarray:
         units, codes, bounds = cut(texts)
-        tokens = np.array(resolve(units, self.memo, self._compute), dtype=np.int64)
+        tokens = np.array(resolve(units, codes, self.memo, self._compute), dtype=np.int64)
         return sums(tokens[codes], bounds)
 
 

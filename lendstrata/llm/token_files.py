@@ -58,12 +58,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
 
         for batch, texts in slices(batches):
             units, codes, bounds = cut(texts)
-            flat, starts, lengths = known.units([*units, ""])
+            flat, starts, lengths = known.units(units, codes)
             # the end id is one more unit, after the last of each document
             starts = np.append(starts, len(flat))
             lengths = np.append(lengths, 1)
             flat = np.append(flat, np.uint16(end_id))
-            codes = np.insert(codes, bounds[1:], len(units) + 1)
+            codes = np.insert(codes, bounds[1:], len(units))
             bounds = bounds + np.arange(len(bounds))
             tokens = sums(lengths[codes], bounds)
             stream, after = gather(flat, starts, lengths, codes), np.cumsum(tokens)

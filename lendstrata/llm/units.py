@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text that is worked on at a time, and units that a worker remembers between times.
-SLICE_BYTES = 8 << 20
-MEMO_UNITS = 1_000_000
+SLICE_BYTES = 16 << 20
+MEMO_UNITS = 400_000
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
@@ -47,7 +47,7 @@ def cut_at_spaces(
     later, first = values.dictionary_encode(), values.take(pa.array(bounds[:-1])).dictionary_encode()
     codes = later.indices.to_numpy().astype(np.int64)
     codes[bounds[:-1]] = first.indices.to_numpy() + len(later.dictionary)
-    tails, heads = later.dictionary.to_pylist(), first.dictionary.to_pylist()
+    tails, heads = strings(later.dictionary), strings(first.dictionary)
     odd = np.concatenate(
         [
             pc.match_substring_regex(d, pattern).to_numpy(zero_copy_only=False).astype(bool)
@@ -71,14 +71,27 @@ def cut_at_spaces(
     return units, codes, bounds
 
 
-def resolve(units: list[str], memo: dict, compute: Callable[[list[str]], Iterable]) -> list:
-    """The value of each unit, from the memo or computed; the memo starts anew when full."""
-    missing = list(dict.fromkeys(u for u in units if u not in memo))
-    if len(memo) + len(missing) > MEMO_UNITS:
+def strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def resolve(units: list[str], codes: np.ndarray, memo: dict, compute: Callable[[list[str]], Iterable]) -> list:
+    """The value of each unit, from the memo or computed. The memo takes units that the codes
+    name more than once, and starts anew when full."""
+    values = list(map(memo.get, units))
+    places = [n for n, v in enumerate(values) if v is None]
+    if not places:
+        return values
+    again = (np.bincount(codes, minlength=len(units)) > 1).tolist()
+    fresh = {}
+    for n, v in zip(places, compute([units[n] for n in places])):
+        values[n] = v
+        if again[n]:
+            fresh[units[n]] = v
+    if len(memo) + len(fresh) > MEMO_UNITS:
         memo.clear()
-        missing = list(dict.fromkeys(units))
-    memo.update(zip(missing, compute(missing)))
-    return [memo[u] for u in units]
+    memo.update(fresh)
+    return values
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
