@@ -24,10 +24,10 @@ def plain_type(t: pa.DataType) -> str:
     return {"large_string": "string", "string_view": "string"}.get(str(t), str(t))
 
 
-def differences(spark: SparkSession, name: str, sf_dir: str) -> list[str]:
+def differences(spark: SparkSession, name: str, sf_dir: str, query=None, sql: str | None = None) -> list[str]:
     """What differs in columns, types and rows; empty when all agree."""
-    got = queries()[name](spark, sf_dir).toArrow()
-    want = connect(sf_dir).sql(oracle_sql()[name]).to_arrow_table()
+    got = (query or queries()[name])(spark, sf_dir).toArrow()
+    want = connect(sf_dir).sql(sql or oracle_sql()[name]).to_arrow_table()
     columns = sorted(got.column_names)
     if columns != sorted(want.column_names):
         return [f"columns {columns} against {sorted(want.column_names)}"]
