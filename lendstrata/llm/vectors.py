@@ -118,6 +118,32 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def compared(both: pa.Table, axes: np.ndarray, threshold: float) -> pa.Table:
+    """``node, links, other`` of two groups, told apart by ``side``, or of one with itself."""
+    a, b = (both.filter(pc.equal(both["side"], side)) for side in (0, 1))
+    same = b.num_rows == 0
+    tables = (a,) if same else (a, b)
+    nodes, copies = ([t[c].to_numpy() for t in tables] for c in ("node", "copies"))
+    tiles = [Tile(_matrix(t["v"]), axes) for t in tables]
+    counts = [np.zeros(t.num_rows, dtype=np.int64) for t in tables]
+    forest: list[tuple[int, int]] = []
+    for p in range(0, tables[0].num_rows, TILE):
+        for q in range(p if same else 0, tables[-1].num_rows, TILE):
+            i, j = linked(tiles[0].part(p), tiles[-1].part(q), threshold)
+            if same and p == q:
+                i, j = i[i < j], j[i < j]
+            i, j = i + p, j + q
+            np.add.at(counts[0], i, copies[-1][j])
+            np.add.at(counts[-1], j, copies[0][i])
+            forest += spanning(zip(nodes[0][i].tolist(), nodes[-1][j].tolist()))
+    forest = list(spanning(forest))
+    some = [np.flatnonzero(c) for c in counts]
+    node = np.concatenate([*(n[s] for n, s in zip(nodes, some)), np.array([x for x, _ in forest], dtype=np.int64)])
+    links = np.concatenate([*(c[s] for c, s in zip(counts, some)), np.zeros(len(forest), dtype=np.int64)])
+    other = [None] * (len(node) - len(forest)) + [y for _, y in forest]
+    return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64()), "other": pa.array(other, pa.int64())})
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row of ``vectors (vec_id, embedding)``.
 
@@ -220,35 +246,13 @@ def _compared(reps: DataFrame, n: int, threshold: float) -> DataFrame:
                 yield pd.DataFrame({"g": np.int64(own["grp"]), "h": ids[near]})
 
     pairs = stage(boxes.mapInPandas(partners, "g long, h long"), "vector-pairs")
-    slim = grouped.select("grp", "node", "copies", "v")
-    sides = [
-        slim.join(some, F.col("grp") == F.col(own)).select("g", "h", F.lit(side).alias("side"), "node", "copies", "v")
-        for side, (own, some) in enumerate((("g", pairs), ("h", pairs.where("g <> h"))))
-    ]
+    sides = pairs.select(F.col("g").alias("grp"), "g", "h", F.lit(0).alias("side")).union(
+        pairs.where("g <> h").select(F.col("h").alias("grp"), "g", "h", F.lit(1).alias("side"))
+    )
+    met = grouped.select("grp", "node", "copies", "v").join(sides, "grp").select("g", "h", "side", "node", "copies", "v")
 
     def compare(both: pa.Table) -> pa.Table:
-        a, b = (both.filter(pc.equal(both["side"], side)) for side in (0, 1))
-        same = b.num_rows == 0
-        tables = (a,) if same else (a, b)
-        nodes, copies = ([t[c].to_numpy() for t in tables] for c in ("node", "copies"))
-        tiles = [Tile(_matrix(t["v"]), axes) for t in tables]
-        counts = [np.zeros(t.num_rows, dtype=np.int64) for t in tables]
-        forest: list[tuple[int, int]] = []
-        for p in range(0, tables[0].num_rows, TILE):
-            for q in range(p if same else 0, tables[-1].num_rows, TILE):
-                i, j = linked(tiles[0].part(p), tiles[-1].part(q), threshold)
-                if same and p == q:
-                    i, j = i[i < j], j[i < j]
-                i, j = i + p, j + q
-                np.add.at(counts[0], i, copies[-1][j])
-                np.add.at(counts[-1], j, copies[0][i])
-                forest += spanning(zip(nodes[0][i].tolist(), nodes[-1][j].tolist()))
-        forest = list(spanning(forest))
-        some = [np.flatnonzero(c) for c in counts]
-        node = np.concatenate([*(n[s] for n, s in zip(nodes, some)), np.array([x for x, _ in forest], dtype=np.int64)])
-        links = np.concatenate([*(c[s] for c, s in zip(counts, some)), np.zeros(len(forest), dtype=np.int64)])
-        other = [None] * (len(node) - len(forest)) + [y for _, y in forest]
-        return pa.table({"node": pa.array(node, pa.int64()), "links": pa.array(links, pa.int64()), "other": pa.array(other, pa.int64())})
+        return compared(both, axes, threshold)
 
     # two groups of bounded size
-    return sides[0].union(sides[1]).groupBy("g", "h").applyInArrow(compare, "node long, links long, other long")
+    return met.groupBy("g", "h").applyInArrow(compare, "node long, links long, other long")
