@@ -29,7 +29,7 @@ def words(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of words as a long, counted from the gaps without keeping the words."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{GAP}|{GAP}\z", "")
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, GAP, -1))).cast("long")
 
 

@@ -17,14 +17,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import GAP, word_count
 
-#: Character classes by what to remove to leave them; what is in none of them is one more.
+#: Character classes; what is in none of them is one more. Lower-case letters, most of a text,
+#: are taken out first, so that the others are counted in what is left.
+LOWER = r"\p{Ll}"
 CLASSES = {
-    "lower": r"\P{Ll}+",
-    "upper": r"\P{Lu}+",
-    "digit": r"[^0-9]+",
-    "stop": r"[^.,;:!?'\"()-]+",
-    "symbol": r"[^#*$%&|<>]+",
-    "space": r"[^\x20\x09-\x0D]+",
+    "upper": r"\p{Lu}",
+    "digit": r"[0-9]",
+    "stop": r"[.,;:!?'\"()-]",
+    "symbol": r"[#*$%&|<>]",
+    "space": r"[\x20\x09-\x0D]",
 }
 #: Words in a window whose repetition counts.
 WINDOW = 5
@@ -54,9 +55,17 @@ class Reference:
     common: tuple[tuple[str, int], ...]
 
 
-def _class_counts(text: str) -> dict[str, Column]:
-    each = {f"c_{c}": F.length(F.regexp_replace(text, p, "")).cast("long") for c, p in CLASSES.items()}
-    return {**each, "c_all": F.length(text).cast("long")}
+def _with_classes(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``c_all``, the characters of ``text``, and ``c_*``, those of each class."""
+    count = lambda column: F.length(column).cast("long")
+    df = df.withColumn("__rest", F.regexp_replace(text, f"{LOWER}+", ""))
+    named = {f"c_{c}": count("__rest") - count(F.regexp_replace("__rest", f"{p}+", "")) for c, p in CLASSES.items()}
+    df = df.withColumns({"c_all": count(text), "c_lower": count(text) - count("__rest"), **named})
+    other = F.col("c_all") - sum((F.col(c) for c in _COUNTS[:-1]), F.lit(0))
+    return df.withColumn("c_other", other).drop("__rest")
+
+
+_COUNTS = ["c_lower", *(f"c_{c}" for c in CLASSES), "c_other"]
 
 
 def fit(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
@@ -71,37 +80,26 @@ def fit(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
     common: dict[str, list[tuple[str, int]]] = {}
     for r in top.orderBy("lang", "word").collect():  # common_words rows for each language
         common.setdefault(r["lang"], []).append((r["word"], r["count"]))
-    classes = _class_counts("__text")
-    sums = rows.groupBy("lang").agg(
-        F.sum(word_count(F.col("__text"))).alias("n_words"), *(F.sum(c).alias(n) for n, c in classes.items())
+    sums = _with_classes(rows, "__text").groupBy("lang").agg(
+        F.sum(word_count(F.col("__text"))).alias("n_words"), *(F.sum(c).alias(c) for c in _COUNTS)
     )
     return [
-        Reference(r["lang"], _with_rest([r[c] for c in classes]), r["n_words"], tuple(common.get(r["lang"], ())))
+        Reference(r["lang"], tuple(r[c] for c in _COUNTS), r["n_words"], tuple(common.get(r["lang"], ())))
         for r in sums.orderBy("lang").collect()
     ]
 
 
-def _with_rest(counts: list[int]) -> tuple[int, ...]:
-    """Counts of the classes and, last, all characters: the last becomes those in no class."""
-    return (*counts[:-1], counts[-1] - sum(counts[:-1]))
-
-
 def measured(docs: DataFrame, common: list[str]) -> DataFrame:
-    """``docs`` with the base columns, ``c_*``, the characters of each class, and ``hits``, how
-    often each of the common words occurs."""
+    """``docs`` with the base columns, the counts of ``_with_classes``, and ``hits``, how often
+    each of the common words occurs."""
     text, words, windows = "__text", "__words", "__windows"
     in_lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     window = F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - (WINDOW - 1), F.lit(0))),
         lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, WINDOW))),
     )
-    df = docs.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit(""))).withColumns(
-        {
-            words: F.filter(F.split(text, GAP, -1), lambda w: w != ""),
-            "__lines": in_lines,
-            **_class_counts(text),
-        }
-    )
+    df = _with_classes(docs.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit(""))), text)
+    df = df.withColumns({words: F.filter(F.split(text, GAP, -1), lambda w: w != ""), "__lines": in_lines})
     none = F.array().cast("array<string>")
     frequent = F.filter(F.transform(words, F.lower), lambda w: w.isin(common)) if common else none
     df = df.withColumns({windows: window, "__common": frequent})
@@ -160,8 +158,7 @@ def judged(docs: DataFrame, references: list[Reference], rules: Rules = Rules())
     common = sorted({w for r in references for w, _ in r.common})
     rows = measured(docs, common)
     chars = F.greatest("c_all", F.lit(1))
-    counts = [F.col(f"c_{c}") for c in CLASSES]
-    own_classes = F.transform(F.array(*counts, F.col("c_all") - sum(counts, F.lit(0))), lambda n: n / chars)
+    own_classes = F.transform(F.array(*_COUNTS), lambda n: n / chars)
     class_distances, word_distances = [], []
     for r in references:
         class_distances.append(_distance(own_classes, _shares(list(r.classes))))
@@ -176,7 +173,7 @@ def judged(docs: DataFrame, references: list[Reference], rules: Rules = Rules())
         (F.col("n_words") >= rules.guard_words) & (F.col("word_distance") > rules.word_distance)
     )
     rows = rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
-    return rows.drop("hits", "c_all", *(f"c_{c}" for c in CLASSES))
+    return rows.drop("hits", "c_all", *_COUNTS)
 
 
 def passed(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
