@@ -7,9 +7,8 @@ date) to the cleaned one. ``clean_snapshots`` adds the parts they share.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.types import StringType
 
-from lendstrata.functions import dates, text
+from lendstrata.functions import text
 from lendstrata.operators.cleaning import cast_columns, complete_cases, multi_hot, null_counts
 from lendstrata.operators.contracts import assert_schema, conform
 from lendstrata.sources import specs
@@ -41,10 +40,8 @@ def _normalise_customer(df: DataFrame) -> DataFrame:
 
 
 def clean_loans(df: DataFrame) -> DataFrame:
-    """Normalised key, dates as dates, amounts float, counts int."""
-    typed = cast_columns(df, floats=LOAN_AMOUNTS, ints=LOAN_COUNTS)
-    texts = [c for c in ("loan_start_date", specs.SNAPSHOT) if isinstance(df.schema[c].dataType, StringType)]
-    return _normalise_customer(typed.withColumns({c: dates.parse_date(F.col(c)) for c in texts}))
+    """Normalised key, amounts float, counts int; the contract has the dates as dates."""
+    return _normalise_customer(cast_columns(df, floats=LOAN_AMOUNTS, ints=LOAN_COUNTS))
 
 
 def clean_attributes(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lendstrata.functions.dates import month_spine_between
-from lendstrata.operators.contracts import assert_same_columns, assert_schema
+from lendstrata.operators.contracts import ContractError, assert_same_columns, assert_schema
 from lendstrata.operators.incremental import missing_snapshots
 from lendstrata.plans import gold, mart
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
@@ -93,9 +93,10 @@ def snapshot_dates(spark: SparkSession, start: date, end: date) -> list[date]:
 def load_bronze(
     spark: SparkSession, csv_path: str, bronze_path: str, spec: SourceSpec, dates: Sequence[date]
 ) -> None:
-    """All wanted snapshots of one CSV in one pass, replacing those it holds."""
+    """All wanted snapshots of one CSV in one pass, in place of those stored; a wanted snapshot
+    that the CSV no longer has goes."""
     rows = files.read_snapshots(spark, csv_path, spec, dates)
-    files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT])
+    files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT], stands_for=dates)
 
 
 def read_bronze(spark: SparkSession, bronze_path: str, spec: SourceSpec) -> DataFrame:
@@ -118,7 +119,7 @@ def load_cleaned(
     """
     bronze = read_bronze(spark, bronze_path, spec)
     if not reload:
-        wanted = bronze.select(SNAPSHOT).filter(F.col(SNAPSHOT).isin(list(dates)))
+        wanted = files.slice_snapshots(files.stored_snapshots(spark, bronze_path), dates)
         missing = missing_snapshots(wanted, files.stored_snapshots(spark, cleaned_path))
         dates = [r.snapshot_date for r in missing.collect()]
     if not dates:
@@ -128,7 +129,7 @@ def load_cleaned(
     cleaned = clean_snapshots(files.slice_snapshots(bronze, dates), spec, audit)
     if files.table_exists(spark, cleaned_path):
         assert_same_columns(cleaned, files.read_table(spark, cleaned_path), ignore=(SNAPSHOT, LINEAGE))
-    files.write_snapshots(cleaned, cleaned_path, clustered=True)
+    files.write_snapshots(cleaned, cleaned_path, clustered=True, stands_for=dates if reload else ())
     logger.info("%s: %s", spec.name, audit.get)
     return audit.get
 
@@ -177,10 +178,15 @@ def write_gold(spark: SparkSession, config: RunConfig) -> None:
 
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
-    """Run all layers; returns the audit figures of the cleaned batches by source."""
+    """Run all layers; returns the audit figures of the cleaned batches by source.
+
+    A registered source without a CSV, a CSV without a contract and a source that fails are
+    raised together at the end; the rest of the run is done with what is stored.
+    """
     layout, audits = config.layout, {}
     dates = snapshot_dates(spark, config.start, config.end)
-    present = [n for n in files.list_csv_sources(spark, layout.raw) if n in SOURCES]
+    delivered = files.list_csv_sources(spark, layout.raw)
+    present = [n for n in delivered if n in SOURCES]
 
     def ingest(name: str) -> None:
         load_bronze(spark, layout.csv(name), layout.bronze(name), SOURCES[name], dates)
@@ -191,11 +197,12 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
             spark, layout.bronze(name), layout.cleaned(spec), spec, dates, config.reload
         )
 
-    failures = _attempt(spark, present, ingest)
+    failures: dict[str, Exception] = {n: ContractError("no contract for this source") for n in delivered if n not in SOURCES}
+    failures |= {n: FileNotFoundError(layout.csv(n)) for n in SOURCES if n not in delivered}
+    failures |= _attempt(spark, present, ingest)
     failures |= _attempt(spark, [n for n in present if n not in failures], clean)
     absent = [s.name for s in SOURCES.values() if not files.table_exists(spark, layout.cleaned(s))]
     if absent:
-        failures |= {n: failures.get(n, FileNotFoundError(layout.csv(n))) for n in absent}
         raise RunFailed("silver", failures)
     write_mart(spark, mart.build_mart(read_cleaned(spark, layout)), layout)
     write_gold(spark, config)

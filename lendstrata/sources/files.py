@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lendstrata.functions.dates import parse_date
+from lendstrata.operators.contracts import ContractError
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 
 ROWS_PER_FILE = 20_000_000
@@ -40,13 +41,18 @@ def infer_schema(spark: SparkSession, path: str, sampling_ratio: float = 1.0) ->
 def read_csv(spark: SparkSession, path: str, contract: StructType) -> DataFrame:
     """CSV with header, typed by the contract, columns in file order, one pass.
 
-    Only the header line is looked at beforehand. Columns unknown to the contract and the
-    snapshot column are read as text; a value that does not fit its type becomes NULL.
+    Only a header line is looked at beforehand; a column that the contract doesn't know
+    raises. The job that reads the rows raises when another part file has other columns or
+    the same in another order, and when a value doesn't fit its type: silently, both would put
+    wrong values or NULLs into the columns. The snapshot column is read as text.
     """
     header = spark.read.csv(path, header=True).columns
     types = {f.name: f.dataType for f in contract if f.name != SNAPSHOT}
+    unknown = [c for c in header if c not in contract.names]
+    if unknown:
+        raise ContractError(f"{path}: unexpected columns {unknown}")
     schema = StructType([StructField(c, types.get(c, StringType())) for c in header])
-    return spark.read.csv(path, header=True, schema=schema)
+    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False, mode="FAILFAST")
 
 
 def read_snapshots(
@@ -78,13 +84,20 @@ def _arranged(df: DataFrame, partition_by: Sequence[str], clustered: bool) -> Da
 
 
 def write_snapshots(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,), clustered: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (SNAPSHOT,),
+    clustered: bool = False,
+    stands_for: Sequence[date] = (),
 ) -> None:
-    """Replace the snapshots that occur in ``df`` and leave all others alone.
+    """Replace the snapshots that occur in ``df``, and those that it stands for.
 
-    ``df`` must hold its snapshots whole. Writing the same rows again changes nothing. A
-    snapshot of which ``df`` holds no row at all keeps what was stored.
+    ``df`` must hold its snapshots whole. A stored snapshot of ``stands_for`` of which it holds
+    no row is removed, once the others are written; all further snapshots stay. Writing the
+    same rows again changes nothing.
     """
+    spark, on = df.sparkSession, partition_by[-1]
+    before = _partitions(spark, path, on) if stands_for else {}
     (
         _arranged(df, partition_by, clustered)
         .mode("overwrite")
@@ -92,6 +105,46 @@ def write_snapshots(
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if not before:
+        return
+    after = _partitions(spark, path, on)
+    for day in stands_for:
+        for folder, names in after.get(day, {}).items():
+            # a partition that was written again has files of new names
+            if names == before.get(day, {}).get(folder):
+                hadoop_folder = _hadoop_path(spark, folder)
+                _file_system(spark, hadoop_folder).delete(hadoop_folder, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path):
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _folders(spark: SparkSession, path: str, on: str) -> Iterator[tuple[str, str]]:
+    """``(partition value, folder)`` of a table that is partitioned by ``on`` at its first or
+    second level, from the folders' names."""
+    for pattern in (f"{path}/{on}=*", f"{path}/*=*/{on}=*"):
+        glob = _hadoop_path(spark, pattern)
+        for status in _file_system(spark, glob).globStatus(glob) or ():
+            yield status.getPath().getName().split("=", 1)[1], status.getPath().toString()
+
+
+def _partitions(spark: SparkSession, path: str, on: str) -> dict[date, dict[str, set[str]]]:
+    """Names of the data files by snapshot and folder; a calendar's worth of folders."""
+    found: dict[date, dict[str, set[str]]] = {}
+    for value, folder in _folders(spark, path, on):
+        try:
+            day = date.fromisoformat(value)
+        except ValueError:  # the folder of rows without a snapshot
+            continue
+        listed = _hadoop_path(spark, folder)
+        names = {f.getPath().getName() for f in _file_system(spark, listed).listStatus(listed)}
+        found.setdefault(day, {})[folder] = {n for n in names if not n.startswith((".", "_"))}
+    return found
 
 
 def write_table(
@@ -114,19 +167,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a readable Parquet table lies at ``path``, on any file system Spark reaches."""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
+    """Whether Parquet files lie below ``path``, on any file system Spark reaches. Only names
+    are looked at, up to the first such file."""
+    folder = _hadoop_path(spark, path)
+    system = _file_system(spark, folder)
+    if not system.exists(folder):
+        return False
+    files = system.listFiles(folder, True)
+    while files.hasNext():
+        if files.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
 
 
 def stored_snapshots(spark: SparkSession, path: str, on: str = SNAPSHOT) -> DataFrame:
-    """Distinct snapshots of a stored table; reads the partition column, no data column."""
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], f"{on} date")
-    return spark.read.parquet(path).select(on).distinct()
-
+    """Snapshots of a stored table, by the names of its partition folders; no row is read."""
+    days = sorted(day for day, folders in _partitions(spark, path, on).items() if any(folders.values()))
+    return spark.createDataFrame([(d,) for d in days], f"{on} date")

@@ -7,7 +7,6 @@ columns they need, and a lost executor costs no recomputation.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -20,14 +19,11 @@ from lendstrata.sources.files import read_table, write_table
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder from the session; a local one only where Spark itself is local."""
+    """The folder that the session names, which all executors must share."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lendstrata-"))
-    return spark.sparkContext.getCheckpointDir()
+    return configured
 
 
 def staging_path(spark: SparkSession, label: str) -> str:

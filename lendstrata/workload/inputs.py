@@ -111,8 +111,12 @@ def attributes_sql() -> str:
 EVENT_TYPES = ["click", "view", "error", "signup", "purchase"]
 
 
-def clickstream_sql() -> str:
-    """Events of a user and day, counted by type and quarter of the day into 20 features."""
+CLICK_DAY = "CAST(ts AS DATE)"
+CLICK_MONTH = "CAST(date_trunc('month', ts) AS DATE)"
+
+
+def clickstream_sql(snapshot: str = CLICK_DAY) -> str:
+    """Events of a user and snapshot, counted by type and quarter of the day into 20 features."""
     features = ",\n           ".join(
         f"CAST(count(CASE WHEN event_type = '{t}' AND hour(ts) >= {6 * q} AND hour(ts) < {6 * q + 6}"
         f" THEN 1 END) AS INT) AS fe_{4 * i + q + 1}"
@@ -123,9 +127,9 @@ def clickstream_sql() -> str:
     SELECT {features},
            concat(' CUS_', user_id, ' ') AS Customer_ID,
            'events' AS _metadata_file_name,
-           CAST(ts AS DATE) AS date,
-           CAST(ts AS DATE) AS snapshot_date
-    FROM {{events}} GROUP BY user_id, CAST(ts AS DATE)"""
+           {snapshot} AS date,
+           {snapshot} AS snapshot_date
+    FROM {{events}} GROUP BY user_id, {snapshot}"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -148,5 +152,5 @@ def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(spark, sf_dir, attributes_sql(), "orders", "customer")
 
 
-def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, clickstream_sql(), "events")
+def raw_clickstream(spark: SparkSession, sf_dir: str, snapshot: str = CLICK_DAY) -> DataFrame:
+    return _derive(spark, sf_dir, clickstream_sql(snapshot), "events")

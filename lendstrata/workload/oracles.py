@@ -295,10 +295,23 @@ PRICES = "SELECT o_orderkey, o_custkey, o_totalprice, c_acctbal FROM orders JOIN
 def oracle_sql() -> dict[str, str]:
     kept_star = STAR_SELECT + " FROM kept"
     star_iqr = _iqr("star_rows", OUTLIERS, 1.5)
-    calendar = {
-        raw: f"SELECT * FROM ({LAYERS[raw]}) WHERE snapshot_date >= DATE '2000-01-01'"
+    later = {
+        raw: f"""SELECT * REPLACE (CAST(snapshot_date + INTERVAL 120 MONTH AS DATE) AS snapshot_date) FROM ({LAYERS[raw]})"""
         for raw in ("raw_loans", "raw_financials", "raw_attributes")
-    }
+    } | {"raw_clicks": _on_views(inputs.clickstream_sql(inputs.CLICK_MONTH))}
+    mart = (
+        "dim_snapshot",
+        "dim_customer",
+        "dim_feature",
+        "dim_credit_mix",
+        "dim_payment_behaviour",
+        "dim_min_payment",
+        "dim_loan_type",
+        "fact_clickstream",
+        "fact_financials",
+        "fact_loan",
+        "fact_customer_loan_type",
+    )
     return {
         # sources and snapshots
         "month_spine": """
@@ -464,7 +477,19 @@ def oracle_sql() -> dict[str, str]:
                       Outstanding_Debt, Total_EMI_per_month) FROM balanced""",
         ),
         "loan_analytics_star": _with(["star_rows"], kept_star, star_iqr),
-        "medallion_run": _with(["star_rows"], kept_star, star_iqr, calendar),
+        "medallion_run": _with(["star_rows"], kept_star, star_iqr, later),
+        "medallion_labels": _with(["fact_loan"], LABELS.format(fact="fact_loan"), instead=later),
+        "medallion_mart": _with(
+            list(mart),
+            " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in mart),
+            instead=later,
+        ),
+        "reload_withdrawn": _with(
+            ["attributes"],
+            """SELECT * EXCLUDE (_metadata_file_name) FROM attributes
+               WHERE snapshot_date NOT IN (DATE '2006-03-01', DATE '2007-05-01')""",
+            instead=later,
+        ),
         "loan_analytics_star_by_loan": _with(
             ["loan_rows"],
             kept_star.replace("SELECT customer_id", "SELECT loan_id, customer_id", 1),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -387,25 +388,65 @@ def loan_analytics_star_by_loan(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(gold.build_star(mart_tables(spark, d), gold.StarOptions(grain="loan", relative_error=0)))
 
 
-def medallion_run(spark: SparkSession, d: str) -> DataFrame:
-    """All layers, from the four sources delivered as CSV to the star read back from gold.
+#: Two-digit years read as 20yy, so all dates of the run are moved behind 2000.
+MONTHS_LATER = 120
+
 
-    The calendar starts in 2000, as years of the financials have two digits.
-    """
+def _whole_run(spark: SparkSession, d: str) -> medallion.Layout:
+    """All layers over all rows of the four sources, delivered as CSV; the calendar spans their
+    snapshots."""
     root = staging_path(spark, "run")
     layout = medallion.Layout(f"{root}/raw", f"{root}/lake")
-    for name, raw in {
-        "lms_loan_daily": inputs.raw_loans(spark, d),
-        "features_financials": inputs.raw_financials(spark, d),
-        "features_attributes": inputs.raw_attributes(spark, d),
-        "feature_clickstream": inputs.raw_clickstream(spark, d),
-    }.items():
+    later = F.add_months(SNAPSHOT, MONTHS_LATER)
+    sources = {
+        "lms_loan_daily": inputs.raw_loans(spark, d).withColumn(SNAPSHOT, later),
+        "features_financials": inputs.raw_financials(spark, d).withColumn(SNAPSHOT, later),
+        "features_attributes": inputs.raw_attributes(spark, d).withColumn(SNAPSHOT, later),
+        "feature_clickstream": inputs.raw_clickstream(spark, d, inputs.CLICK_MONTH),
+    }
+    spans = [df.agg(F.min(SNAPSHOT).alias("low"), F.max(SNAPSHOT).alias("high")) for df in sources.values()]
+    span = reduce(DataFrame.union, spans).agg(F.min("low"), F.max("high")).first()
+    for name, raw in sources.items():
         write_raw_csv(raw, layout.csv(name), SOURCES[name])
-    medallion.run(
-        spark,
-        medallion.RunConfig(layout, date(2000, 1, 1), date(2024, 1, 1), star=gold.StarOptions(relative_error=0)),
+    medallion.run(spark, medallion.RunConfig(layout, *span, star=gold.StarOptions(relative_error=0)))
+    return layout
+
+
+def medallion_run(spark: SparkSession, d: str) -> DataFrame:
+    """The star of a whole run, read back from gold."""
+    return _rounded(files.read_table(spark, _whole_run(spark, d).gold("loan_analytics_star")))
+
+
+def medallion_labels(spark: SparkSession, d: str) -> DataFrame:
+    """The labels of a whole run, read back from gold."""
+    return files.read_table(spark, _whole_run(spark, d).gold("label_store"))
+
+
+def medallion_mart(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of each mart table of a whole run, read back."""
+    tables = medallion.read_mart(spark, _whole_run(spark, d))
+    counted = [
+        t.agg(F.first(F.lit(name)).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, t in tables.items()
+    ]
+    return reduce(DataFrame.union, counted)
+
+
+def reload_withdrawn(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes loaded twice: at the second delivery one snapshot is gone and another has no
+    valid row left."""
+    root = staging_path(spark, "withdrawn")
+    later = F.add_months(SNAPSHOT, MONTHS_LATER)
+    first = inputs.raw_attributes(spark, d).withColumn(SNAPSHOT, later)
+    gone, invalid = date(2006, 3, 1), date(2007, 5, 1)
+    second = first.filter(F.col(SNAPSHOT) != F.lit(gone)).withColumn(
+        "SSN", F.when(F.col(SNAPSHOT) == F.lit(invalid), F.lit("#F%$D@*&8")).otherwise(F.col("SSN"))
     )
-    return _rounded(files.read_table(spark, layout.gold("loan_analytics_star")))
+    dates = [r[0] for r in first.select(SNAPSHOT).distinct().collect()]
+    for n, (delivery, reload) in enumerate(((first, False), (second, True))):
+        write_raw_csv(delivery, f"{root}/raw{n}.csv", ATTRIBUTES)
+        medallion.load_bronze(spark, f"{root}/raw{n}.csv", f"{root}/bronze", ATTRIBUTES, dates)
+        medallion.load_cleaned(spark, f"{root}/bronze", f"{root}/silver", ATTRIBUTES, dates, reload)
+    return files.read_table(spark, f"{root}/silver", ATTRIBUTES.cleaned).drop(LINEAGE)
 
 
 def queries() -> dict[str, Query]:
@@ -461,4 +502,7 @@ def queries() -> dict[str, Query]:
         "loan_analytics_star": loan_analytics_star,
         "loan_analytics_star_by_loan": loan_analytics_star_by_loan,
         "medallion_run": medallion_run,
+        "medallion_labels": medallion_labels,
+        "medallion_mart": medallion_mart,
+        "reload_withdrawn": reload_withdrawn,
     }

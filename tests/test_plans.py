@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections import Counter
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from lendstrata.operators.contracts import ContractError
 from lendstrata.plans import cleaners, gold, mart, medallion
 from lendstrata.plans.cleaners import SOURCES
 from lendstrata.sources import feature_store, files, specs, staging
+from lendstrata.sources.staging import staging_path
 from lendstrata.streaming.refresh import refresh_cleaned
 from lendstrata.workload import inputs, queries as workload
 from lendstrata.workload.queries import write_raw_csv
@@ -184,7 +187,13 @@ def test_missing_and_broken_sources_are_reported(spark, folder):
     spark.range(1).write.csv(layout.csv("lms_loan_daily"), header=True)
     with pytest.raises(medallion.RunFailed) as e:
         medallion.run(spark, medallion.RunConfig(layout, **RUN))
-    assert "snapshot_date" in str(e.value.failures["lms_loan_daily"])
+    assert "unexpected columns ['id']" in str(e.value.failures["lms_loan_daily"])
+    Path(layout.csv("features_attributes")).write_text(raw_attribute_lines("1", "2").replace("2023", "2000"))
+    Path(layout.csv("features_attribute")).write_text(raw_attribute_lines("3"))
+    with pytest.raises(medallion.RunFailed) as e:
+        medallion.run(spark, medallion.RunConfig(layout, **RUN))
+    assert set(e.value.failures) == {*SOURCES, "features_attribute"} - {"features_attributes"}
+    assert files.table_exists(spark, layout.cleaned(SOURCES["features_attributes"]))
 
 
 # sources and snapshots
@@ -274,3 +283,46 @@ def test_cleaners_do_not_depend_on_ansi_mode(spark, source):
         got.append(rows(cleaners.clean_snapshots(raw, SOURCES[source])))
     spark.conf.unset("spark.sql.ansi.enabled")
     assert got[0] == got[1] and got[0]
+
+
+def raw_attribute_lines(*names: str) -> str:
+    return "Customer_ID,Name,Age,SSN,Occupation,snapshot_date\n" + "".join(
+        f"CUS_{n},Ann,{n},111-22-3333,work,2023-01-01\n" for n in names
+    )
+
+
+def test_csv_with_an_unknown_column_is_refused(spark, folder):
+    Path(folder, "x.csv").write_text("Customer_ID,Shoe,snapshot_date\nC,44,2023-01-01\n")
+    with pytest.raises(ContractError, match="Shoe"):
+        files.read_csv(spark, f"{folder}/x.csv", SOURCES["features_attributes"].raw)
+
+
+def test_part_file_with_another_column_order_is_refused(spark, folder):
+    Path(folder, "x.csv").mkdir()
+    Path(folder, "x.csv/a.csv").write_text(raw_attribute_lines("1"))
+    Path(folder, "x.csv/b.csv").write_text("Customer_ID,Age,Name,SSN,Occupation,snapshot_date\nC,3,Bob,1,w,2023-01-01\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        files.read_csv(spark, f"{folder}/x.csv", SOURCES["features_attributes"].raw).collect()
+
+
+def test_value_that_does_not_fit_its_type_is_refused(spark, folder):
+    Path(folder, "x.csv").write_text("loan_id,tenure,snapshot_date\nL,12,2023-01-01\nM,10_,2023-01-01\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv(spark, f"{folder}/x.csv", SOURCES["lms_loan_daily"].raw).collect()
+
+
+def test_snapshots_are_replaced_by_nothing(spark, folder):
+    jan, feb, mar = date(2023, 1, 1), date(2023, 2, 1), date(2023, 3, 1)
+    table = spark.createDataFrame([(1, jan), (2, feb), (3, mar)], "x int, snapshot_date date")
+    files.write_snapshots(table, f"{folder}/t")
+    files.write_snapshots(table.filter("x = 2"), f"{folder}/t", stands_for=[jan, feb])
+    assert rows(spark.read.parquet(f"{folder}/t")) == Counter([(2, feb), (3, mar)])
+    files.write_snapshots(table.filter("x = 0"), f"{folder}/t", stands_for=[feb])
+    assert [r[0] for r in files.stored_snapshots(spark, f"{folder}/t").collect()] == [mar]
+
+
+def test_folder_for_intermediate_tables_must_be_named(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        staging_path(spark, "x")
