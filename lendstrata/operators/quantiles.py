@@ -1,19 +1,18 @@
 """Column quantiles and the inter-quartile outlier filter.
 
-Two ways to a quantile, for all columns at once:
-
-* ``approx_quantiles``: one scan with mergeable sketches, one small buffer per column and task.
-* ``exact_quantiles``: two scans. The first counts rows in a coarse histogram, which locates
-  the cell of the wanted rank; the second counts the distinct values of that cell alone.
-  Takes row weights, so repeated rows need not be repeated.
-
-Neither sorts a column, both combine map-side before they shuffle, and no task or driver
-sees more than sketches, a histogram of bounded size, or the distinct values of a narrow cell.
+``quantiles`` finds them for all columns at once by narrowing ranges. One scan counts rows in
+a coarse histogram and finds the cell of each wanted rank; each further scan counts the rows
+of the found ranges in ``PARTS`` equal parts, until a range holds a single value, or no more
+rows than the wanted error allows. Every scan is a grouped count that is combined before its
+shuffle; neither a task nor the driver sees more groups than that, however many values are
+close together. Doubles leave room for about six scans. Rows may have weights, so repeated
+rows need not be repeated.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -21,31 +20,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lendstrata.functions.numeric import nan_to_null
 from lendstrata.operators.reshape import unpivot
-from lendstrata.operators.skew import replicate_rows
 
 CELLS_PER_LOG_UNIT = 64
 LARGEST_LOG = 710.0  # log1p of the largest double is below this
+PARTS = 2048
 
 
-def approx_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    relative_error: float = 0.01,
-    weight: str | None = None,
-) -> DataFrame:
-    """One row with an array of quantiles per column, each off by at most
-    ``relative_error`` of the rows in rank. NULL and NaN do not count."""
-    if relative_error <= 0:
-        raise ValueError("relative_error must be positive; exact_quantiles gives exact ones")
-    rows = df.select(*columns) if weight is None else replicate_rows(df.select(*columns, weight), weight)
-    accuracy = max(1, round(1 / relative_error))
-    return rows.agg(
-        *(
-            F.percentile_approx(nan_to_null(F.col(c).cast("double")), list(probabilities), accuracy).alias(c)
-            for c in columns
-        )
-    )
+@dataclass(frozen=True)
+class Range:
+    """Where a quantile lies: from ``low`` to ``high``, the ``rank``-th of ``n`` rows there."""
+
+    column: str
+    i: int
+    low: float
+    high: float
+    rank: int
+    n: int
+    total: int
+
+    def settled(self, relative_error: float) -> bool:
+        return self.low == self.high or self.n <= relative_error * self.total
 
 
 def _cell(value: Column) -> Column:
@@ -54,56 +48,82 @@ def _cell(value: Column) -> Column:
     return F.floor(F.signum(value) * size * CELLS_PER_LOG_UNIT).cast("int")
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    weight: str | None = None,
-) -> DataFrame:
-    """One row with an array of exact discrete quantiles per column: the least value
-    whose cumulative weight reaches ``p`` of the total. NULL and NaN do not count."""
-    w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    numeric = df.select(w.alias("_w"), *(nan_to_null(F.col(c).cast("double")).alias(c) for c in columns))
-    values = (
-        unpivot(numeric.filter("_w > 0"), ["_w"], columns, "_column", "_value")
-        .filter("_value is not null")
-        .withColumn("_cell", _cell(F.col("_value")))
+def _summed(values: DataFrame, groups: list[str]) -> DataFrame:
+    """By cell of each group: its rows, least and largest value, and the rows up to its end."""
+    upto = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = values.groupBy(*groups, "_cell").agg(
+        F.sum("_w").alias("_n"), F.min("_value").alias("_low"), F.max("_value").alias("_high")
     )
+    return counted.withColumn("_upto", F.sum("_n").over(upto))
+
 
+def _located(values: DataFrame, probabilities: Sequence[float]) -> list[Range]:
+    """The cell of the coarse histogram for each column and probability."""
     whole = Window.partitionBy("_column")
-    upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probabilities)))
-    targets = (
-        values.groupBy("_column", "_cell")
-        .agg(F.sum("_w").alias("_n"))
-        .select("*", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(whole).alias("_total"))
+    wanted = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probabilities)))
+    found = (
+        _summed(values.withColumn("_cell", _cell(F.col("_value"))), ["_column"])
+        .withColumn("_total", F.sum("_n").over(whole))
         .withColumn("_want", F.explode(wanted))
         .withColumn("_rank", F.greatest(F.lit(1), F.ceil(F.col("_want.p") * F.col("_total"))))
         .filter("_rank <= _upto and _rank > _upto - _n")
-        .select("_column", "_cell", F.col("_want.i").alias("_i"), F.expr("_rank - (_upto - _n)").alias("_rank"))
-    )  # one row per column and probability, hence safe to broadcast
+        .selectExpr("_column", "_want.i", "_low", "_high", "_rank - (_upto - _n)", "_n", "_total")
+    )
+    return [Range(*r) for r in found.collect()]  # one row per column and probability
+
 
-    inside = Window.partitionBy("_column", "_i").orderBy("_value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+def _narrowed(values: DataFrame, ranges: list[Range]) -> list[Range]:
+    """For each range the one of its parts that holds the rank; its ends are values."""
+    known = values.sparkSession.createDataFrame(
+        [(r.column, r.i, r.low, r.high, r.rank) for r in ranges],
+        "_column string, _i int, _from double, _to double, _rank bigint",
     )
-    found = (
-        values.join(F.broadcast(targets), ["_column", "_cell"])
-        .groupBy("_column", "_i", "_rank", "_value")
-        .agg(F.sum("_w").alias("_n"))
-        .select("_column", "_i", "_value", "_rank", F.sum("_n").over(inside).alias("_upto"))
-        .filter("_upto >= _rank")
+    # halved, as the difference of two large doubles may have no double; beside an infinite
+    # end, or between neighbours, everything but the ends is in the middle
+    value, low, high = F.col("_value"), F.col("_from"), F.col("_to")
+    place = F.coalesce(F.nanvl(F.try_divide(value / 2 - low / 2, high / 2 - low / 2), F.lit(0.5)), F.lit(0.5))
+    part = F.least(F.floor(place * PARTS), F.lit(PARTS - 1)).cast("int")
+    inside = (
+        values.join(F.broadcast(known), "_column")
+        .filter("_value between _from and _to")
+        .withColumn("_cell", F.when(value == low, 0).when(value == high, PARTS - 1).otherwise(part))
     )
-    return found.groupBy().agg(
-        *(
-            F.array(
-                *(
-                    F.min(F.when((F.col("_column") == c) & (F.col("_i") == i), F.col("_value")))
-                    for i in range(len(probabilities))
-                )
-            ).alias(c)
-            for c in columns
-        )
+    found = (
+        _summed(inside, ["_column", "_i", "_rank"])
+        .filter("_rank <= _upto and _rank > _upto - _n")
+        .selectExpr("_column", "_i", "_low", "_high", "_rank - (_upto - _n)", "_n")
     )
+    totals = {(r.column, r.i): r.total for r in ranges}
+    return [Range(*r, totals[r[0], r[1]]) for r in found.collect()]
+
+
+def quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    relative_error: float = 0.01,
+    weight: str | None = None,
+) -> DataFrame:
+    """One row with an array of discrete quantiles per column.
+
+    With ``relative_error`` 0 a quantile is the least value whose cumulative weight reaches
+    ``p`` of the total; else it is a value that is off in rank by at most that part of the
+    total. NULL and NaN do not count; a column without values has NULLs.
+    """
+    if relative_error < 0:
+        raise ValueError("relative_error must not be negative")
+    w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    numeric = df.select(w.alias("_w"), *(nan_to_null(F.col(c).cast("double")).alias(c) for c in columns))
+    values = unpivot(numeric.filter("_w > 0"), ["_w"], columns, "_column", "_value").filter("_value is not null")
+    done: list[Range] = []
+    todo = _located(values, probabilities)
+    while todo:
+        done += [r for r in todo if r.settled(relative_error)]
+        todo = [r for r in todo if not r.settled(relative_error)]
+        todo = _narrowed(values, todo) if todo else []
+    found = {(r.column, r.i): r.low for r in done}
+    row = tuple([found.get((c, i)) for i in range(len(probabilities))] for c in columns)
+    return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))
 
 
 def iqr_bounds(
@@ -116,11 +136,7 @@ def iqr_bounds(
     """One row with a struct (lower, upper) per column: the quartiles widened by ``k``
     inter-quartile ranges. ``relative_error=0`` asks for exact quartiles."""
     quartiles = [0.25, 0.75]
-    stats = (
-        exact_quantiles(df, columns, quartiles, weight)
-        if relative_error == 0
-        else approx_quantiles(df, columns, quartiles, relative_error, weight)
-    )
+    stats = quantiles(df, columns, quartiles, relative_error, weight)
 
     def fence(c: str) -> Column:
         q1, q3 = F.get(c, F.lit(0)), F.get(c, F.lit(1))

@@ -460,6 +460,11 @@ def oracle_sql() -> dict[str, str]:
                 SELECT quantile_disc(o_totalprice, 0.25) AS q1, quantile_disc(o_totalprice, 0.75) AS q3 FROM prices)
             SELECT q1 - CAST(1.5 AS DOUBLE) * (q3 - q1) AS price_lower,
                    q3 + CAST(1.5 AS DOUBLE) * (q3 - q1) AS price_upper FROM quartiles""",
+        "quartile_ranks": f"""
+            WITH prices AS ({PRICES})
+            SELECT column_name, quartile, count(*) > 0 AS within_error
+            FROM prices, (VALUES ('o_totalprice', 0.25::DOUBLE), ('o_totalprice', 0.75), ('c_acctbal', 0.25), ('c_acctbal', 0.75))
+                 q(column_name, quartile) GROUP BY ALL""",
         "log_features": f"""
             WITH prices AS ({PRICES})
             SELECT o_orderkey, {_log('o_totalprice')} AS o_totalprice_Log,

@@ -349,6 +349,27 @@ def iqr_bounds(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def quartile_ranks(spark: SparkSession, d: str) -> DataFrame:
+    """Quartiles with the default error: whether the rank of each is off by no more than it."""
+    columns, wanted, error = ["o_totalprice", "c_acctbal"], [0.25, 0.75], 0.01
+    prices = priced_orders(spark, d)
+    found = quantiles.quantiles(prices, columns, wanted, error).first()
+    n = F.count(F.lit(1))
+    checks = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(p).alias("quartile"),
+            ((F.count_if(F.col(c) < found[c][i]) <= (p + error) * n) & (F.count_if(F.col(c) <= found[c][i]) >= (p - error) * n)).alias(
+                "within_error"
+            ),
+        )
+        for c in columns
+        for i, p in enumerate(wanted)
+    ]
+    return prices.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
+
 def log_features(spark: SparkSession, d: str) -> DataFrame:
     logs = features.log_features(priced_orders(spark, d), ["o_totalprice"], ["c_acctbal"])
     return logs.select("o_orderkey", *(F.round(c, 6).alias(c) for c in ("o_totalprice_Log", "c_acctbal_Log")))
@@ -495,6 +516,7 @@ def queries() -> dict[str, Query]:
         "star_fan_out": star_fan_out,
         "iqr_filter": iqr_filter,
         "iqr_bounds": iqr_bounds,
+        "quartile_ranks": quartile_ranks,
         "log_features": log_features,
         "safe_ratios": safe_ratios,
         "is_employed": is_employed,

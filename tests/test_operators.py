@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -229,14 +230,14 @@ def expected_quantile(values, p):
 )
 def test_exact_quantiles(spark, values, copies):
     df = spark.createDataFrame([(v, copies) for v in values] + [(float("nan"), 1), (None, 1)], "x double, n int")
-    got = quantiles.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0], weight="n").first().x
+    got = quantiles.quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.75, 1.0], 0, weight="n").first().x
     assert got == [expected_quantile(values * copies, p) for p in (0.0, 0.25, 0.5, 0.75, 1.0)]
 
 
 def test_approximate_quantiles_stay_within_their_error(spark):
     df = spark.range(20_000).select(((F.col("id") * 7919) % 20_000).cast("double").alias("x"), F.lit(2).alias("n"))
     for weight in (None, "n"):
-        (q1, q3) = quantiles.approx_quantiles(df, ["x"], [0.25, 0.75], 0.01, weight).first().x
+        (q1, q3) = quantiles.quantiles(df, ["x"], [0.25, 0.75], 0.01, weight).first().x
         assert abs(q1 - 5_000) <= 200 and abs(q3 - 15_000) <= 200
 
 
@@ -260,7 +261,7 @@ def test_iqr_fences_are_inclusive(spark):
 def test_exact_quantiles_do_not_depend_on_partitioning(spark):
     df = spark.range(5000).select(((F.col("id") * 31) % 977).alias("x"))
     got = {
-        tuple(quantiles.exact_quantiles(df.repartition(n), ["x"], [0.25, 0.75]).first().x) for n in (1, 4, 16)
+        tuple(quantiles.quantiles(df.repartition(n), ["x"], [0.25, 0.75], 0).first().x) for n in (1, 4, 16)
     }
     assert len(got) == 1
 
@@ -286,3 +287,18 @@ def test_ratios_skip_incomplete_definitions(spark):
     df = spark.createDataFrame([(5.0, 2.0)], "a double, b double")
     got = features.add_ratios(df, [("r", "a", "b"), ("s", "a", "absent")])
     assert got.columns == ["a", "b", "r"] and got.first().r == 2.5
+
+
+@pytest.mark.parametrize("values", [
+    "1e6 + id / 200",  # one cell of the histogram
+    "pow(2.0, -(id % 1000))",
+    "CASE WHEN id % 3 = 0 THEN double('-infinity') WHEN id % 3 = 1 THEN double('infinity') ELSE id END",
+    "CASE WHEN id % 2 = 0 THEN 0.0 ELSE 4.9e-324 END",
+    "CASE WHEN id % 4 = 0 THEN 1.7e308 ELSE -1.7e308 END",
+])
+def test_quantiles_of_close_and_extreme_values(spark, values):
+    df = spark.range(20_000).selectExpr(f"double({values}) AS x")
+    ordered = sorted(r.x for r in df.collect())
+    wanted = [0.0, 0.25, 0.5, 0.75, 1.0]
+    got = quantiles.quantiles(df, ["x"], wanted, 0).first().x
+    assert got == [ordered[max(1, math.ceil(p * len(ordered))) - 1] for p in wanted]
