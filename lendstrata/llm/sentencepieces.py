@@ -156,8 +156,8 @@ class Model:
         for n, p in enumerate(parts):
             if len(p) > SIDE_BY_SIDE:
                 out[n] = np.array(self.segment_one(p), dtype="<i4").tobytes()
-        for start in range(0, len(order), 65536):
-            rows = [n for _, n in order[start : start + 65536]]
+        for start in range(0, len(order), 16384):
+            rows = [n for _, n in order[start : start + 16384]]
             for n, ids in zip(rows, self._side_by_side([parts[n] for n in rows])):
                 out[n] = ids
         return out

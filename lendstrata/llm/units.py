@@ -14,8 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text that is worked on at a time, and units that a worker remembers between times.
-SLICE_BYTES = 16 << 20
-MEMO_UNITS = 400_000
+SLICE_BYTES = 2 << 20
+MEMO_UNITS = 200_000
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
