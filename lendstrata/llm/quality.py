@@ -5,8 +5,8 @@ with those of every language by the Jensen-Shannon distance (base 2: 0 for equal
 disjoint distributions); the nearest language counts. A document that is too short to fill a
 histogram is not judged by it. The references are sums over all documents of a language, and
 so are its common words, the most frequent short ones; they are few and become literals of
-the plan. Everything about one document is computed within its row by built-in functions, so a
-verdict needs no shuffle once the references are known.
+the plan. Everything about one document is computed within its row by built-in functions, in
+one pass over the texts once the common words are known; verdicts come from what it leaves.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import GAP, word_count
+from .common import GAP, stage
 
 #: Character classes; what is in none of them is one more. Lower-case letters, most of a text,
 #: are taken out first, so that the others are counted in what is left.
@@ -45,16 +45,6 @@ class Rules:
     guard_words: int = 60
 
 
-@dataclass(frozen=True)
-class Reference:
-    """Sums over the documents of a language."""
-
-    lang: str
-    classes: tuple[int, ...]
-    n_words: int
-    common: tuple[tuple[str, int], ...]
-
-
 def _with_classes(df: DataFrame, text: str) -> DataFrame:
     """``df`` with ``c_all``, the characters of ``text``, and ``c_*``, those of each class."""
     count = lambda column: F.length(column).cast("long")
@@ -68,25 +58,19 @@ def _with_classes(df: DataFrame, text: str) -> DataFrame:
 _COUNTS = ["c_lower", *(f"c_{c}" for c in CLASSES), "c_other"]
 
 
-def fit(docs: DataFrame, rules: Rules = Rules()) -> list[Reference]:
-    """References from all ``docs (text, lang)`` with text and language, by language."""
+def common_words(docs: DataFrame, rules: Rules = Rules()) -> dict[str, dict[str, int]]:
+    """For each language of all ``docs (text, lang)`` its common words with their counts."""
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("__text")
+        F.col("lang").cast("string").alias("lang"),
+        F.explode(F.split(F.lower(F.col("text").cast("string")), GAP, -1)).alias("word"),
     )
-    each = rows.select("lang", F.explode(F.split(F.lower("__text"), GAP, -1)).alias("word"))
-    counts = each.where(F.length("word").between(1, rules.common_letters)).groupBy("lang", "word").count()
+    counts = rows.where(F.length("word").between(1, rules.common_letters)).groupBy("lang", "word").count()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
     top = counts.withColumn("rank", rank).where(F.col("rank") <= rules.common_words)
-    common: dict[str, list[tuple[str, int]]] = {}
+    found: dict[str, dict[str, int]] = {}
     for r in top.orderBy("lang", "word").collect():  # common_words rows for each language
-        common.setdefault(r["lang"], []).append((r["word"], r["count"]))
-    sums = _with_classes(rows, "__text").groupBy("lang").agg(
-        F.sum(word_count(F.col("__text"))).alias("n_words"), *(F.sum(c).alias(c) for c in _COUNTS)
-    )
-    return [
-        Reference(r["lang"], tuple(r[c] for c in _COUNTS), r["n_words"], tuple(common.get(r["lang"], ())))
-        for r in sums.orderBy("lang").collect()
-    ]
+        found.setdefault(r["lang"], {})[r["word"]] = r["count"]
+    return found
 
 
 def measured(docs: DataFrame, common: list[str]) -> DataFrame:
@@ -100,9 +84,11 @@ def measured(docs: DataFrame, common: list[str]) -> DataFrame:
     )
     df = _with_classes(docs.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit(""))), text)
     df = df.withColumns({words: F.filter(F.split(text, GAP, -1), lambda w: w != ""), "__lines": in_lines})
-    none = F.array().cast("array<string>")
-    frequent = F.filter(F.transform(words, F.lower), lambda w: w.isin(common)) if common else none
-    df = df.withColumns({windows: window, "__common": frequent})
+    # common words by their place in the list
+    listed = F.array(*(F.lit(c) for c in common)).cast("array<string>")
+    hits = F.filter(words, lambda w: F.lower(w).isin(common)) if common else F.slice(words, 1, 0)
+    places = F.transform(hits, lambda w: F.array_position(listed, F.lower(w)).cast("int"))
+    df = df.withColumns({windows: window, "__common": places})
     # equal windows side by side; most documents repeat none and need no sorting
     by_hash = F.array_sort(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     repeats = F.size(F.array_distinct(windows)) < F.size(windows)
@@ -122,7 +108,9 @@ def measured(docs: DataFrame, common: list[str]) -> DataFrame:
             "n_symbols": F.col("c_symbol"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
             "n_repeat_words": F.coalesce(F.aggregate(added, F.lit(0), lambda a, b: a + b), F.lit(0)).cast("long"),
-            "hits": F.array(*(F.size("__common") - F.size(F.array_remove("__common", c)) for c in common)).cast("array<int>"),
+            "hits": F.array(
+                *(F.size("__common") - F.size(F.array_remove("__common", n + 1)) for n in range(len(common)))
+            ).cast("array<int>"),
         }
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -145,41 +133,41 @@ def _shares(counts: list[int]) -> Column:
     return F.array(*(F.lit(n / total if total else 0.0) for n in counts))
 
 
-def judged(docs: DataFrame, references: list[Reference], rules: Rules = Rules()) -> DataFrame:
-    """``docs (text, ...)`` with the base columns ``n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, base_failed``, with ``class_distance`` and ``word_distance`` to the nearest
-    reference, and with ``kept``.
+def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """``docs (text, lang, ...)`` without ``text``, with the base columns ``n_words, word_chars,
+    n_symbols, n_dup_lines, n_repeat_words, base_failed``, with ``class_distance`` and
+    ``word_distance`` to the nearest language, and with ``kept``.
 
-    A NULL or empty text has no words and fails. Rows without language are judged like others
-    and make up no reference; without any reference distances are NULL and the base rules
-    decide alone. Repeated rows stay; an empty table gives no rows. Columns of ``docs`` with
-    names of the new ones are replaced.
+    A NULL or empty text has no words and fails. Rows without language or text make up no
+    reference and are judged like others; without any reference distances are NULL and the
+    base rules decide alone. Repeated rows stay and count as often in the references; an empty
+    table gives no rows. Columns of ``docs`` with names of the new ones are replaced.
     """
-    common = sorted({w for r in references for w, _ in r.common})
-    rows = measured(docs, common)
+    common = common_words(docs, rules)
+    listed = sorted({w for words in common.values() for w in words})
+    absent = F.col("text").isNull().alias("__absent")
+    rows = stage(measured(docs.withColumn("__absent", absent), listed).drop("text"), "quality")
+    labelled = rows.where("lang IS NOT NULL AND NOT __absent").groupBy(F.col("lang").cast("string").alias("lang"))
+    references = labelled.agg(F.sum("n_words").alias("n_words"), *(F.sum(c).alias(c) for c in _COUNTS)).orderBy("lang")
     chars = F.greatest("c_all", F.lit(1))
     own_classes = F.transform(F.array(*_COUNTS), lambda n: n / chars)
     class_distances, word_distances = [], []
-    for r in references:
-        class_distances.append(_distance(own_classes, _shares(list(r.classes))))
-        hits = F.array(*(F.get("hits", F.lit(common.index(w))).cast("long") for w, _ in r.common)).cast("array<bigint>")
+    for r in references.collect():  # one row for each language
+        class_distances.append(_distance(own_classes, _shares([r[c] for c in _COUNTS])))
+        known = common.get(r["lang"], {})
+        hits = F.array(*(F.get("hits", F.lit(listed.index(w))).cast("long") for w in known)).cast("array<bigint>")
         others = F.col("n_words") - F.aggregate(hits, F.lit(0).cast("long"), lambda a, b: a + b)
         own_words = F.transform(F.concat(hits, F.array(others)), lambda n: n / F.greatest(F.col("n_words"), F.lit(1)))
-        known = [n for _, n in r.common]
-        word_distances.append(_distance(own_words, _shares([*known, r.n_words - sum(known)])))
+        word_distances.append(_distance(own_words, _shares([*known.values(), r["n_words"] - sum(known.values())])))
     nearest = lambda each: F.round(F.array_min(F.array(*each)), 9) if each else F.lit(None).cast("double")
     rows = rows.withColumns({"class_distance": nearest(class_distances), "word_distance": nearest(word_distances)})
     odd = ((F.col("c_all") >= rules.guard_chars) & (F.col("class_distance") > rules.class_distance)) | (
         (F.col("n_words") >= rules.guard_words) & (F.col("word_distance") > rules.word_distance)
     )
     rows = rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
-    return rows.drop("hits", "c_all", *_COUNTS)
+    return rows.drop("hits", "c_all", "__absent", *_COUNTS)
 
 
 def passed(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs (text, lang, ...)`` that are kept, with all their columns."""
-    whole = docs.select(F.struct("*").alias("__row"), "text")
-    # An expression that isn't deterministic keeps the optimizer from pushing the test below
-    # the measuring, where every measure would be repeated wherever the test refers to it.
-    stays = F.col("kept") & (F.monotonically_increasing_id() >= 0)
-    return judged(whole, fit(docs, rules), rules).withColumn("__stays", stays).where("__stays").select("__row.*")
+    return judged(docs.select(F.struct("*").alias("__row"), "text", "lang"), rules).where("kept").select("__row.*")

@@ -45,7 +45,7 @@ def op5_mixing(spark: SparkSession, d: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    made = quality.judged(docs, quality.fit(docs))
+    made = quality.judged(docs)
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return made.select(F.col("doc_id").cast("long").alias("doc_id"), *base)
 

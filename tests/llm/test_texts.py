@@ -99,12 +99,13 @@ def test_base_rules(spark):
     draw = random.Random(5)
     texts = ["".join(draw.choices(["a", "b", "C", " ", "\n", "#", "é", "\t"], k=draw.randint(0, 200))) for _ in range(150)]
     docs = documents(spark, AWKWARD + [(100 + n, t, "en", "s") for n, t in enumerate(texts)])
-    got = quality.judged(docs, quality.fit(docs))
+    got = quality.judged(docs)
     want = sorted(((r.doc_id, *base_columns(r.text)) for r in docs.collect()), key=repr)
     assert rows(got, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed") == want
     assert got.where("base_failed AND kept").count() == 0
-    assert {"doc_id", "text", "source", "size", "fp", "row"} <= set(got.columns)
-    assert quality.judged(empty(spark), quality.fit(empty(spark))).count() == 0
+    assert {"doc_id", "source", "size", "fp", "row"} <= set(got.columns)
+    assert quality.judged(empty(spark)).count() == 0 and quality.passed(empty(spark)).count() == 0
+    assert quality.passed(docs).columns == docs.columns
 
 
 def distance(p: list[float], q: list[float]) -> float:
@@ -114,34 +115,37 @@ def distance(p: list[float], q: list[float]) -> float:
 
 def test_distances(spark):
     rules = quality.Rules(common_words=3)
-    docs = sample(spark).limit(60)
-    references = quality.fit(docs, rules)
+    docs = stage(sample(spark).limit(60), "test-quality")
     data = docs.collect()
     counts = defaultdict(Counter)
     for r in data:
         counts[r.lang].update(w.lower() for w in WORD.findall(r.text))
-    for ref in references:
-        top = sorted(((w, n) for w, n in counts[ref.lang].items() if len(w) <= 5), key=lambda x: (-x[1], x[0]))[:3]
-        assert ref.common == tuple(sorted(top)) and ref.n_words == counts[ref.lang].total()
-    got = {r.doc_id: r.word_distance for r in quality.judged(docs, references, rules).collect()}
+    common = {
+        lang: dict(sorted(sorted(((w, n) for w, n in c.items() if len(w) <= 5), key=lambda x: (-x[1], x[0]))[:3]))
+        for lang, c in counts.items()
+    }
+    assert quality.common_words(docs, rules) == common
+    got = {r.doc_id: r.word_distance for r in quality.judged(docs, rules).collect()}
     for r in data:
-        own = Counter(w.lower() for w in WORD.findall(r.text))
-        n, each = max(1, own.total()), []
-        for ref in references:
-            p = [own[w] / n for w, _ in ref.common]
-            q = [c / ref.n_words for _, c in ref.common]
-            each.append(distance([*p, (own.total() - sum(own[w] for w, _ in ref.common)) / n], [*q, 1 - sum(q)]))
+        own, each = Counter(w.lower() for w in WORD.findall(r.text)), []
+        n = max(1, own.total())
+        for lang, top in common.items():
+            p = [own[w] / n for w in top]
+            q = [c / counts[lang].total() for c in top.values()]
+            each.append(distance([*p, (own.total() - sum(own[w] for w in top)) / n], [*q, 1 - sum(q)]))
         assert math.isclose(got[r.doc_id], min(each), abs_tol=1e-7)
 
 
 def test_clean_documents_stay_and_junk_goes(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
-    judged = quality.judged(docs, quality.fit(docs)).where("NOT base_failed").join(labels, "doc_id")
+    judged = quality.judged(docs).where("NOT base_failed").join(labels, "doc_id")
     share = {r.quality: r.kept for r in judged.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()}
     assert share[1] > 0.99 and share[0] < 0.7
-    junk = documents(spark, [(-1, "Ered*** reed### of%%% to$$$ " * 5 + " ".join(f"x{n}%%%" for n in range(80)), "en", "s")])
-    assert [r.kept for r in quality.judged(junk, quality.fit(docs)).collect()] == [False]
+    junk = [(-1, " ".join(f"Ered{n}*** x{n}%%%" for n in range(80)), "en", "s")]
+    mixed = documents(spark, junk).select("doc_id", "text", "lang").union(docs.select("doc_id", "text", "lang"))
+    (made,) = quality.judged(mixed).where("doc_id = -1").collect()
+    assert not made.base_failed and not made.kept
 
 
 # personal data
@@ -342,8 +346,7 @@ def test_mixing_of_awkward_rows(spark):
 def test_pipeline_against_its_operators_one_by_one(spark):
     sf = "/root/testdata/sf0.001"
     docs = sample(spark)
-    references = quality.fit(docs)
-    kept = {r.doc_id for r in quality.judged(docs, references).where("kept").collect()}
+    kept = {r.doc_id for r in quality.judged(docs).where("kept").collect()}
     text = {r.doc_id: r for r in docs.collect()}
     groups = plain_components([(i, text[i].text) for i in sorted(kept)])
     first = {i for i, _, component in groups if i == component}
