@@ -22,9 +22,9 @@ from .units import resolve, slices, strings
 UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, drawn by a hash of their id.
 TRAINING_DOCS = 2_000
-#: Words, and n-grams of each length, that the model keeps per language; n-gram lengths; what
-#: is added to every count.
-WORDS, GRAMS, LONGEST, SMOOTHING = 20_000, 10_000, 5, 0.5
+#: Words, and n-grams of each length, that the model keeps per language; n-gram lengths; the
+#: count in the language with most text that stands for not seen.
+WORDS, GRAMS, LONGEST, UNSEEN = 20_000, 10_000, 5, 0.5
 #: Longest word that is looked at as such; a longer one goes in by pieces of this length.
 LONGEST_WORD = 64
 
@@ -107,9 +107,11 @@ class Model:
         for lang, size, item, n, total in rows:
             counts[self.row[size, item], place[lang]] = n
             totals[size, place[lang]] = total
-        kinds = np.bincount([size for size, _ in self.row], minlength=LONGEST + 1)
         sizes = np.array([*(size for size, _ in self.row), 0], dtype=np.int64)
-        self.logs = np.log(counts + SMOOTHING) - np.log(totals[sizes] + SMOOTHING * (kinds[sizes, None] + 1))
+        # what a language has not been seen to use is as rare in all of them, so that one with
+        # little text does not draw unseen words
+        rarest = UNSEEN / np.maximum(totals.max(axis=1, initial=0), 1)
+        self.logs = np.log(np.maximum(counts / np.maximum(totals[sizes], 1), rarest[sizes, None]))
         self.logs[-1] = 0  # a word without any known n-gram says nothing
         self.memo: dict[str, np.ndarray] = {}
 

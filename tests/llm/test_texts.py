@@ -43,7 +43,7 @@ def test_language_held_out_accuracy(spark):
 
 
 def test_language_backs_off_word_by_word(spark):
-    rows_ = [("en", 0, "the", 90, 100), ("de", 0, "die", 90, 100), ("en", 3, "<th", 9, 20), ("de", 3, "chx", 9, 20), ("en", 1, "q", 5, 50)]
+    rows_ = [("en", 0, "the", 90, 100), ("de", 0, "die", 90, 100), ("en", 3, "<th", 9, 20), ("de", 3, "chx", 9, 20), ("en", 1, "q", 5, 50), ("de", 1, "w", 5, 50)]
     model = language.Model(rows_)
     ratio = lambda word: (lambda s: s[model.langs.index("en")] - s[model.langs.index("de")])(model.scores([word])[0])
     assert ratio("the") > 0 > ratio("die")
