@@ -39,6 +39,23 @@ def _frequent(keys: np.ndarray) -> np.ndarray:
     return ordered[starts[best]]
 
 
+def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which occurrences to replace, none overlapping: those more frequent than both neighbours
+    first, then every other one of each run of what these leave."""
+    touches = at[1:] == at[:-1] + 1
+    before = np.concatenate([[False], touches])
+    first = np.ones(len(at), dtype=bool)
+    first[1:] &= ~touches | (rank[1:] < rank[:-1])
+    first[:-1] &= ~touches | (rank[:-1] < rank[1:])
+    rest = ~first
+    rest[1:] &= ~(touches & first[:-1])
+    rest[:-1] &= ~(touches & first[1:])
+    goes_on = before & np.concatenate([[False], rest[:-1]])
+    places = np.arange(len(at))
+    begun = np.maximum.accumulate(np.where(rest & ~goes_on, places, 0))
+    return first | (rest & ((places - begun) % 2 == 0))
+
+
 def compress(ids: np.ndarray, terminals: int) -> bytes:
     """A shard of ids below ``terminals``."""
     seq, rules, lengths = ids.astype(np.uint32), [], []
@@ -58,14 +75,7 @@ def compress(ids: np.ndarray, terminals: int) -> bytes:
         rank = rank[at]
         exact = chosen[rank] == keys[at]
         at, rank = at[exact], rank[exact]
-        # an occurrence yields to an overlapping one of a more frequent pair; in a run of one
-        # pair over itself, such as of one id, every other occurrence counts
-        touches = at[1:] == at[:-1] + 1
-        begins = np.concatenate([[True], ~(touches & (rank[1:] == rank[:-1]))])
-        places = np.arange(len(at))
-        keep = (places - np.maximum.accumulate(np.where(begins, places, 0))) % 2 == 0
-        keep[1:] &= ~(touches & (rank[:-1] < rank[1:]))
-        keep[:-1] &= ~(touches & (rank[1:] < rank[:-1]))
+        keep = _apart(at, rank)
         at, rank = at[keep], rank[keep]
         occurs = np.bincount(rank, minlength=len(chosen)) > 0
         used, rank = np.flatnonzero(occurs), (np.cumsum(occurs) - 1)[rank]

@@ -10,6 +10,7 @@ one trie step for all at a time. Inside, the marker is the space itself.
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -28,6 +29,8 @@ UNKNOWN_PENALTY = 10.0
 SIDE_BY_SIDE = 64
 #: Gaps that are tried for a state of the trie before it goes to the end.
 GAPS = 64
+EACH_BYTE = "replace each byte"
+codecs.register_error(EACH_BYTE, lambda e: ("\ufffd" * (e.end - e.start), e.end))
 _RUNS = re.compile(" +[^ ]*|[^ ]+")
 
 
@@ -234,13 +237,13 @@ class Model:
         return gather(flat, starts, lengths, codes), np.concatenate([[0], np.cumsum(ends)])
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
-        """Texts of ids: surfaces joined, markers as spaces, without the space in front; bytes
-        that are no UTF-8 become U+FFFD."""
+        """Texts of ids: surfaces joined, markers as spaces, without the space in front; each
+        byte that is no UTF-8 becomes U+FFFD."""
         flat, starts, lengths = ragged(self.surfaces, "u1")
         ends = np.concatenate([[0], np.cumsum(lengths[ids])])[bounds].tolist()
         raw = gather(flat, starts, lengths, ids).tobytes()
         texts = (raw[i:j] for i, j in zip(ends, ends[1:]))
-        return [(t[1:] if t[:1] == b" " else t).decode(errors="replace") for t in texts]
+        return [(t[1:] if t[:1] == b" " else t).decode(errors=EACH_BYTE) for t in texts]
 
 
 @lru_cache(maxsize=2)
