@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,7 +12,6 @@ HOT_SHARE_RANGE = (0.001, 0.01)  # always above the larger of these shares, neve
 BUCKETS_PER_PARTITION = 4  # a hot key gets four times its fair share of partitions as buckets
 ROW_SALT = "_row_salt"
 COPIES_PER_CHUNK = 65_536
-BROADCAST_ROWS = 50_000
 
 HotKeys = Mapping[int, float]  # hash of a key to its share of the rows
 
@@ -70,6 +69,11 @@ def _by_buckets(df: DataFrame, hot: HotKeys) -> dict[int, list[int]]:
     return groups
 
 
+def _cell(own: Column, side: int, step: bool) -> Callable[[Column], Column]:
+    """Number of a grid's cell from the row (with ``step``) or column that a side picked."""
+    return lambda other: own * side + other if step else other * side + own
+
+
 def skew_join(
     left: DataFrame,
     right: DataFrame,
@@ -81,8 +85,9 @@ def skew_join(
     """Equi-join for sides that may hold hot keys.
 
     The rows of a key that is hot on one side are spread over buckets there, and the other
-    side's rows of just that key are copied into each bucket; all other keys are joined as
-    usual. The result is the plain join's, row for row, and without hot keys so is the
+    side's rows of just that key are copied into each bucket. A key that is hot on both sides
+    gets a grid of buckets: left rows are copied along one of its rows, right rows along one of
+    its columns, so copies grow with the root of the buckets. All other keys are joined as usual. The result is the plain join's, row for row, and without hot keys so is the
     plan. A left join spreads its left side only, so its right side should be aggregated
     to few rows per key.
 
@@ -99,43 +104,50 @@ def skew_join(
         hot_right = {}
     elif hot_right is None:
         (hot_right,) = hot_keys(right.select(*(F.col(c).cast(left.schema[c].dataType) for c in keys)), keys)
-    spread_left = _by_buckets(left, hot_left)
-    spread_right = _by_buckets(left, {k: share for k, share in hot_right.items() if k not in hot_left})
-    if not spread_left and not spread_right:
+    on_both = {k: max(share, hot_right[k]) for k, share in hot_left.items() if k in hot_right}
+    spread_left, spread_right = (
+        _by_buckets(left, {k: share for k, share in hot.items() if k not in on_both}) for hot in (hot_left, hot_right)
+    )
+    grids: dict[int, list[int]] = {}
+    for buckets, ids in _by_buckets(left, on_both).items():
+        grids.setdefault(2 ** ceil(log2(buckets) / 2), []).extend(ids)
+    if not spread_left and not spread_right and not grids:
         return left.join(right.drop(ROW_SALT), keys, how)
 
-    def salted(df: DataFrame, spread: Mapping[int, list[int]], copied: Mapping[int, list[int]]) -> DataFrame:
+    def salted(df: DataFrame, spread: Mapping[int, list[int]], copied: Mapping[int, list[int]], step: bool) -> DataFrame:
+        """``step``: in a grid this side picks a row and is copied along it, else a column."""
         key_id = _key_id(df, keys, left)
         number = F.col(ROW_SALT) if ROW_SALT in df.columns else F.xxhash64(*df.columns)
-        one = [F.when(key_id.isin(ids), F.pmod(number, F.lit(n)).cast("int")) for n, ids in spread.items()]
+        pick = lambda n: F.pmod(number, F.lit(n)).cast("int")
+        every = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+        one = [F.when(key_id.isin(ids), pick(n)) for n, ids in spread.items()]
         bucket = F.coalesce(*one, F.lit(0))
-        if not copied:
+        if not copied and not grids:
             return df.withColumn("_salt", bucket)
-        all_ = [F.when(key_id.isin(ids), F.sequence(F.lit(0), F.lit(n - 1))) for n, ids in copied.items()]
-        return df.withColumn("_salt", F.explode(F.coalesce(*all_, F.array(bucket))))
-
-    salted_left = salted(left, spread_left, spread_right)
-    salted_right = salted(right, spread_right, spread_left).drop(ROW_SALT)
+        many = [F.when(key_id.isin(ids), every(n)) for n, ids in copied.items()]
+        for n, ids in grids.items():
+            own = pick(n)
+            line = F.transform(every(n), _cell(own, n, step))
+            many.append(F.when(key_id.isin(ids), line))
+        return df.withColumn("_salt", F.explode(F.coalesce(*many, F.array(bucket))))
+
+    salted_left = salted(left, spread_left, spread_right, True)
+    salted_right = salted(right, spread_right, spread_left, False).drop(ROW_SALT)
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join to a table that is usually small but has no fixed bound: broadcast when its
-    rows are counted and few, otherwise joined with its frequent keys spread."""
-    if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        return rows.join(F.broadcast(lookup), list(on), "left")
-    return skew_join(rows, lookup, on, "left")
-
-
-def replicate_rows(df: DataFrame, copies: str) -> DataFrame:
+def replicate_rows(df: DataFrame, copies: str, most: int | None = None) -> DataFrame:
     """Each row ``copies`` times, the count column dropped; rows with none vanish.
 
-    A row with a great many copies is cut into chunks that are spread over the cluster
+    ``most`` is the largest count where it is known: a small one needs a single pass. A row with a great many copies is cut into chunks that are spread over the cluster
     before they are unfolded. The frame is read for the two cases apart, so it should be
     a stored table or the result of a shuffle, which is computed once.
     """
     data = [f"`{c}`" for c in df.columns if c != copies]
     n = F.col(copies).cast("long")
+    if most is not None and most <= COPIES_PER_CHUNK:
+        unfolded = df.filter(n >= 1).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), n)))
+        return unfolded.select(*data)
     few = (
         df.filter((n >= 1) & (n <= COPIES_PER_CHUNK))
         .select(*data, F.explode(F.sequence(F.lit(1).cast("long"), n)).alias("_copy"))

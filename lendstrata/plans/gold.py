@@ -11,7 +11,7 @@ from lendstrata.functions.credit import default_label
 from lendstrata.functions.numeric import indicator
 from lendstrata.operators.features import add_ratios, log_features
 from lendstrata.operators.quantiles import iqr_filter
-from lendstrata.operators.skew import ROW_SALT, HotKeys, hot_keys, lookup_join, replicate_rows, skew_join, with_row_salt
+from lendstrata.operators.skew import ROW_SALT, HotKeys, hot_keys, replicate_rows, skew_join, with_row_salt
 from lendstrata.sources.specs import SNAPSHOT
 from lendstrata.sources.staging import stage
 
@@ -183,7 +183,11 @@ def star_features(base: DataFrame, options: StarOptions = StarOptions()) -> Data
     slim = employed.drop(*COLLINEAR_COLUMNS)
     if options.grain == "loan":
         return slim.select("loan_id", *STAR_COLUMNS)
-    return replicate_rows(slim.select(*STAR_COLUMNS, "_copies"), "_copies")
+    return replicate_rows(slim.select(*STAR_COLUMNS, "_copies"), "_copies", _most(base, "_copies"))
+
+
+def _most(stored: DataFrame, copies: str) -> int:
+    return stored.agg(F.max(copies)).first()[0] or 0
 
 
 def build_star(mart: Mapping[str, DataFrame], options: StarOptions = StarOptions()) -> DataFrame:
@@ -196,14 +200,15 @@ def enrich_with_dimensions(rows: DataFrame, mart: Mapping[str, DataFrame]) -> Da
     """Left joins to the four code dimensions, for reports that want their texts.
 
     The coded dimensions hold at most as many rows as their code has values and are
-    broadcast; payment behaviours come from free text and are broadcast once counted.
+    broadcast; payment behaviours come from free text, and how they are joined is left to
+    adaptive execution.
     """
     coded = (
         rows.join(F.broadcast(mart["dim_credit_mix"]), "credit_mix_id", "left")
         .join(F.broadcast(mart["dim_min_payment"]), "payment_code", "left")
         .join(F.broadcast(mart["dim_loan_type"]), "loan_type_id", "left")
     )
-    return lookup_join(coded, mart["dim_payment_behaviour"], ["payment_behaviour_id"])
+    return coded.join(mart["dim_payment_behaviour"], "payment_behaviour_id", "left")
 
 
 def star_rows(mart: Mapping[str, DataFrame]) -> DataFrame:
@@ -220,4 +225,5 @@ def star_rows(mart: Mapping[str, DataFrame]) -> DataFrame:
     owned = _join_customers(with_monthly_balance(financials.rows), financials, mart["dim_customer"])
     joined = skew_join(typed, owned, BY_SNAPSHOT, hot_left=loans.hot_snapshots, hot_right=financials.hot_snapshots)
     folded = joined.drop(ROW_SALT).withColumn("_held", F.coalesce("_held", F.lit(1)))
-    return enrich_with_dimensions(replicate_rows(stage(folded, "star-rows"), "_held"), mart)
+    stored = stage(folded, "star-rows")
+    return enrich_with_dimensions(replicate_rows(stored, "_held", _most(stored, "_held")), mart)

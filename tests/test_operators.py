@@ -183,14 +183,19 @@ def test_smaller_keys_are_hot_on_larger_clusters(spark):
     assert len(hot) == 400 and set(hot.values()) == {1 / 400}
 
 
-def test_lookup_join_checks_the_size(spark, monkeypatch, shuffled_joins):
-    rows_, lookup = skewed(spark), spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    small = skew.lookup_join(rows_, lookup, ["k"])
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", 9)
-    large = skew.lookup_join(rows_, lookup, ["k"])
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-    assert rows(small) == rows(large.select(small.columns)) == rows(rows_.join(lookup, "k", "left"))
+def test_key_hot_on_both_sides_is_spread_over_a_grid(spark, shuffled_joins):
+    left, right = skewed(spark).withColumn("v", F.monotonically_increasing_id()), lopsided(spark)
+    right = right.withColumn("k", F.when(F.col("k") == 8, 7).otherwise(F.col("k")))
+    hot_left, hot_right = skew.hot_keys(left, ["k"])[0], skew.hot_keys(right, ["k"])[0]
+    buckets = max(skew._by_buckets(left, hot_left))
+    joined = skew.skew_join(left, right, ["k"])
+    sizes = partition_sizes(joined.filter("k = 7"))
+    assert sum(sizes) == left.filter("k = 7").count() * right.filter("k = 7").count()
+    assert len(sizes) >= 5 and max(sizes) <= sum(sizes) / 2
+    assert hot_right and buckets == 16
+    # either side is copied along one line of the grid
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 2
 
 
 def test_no_hot_keys_plain_plan(spark):
@@ -206,7 +211,10 @@ def test_hot_keys_of_nothing(spark):
 def test_replicate_rows(spark, monkeypatch):
     monkeypatch.setattr(skew, "COPIES_PER_CHUNK", 10)
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 10), ("d", 95), ("e", None), ("f", -1)], "x string, n int")
-    assert rows(skew.replicate_rows(df, "n")) == Counter({("b",): 1, ("c",): 10, ("d",): 95})
+    want = Counter({("b",): 1, ("c",): 10, ("d",): 95})
+    assert rows(skew.replicate_rows(df, "n")) == want
+    monkeypatch.setattr(skew, "COPIES_PER_CHUNK", 100)
+    assert rows(skew.replicate_rows(df, "n", 95)) == want
 
 
 # quantiles
