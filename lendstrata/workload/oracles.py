@@ -6,7 +6,7 @@ independently of the Spark operators.
 
 from __future__ import annotations
 
-from lendstrata.sources.specs import LOAN_TYPES
+from lendstrata.sources.specs import CLEAN_FINANCIALS, LOAN_TYPES
 from lendstrata.workload import inputs
 
 TABLES = ("lineitem", "orders", "customer", "events")
@@ -292,6 +292,10 @@ FROM {fact} WHERE mob = 6"""
 PRICES = "SELECT o_orderkey, o_custkey, o_totalprice, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey"
 
 
+def _audited_columns() -> list[str]:
+    return [f'"{c}"' for c in CLEAN_FINANCIALS.names]
+
+
 def oracle_sql() -> dict[str, str]:
     kept_star = STAR_SELECT + " FROM kept"
     star_iqr = _iqr("star_rows", OUTLIERS, 1.5)
@@ -319,8 +323,7 @@ def oracle_sql() -> dict[str, str]:
                    INTERVAL 1 MONTH)) AS DATE) AS snapshot_date FROM orders""",
         "ingest_csv_roundtrip": _with(
             ["raw_financials"],
-            f"""SELECT * EXCLUDE (_metadata_file_name)
-                       REPLACE ({_two_digit_year('date')} AS date, {_two_digit_year('snapshot_date')} AS snapshot_date)
+            f"""SELECT * REPLACE ('raw.csv' AS _metadata_file_name, {_two_digit_year('date')} AS date, {_two_digit_year('snapshot_date')} AS snapshot_date)
                 FROM raw_financials""",
         ),
         "list_csv_sources": """
@@ -345,6 +348,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(o_custkey AS BIGINT) AS customer_key, count(*) AS n_orders,
                    CAST(max(o_totalprice) AS DOUBLE) AS largest_order, DATE '1997-03-01' AS snapshot_date
             FROM orders WHERE date_trunc('month', o_orderdate) = DATE '1997-03-01' GROUP BY o_custkey""",
+        "feature_store_write": """
+            SELECT c_custkey AS customer_key, c_acctbal, DATE '2024-01-01' AS snapshot_date FROM customer""",
+        "observed_audit": _with(
+            ["typed_financials"],
+            f"""UNPIVOT (SELECT count(*) AS rows, {', '.join(f'CAST(count_if({c} IS NULL) AS BIGINT) AS "null_{c.strip(chr(34))}"' for c in _audited_columns())}
+                         FROM typed_financials) ON COLUMNS(*) INTO NAME figure VALUE row_count""",
+        ),
+        "row_digests": """
+            SELECT o_orderkey, o_custkey, o_orderstatus,
+                   sha256(format('{{"o_orderkey":{},"o_custkey":{},"o_orderstatus":"{}"}}',
+                                 o_orderkey, o_custkey, o_orderstatus)) AS digest FROM orders""",
         # contracts and incremental load
         "conform_columns": "SELECT c_custkey, c_mktsegment, c_name, c_acctbal FROM customer",
         "row_fingerprint_intersect": """

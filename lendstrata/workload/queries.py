@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lendstrata.functions import dates, numeric, text
@@ -83,7 +83,8 @@ def ingest_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     write_raw_csv(inputs.raw_financials(spark, d), f"{root}/raw.csv", FINANCIALS)
     arrived = files.read_snapshots(spark, f"{root}/raw.csv", FINANCIALS)
     files.write_snapshots(arrived, f"{root}/bronze", [LOAD_DATE, SNAPSHOT])
-    return medallion.read_bronze(spark, f"{root}/bronze", FINANCIALS).drop(LINEAGE)
+    bronze = medallion.read_bronze(spark, f"{root}/bronze", FINANCIALS)
+    return bronze.withColumn(LINEAGE, F.regexp_extract(LINEAGE, r"([^/]+\.csv)/[^/]+$", 1))
 
 
 def list_csv_sources(spark: SparkSession, d: str) -> DataFrame:
@@ -132,6 +133,29 @@ def feature_store_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return feature_store.read_features(spark, path, date(1997, 3, 1))
 
 
+def feature_store_write(spark: SparkSession, d: str) -> DataFrame:
+    """The features of all customers written as one snapshot, over an earlier version of it."""
+    path, day = staging_path(spark, "feature-store"), date(2024, 1, 1)
+    features_ = table(spark, d, "customer").select(F.col("c_custkey").alias("customer_key"), "c_acctbal")
+    for version in (features_.withColumn("c_acctbal", F.lit(0.0)), features_):
+        feature_store.write_features(version, path, day)
+    return feature_store.read_features(spark, path, day)
+
+
+def observed_audit(spark: SparkSession, d: str) -> DataFrame:
+    """What each column of the financials costs, counted by the job that writes the rest."""
+    audit = Observation("audit")
+    cleaned = clean_snapshots(inputs.raw_financials(spark, d), FINANCIALS, audit)
+    files.write_table(cleaned, staging_path(spark, "audited"))
+    return spark.createDataFrame([(k, v) for k, v in audit.get.items()], "figure string, row_count bigint")
+
+
+def row_digests(spark: SparkSession, d: str) -> DataFrame:
+    """The digest of each order's key columns."""
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    return table(spark, d, "orders").select(*columns, incremental.row_digest(columns).alias("digest"))
+
+
 # contracts and incremental load
 
 
@@ -478,6 +502,9 @@ def queries() -> dict[str, Query]:
         "snapshot_slice": snapshot_slice,
         "snapshot_audit": snapshot_audit,
         "feature_store_snapshot": feature_store_snapshot,
+        "feature_store_write": feature_store_write,
+        "observed_audit": observed_audit,
+        "row_digests": row_digests,
         "conform_columns": conform_columns,
         "row_fingerprint_intersect": row_fingerprint_intersect,
         "load_state": load_state,
