@@ -71,6 +71,7 @@ def located(text: Column, pattern: str, group: int) -> Column:
 
 def _base(text: Column) -> Column:
     """All base finds: ``(start, kind, end, value)`` by start, then kind as listed."""
+
     def finds(kind: int, pattern: str, group: int, least: int) -> Column:
         fit = F.filter(located(text, pattern, group), lambda x: F.length(x["value"]) >= least)
         return F.transform(fit, lambda x: _find(x, kind))

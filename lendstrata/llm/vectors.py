@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stage
 from .components import components
@@ -43,7 +43,7 @@ def principal_axes(vectors: np.ndarray) -> np.ndarray:
     return axes[:, ::-1].copy()
 
 
-def usable(column: str) -> F.Column:
+def usable(column: str) -> Column:
     """Not NULL, not empty, no NULL or non-finite component, not all zero."""
     v = F.col(column)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
