@@ -22,6 +22,8 @@ from .repair import Shard, compress
 from .units import gather, slices, sums
 
 SHARD_IDS = 1 << 20
+#: Text that is encoded at a time: the more, the fewer units are encoded twice.
+SLICE_BYTES = 6 << 20
 SCHEMA = "part int, shard int, doc_ids array<bigint>, n_tokens array<bigint>, n_ids bigint, blob binary"
 _ARROW = pa.schema(
     [
@@ -56,7 +58,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
             row = [[part], [shard], [np.concatenate(owners)], [np.concatenate(counts)], [len(flat)], [compress(flat, terminals)]]
             return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, _ARROW)], schema=_ARROW)
 
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, SLICE_BYTES):
             units, codes, bounds = cut(texts)
             flat, starts, lengths = known.units(units, codes)
             # the end id is one more unit, after the last of each document

@@ -18,15 +18,15 @@ SLICE_BYTES = 2 << 20
 MEMO_UNITS = 200_000
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Parts of the batches with about ``SLICE_BYTES`` of text, and their texts, NULL as empty."""
+def slices(batches: Iterable[pa.RecordBatch], size: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of the batches with about ``size`` bytes of text, and their texts, NULL as empty."""
     for batch in batches:
-        texts = batch.column(column).cast(pa.large_string()).fill_null("")
+        texts = batch.column("text").cast(pa.large_string()).fill_null("")
         total = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
         start = 0
         while start < len(total):
             done = total[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(total, done + SLICE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(total, done + size, side="right")))
             yield batch.slice(start, stop - start), texts.slice(start, stop - start)
             start = stop
 
