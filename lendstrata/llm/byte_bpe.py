@@ -13,16 +13,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from tokenizers import Tokenizer
 
-from .units import cut_at_spaces, ragged, resolve
+from .units import cut_at_spaces, ragged
 
 #: White space as the pre-tokenizer's pattern has it (Unicode's White_Space).
 SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 _SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACES}]", c))
-#: Units that are given to the library as one string.
-JOINED = 512
+#: Units that are given to the library as one string, and units that a worker remembers.
+JOINED, MEMO_UNITS = 512, 2_000_000
+HASH_KEYS = "units of a text,", "once more hashed"
 
 
 #: A unit must hold other characters than white space, end with one, and have no more white
@@ -36,6 +38,33 @@ def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return cut_at_spaces(texts, "", _ODD_LATER, _ODD_FIRST, _UNIT.findall)
 
 
+class Memo:
+    """Ids of units by two 64-bit hashes of each, in sorted arrays: some forty bytes a unit,
+    where a dictionary takes five times that. It takes no more units when it is full."""
+
+    def __init__(self):
+        self.first, self.second = (np.zeros(0, dtype=np.uint64) for _ in range(2))
+        self.starts, self.lengths = (np.zeros(0, dtype=np.int64) for _ in range(2))
+        self.ids = np.zeros(0, dtype=np.uint16)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of hashes, and which are known."""
+        if not len(self.first):
+            return np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=bool)
+        places = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return places, (self.first[places] == first) & (self.second[places] == second)
+
+    def add(self, first: np.ndarray, second: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        if len(self.first) + len(first) > MEMO_UNITS:
+            return
+        order = np.argsort(first)
+        places = np.searchsorted(self.first, first[order])
+        starts = len(self.ids) + np.cumsum(lengths) - lengths
+        self.ids = np.concatenate([self.ids, ids])
+        for name, new in (("first", first), ("second", second), ("starts", starts), ("lengths", lengths)):
+            setattr(self, name, np.insert(getattr(self, name), places, new[order]))
+
+
 class Encoder:
     """Ids of texts as the library gives them without added special tokens; special strings
     inside a text are special, as is the library's default."""
@@ -44,7 +73,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError(f"{path} has ids beyond two bytes")
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
         size = self.tokenizer.get_vocab_size()
         self.spans = np.array([self._span(self.tokenizer.id_to_token(i)) for i in range(size)], dtype=np.int64)
 
@@ -83,9 +112,21 @@ class Encoder:
                 out += [raw[i:j] for i, j in zip(cuts, cuts[1:])]
         return out
 
-    def units(self, units: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(flat, starts, lengths)`` of the units' ids."""
-        return ragged(resolve(units, codes, self.memo, self.encode), "<u2")
+        if not units:
+            return self.memo.ids, self.memo.starts[:0], self.memo.lengths[:0]
+        names = np.array(units, dtype=object)
+        first, second = (hash_array(names, hash_key=key, categorize=False) for key in HASH_KEYS)
+        places, known = self.memo.find(first, second)
+        missing = np.flatnonzero(~known)
+        fresh, fresh_starts, fresh_lengths = ragged(self.encode([units[n] for n in missing]), "<u2")
+        flat = np.concatenate([self.memo.ids, fresh])
+        starts, lengths = (np.empty(len(units), dtype=np.int64) for _ in range(2))
+        starts[known], lengths[known] = self.memo.starts[places[known]], self.memo.lengths[places[known]]
+        starts[missing], lengths[missing] = len(self.memo.ids) + fresh_starts, fresh_lengths
+        self.memo.add(first[missing], second[missing], fresh, fresh_lengths)
+        return flat, starts, lengths
 
 
 @lru_cache(maxsize=2)

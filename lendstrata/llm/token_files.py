@@ -60,7 +60,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
 
         for batch, texts in slices(batches, SLICE_BYTES):
             units, codes, bounds = cut(texts)
-            flat, starts, lengths = known.units(units, codes)
+            flat, starts, lengths = known.units(units)
             # the end id is one more unit, after the last of each document
             starts = np.append(starts, len(flat))
             lengths = np.append(lengths, 1)
