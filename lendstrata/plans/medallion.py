@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lendstrata.functions.dates import month_spine_between
 from lendstrata.operators.contracts import ContractError, assert_same_columns, assert_schema
