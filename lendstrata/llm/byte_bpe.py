@@ -89,15 +89,13 @@ class Encoder:
         """Ids of each unit, two bytes each. Units that start with white space are joined
         before they are encoded, and the ids are cut where the bytes of a unit end."""
         out: list[bytes] = []
-        joined: list[list[str]] = [[]]
+        joined: list[list[str]] = []
         last = ""
         for u in units:
-            if u[:1] not in _SPACES or last in _SPACES or len(joined[-1]) == JOINED:
+            if not joined or u[:1] not in _SPACES or last in _SPACES or len(joined[-1]) == JOINED:
                 joined.append([])
             joined[-1].append(u)
             last = u[-1:]
-        if not units:
-            return out
         texts = ["".join(us) for us in joined]
         for us, encoded in zip(joined, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(encoded.ids, dtype=np.uint16)

@@ -43,6 +43,12 @@ def test_units_give_the_ids_of_the_library(library):
         assert ids[ends[n] : ends[n + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("given", [[], ["abc"], ["abc", " d", "e", " f\n", " g", ""], [" a", " b", "\n", " "]])
+def test_units_are_encoded_one_by_one(library, given):
+    want = [library.encode(u, add_special_tokens=False).ids for u in given]
+    assert [np.frombuffer(x, "<u2").tolist() for x in byte_bpe.Encoder(BPE).encode(given)] == want
+
+
 def test_whole_tokens_are_proven(library):
     whole = sorted(token_counts.whole_tokens(library))
     assert len(whole) > 40_000
