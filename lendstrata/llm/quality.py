@@ -35,12 +35,14 @@ WINDOW = 5
 class Rules:
     """``common_words`` per language, of at most ``common_letters`` characters, fill its word
     histogram, all other words one more bin. A document is rejected above a distance, unless
-    it has fewer characters or words than the guard of that histogram."""
+    it has fewer characters or words than the guard of that histogram. ``word_distance`` has to
+    lie below the distance of a document without any common word, which follows from their
+    share of a language's words alone: 0.363 to 0.372 where 24 words are 24 to 25 %."""
 
     common_words: int = 24
     common_letters: int = 5
     class_distance: float = 0.28
-    word_distance: float = 0.45
+    word_distance: float = 0.345
     guard_chars: int = 300
     guard_words: int = 60
 

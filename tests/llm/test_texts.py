@@ -148,6 +148,21 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert not made.base_failed and not made.kept
 
 
+def test_word_histogram_rejects_what_the_classes_let_pass(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    clean = docs.join(labels.where("quality = 1"), "doc_id").where(F.size(words(F.col("text"))) >= 60)
+    # every letter replaced by the next: the same classes, hardly a common word
+    shifted = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "bcdefghijklmnopqrstuvwxyza")
+    junk = clean.select((-F.col("doc_id") - 1).alias("doc_id"), shifted.alias("text"), F.lit(None).cast("string").alias("lang"))
+    made = stage(quality.judged(docs.union(junk)).where("NOT base_failed"), "test-quality")
+    made = made.withColumn("by_classes", F.col("class_distance") > quality.Rules().class_distance)
+    odd = made.where("doc_id < 0 AND NOT by_classes")
+    assert odd.count() > 200 and odd.where("kept").count() < 0.05 * odd.count()
+    spared = made.join(clean.select("doc_id"), "doc_id")
+    assert spared.count() > 200 and spared.where("NOT kept").count() == 0
+
+
 # personal data
 
 
