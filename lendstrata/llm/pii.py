@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import date
 from functools import lru_cache
@@ -202,6 +202,8 @@ class Kind:
 
 
 _ALONE, _END = r"(?<![0-9A-Za-z])(?<![0-9][.,:-])", r"(?![0-9A-Za-z])(?![.,:-][0-9])"
+#: Cards as they are printed.
+_PRINTED = r"(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}(?P<cut>[ -])[0-9]{6}(?P=cut)[0-9]{4,5})"
 
 #: In order of precedence where finds overlap.
 KINDS = (
@@ -210,6 +212,7 @@ KINDS = (
     Kind("iban", re.compile(r"(?<![0-9A-Za-z])[A-Za-z]{2}[0-9]{2}(?: ?[0-9A-Za-z]{4}){2,7}(?: ?[0-9A-Za-z]{1,4})?(?![0-9A-Za-z])"), iban),
     Kind("date", re.compile(_ALONE + r"(?:(?P<y1>(?:19|20)[0-9]{2})(?P<sep1>[-/.])(?P<m1>[0-9]{2})(?P=sep1)(?P<d1>[0-9]{2})|(?P<a2>[0-9]{2})(?P<sep2>[-/.])(?P<b2>[0-9]{2})(?P=sep2)(?P<y2>(?:19|20)[0-9]{2}))" + _END), calendar_day),
     Kind("ssn", re.compile(_ALONE + r"(?P<area>[0-9]{3})-(?P<group>[0-9]{2})-(?P<serial>[0-9]{4})" + _END), ssn),
+    Kind("card", re.compile(r"(?<!\+)" + _ALONE + _PRINTED + r"(?![0-9A-Za-z])(?![.,:][0-9])"), card),
     Kind("card", re.compile(r"(?<!\+)" + _ALONE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END), card),
     Kind("phone", re.compile(r"(?<![0-9A-Za-z+])(?P<country>\+[0-9]{1,3})[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])(?![.,-][0-9])"), phone),
     Kind("phone", re.compile(r"(?<![0-9A-Za-z+])(?P<country>)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])(?![.,-][0-9])"), phone),
@@ -218,20 +221,35 @@ KINDS = (
 _MAYBE = "[0-9@]"
 
 
+def candidates(m: re.Match) -> Iterator[re.Match]:
+    """A match, then what is left of it as its last groups of letters and digits are cut off:
+    a number or word after a value can look like a part of it."""
+    yield m
+    for end in range(m.end() - 1, m.start(), -1):
+        if m.string[end] in " .-" and (shorter := m.re.fullmatch(m.string, m.start(), end)):
+            yield shorter
+
+
 def find(text: str, walk: Walk) -> list[tuple[int, int, str, str]]:
-    """``(start, end, kind, pseudonym)`` of the validated finds, by start, none overlapping."""
+    """``(start, end, kind, pseudonym)`` of the validated finds, by start, none overlapping.
+    After a match of which no part validates, the search goes on behind its first character."""
     taken: list[tuple[int, int, str, str]] = []
     for kind in KINDS:
         if kind.name == "email" and "@" not in text:
             continue
         starts, found = [t[0] for t in taken], []
-        for m in kind.pattern.finditer(text):
-            # the finds so far don't overlap: only the last that starts before m ends can reach in
-            before = bisect_left(starts, m.end())
-            if before and taken[before - 1][1] > m.start():
-                continue
-            if (fresh := kind.pseudonym(walk, m)) is not None:
-                found.append((m.start(), m.end(), kind.name, fresh))
+        at = 0
+        while m := kind.pattern.search(text, at):
+            at = m.start() + 1
+            for c in candidates(m):
+                # the finds so far don't overlap: only the last that starts before c ends can reach in
+                before = bisect_left(starts, c.end())
+                if before and taken[before - 1][1] > c.start():
+                    continue
+                if (fresh := kind.pseudonym(walk, c)) is not None:
+                    found.append((c.start(), c.end(), kind.name, fresh))
+                    at = c.end()
+                    break
         taken = sorted(taken + found)
     return taken
 

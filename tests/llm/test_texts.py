@@ -204,6 +204,31 @@ def test_pseudonyms_keep_the_format_and_stay_valid(value, kind):
     assert again[2] == kind  # check digits and calendar still hold
 
 
+FOLLOWED = [
+    ("ES9121000418450200051332 for rent", "ES9121000418450200051332", "iban"),
+    ("PL61109010140000071219812874 from this with", "PL61109010140000071219812874", "iban"),
+    ("ES91 2100 0418 4502 0005 1332 2 nights", "ES91 2100 0418 4502 0005 1332", "iban"),
+    ("ref AB12 ES91 2100 0418 4502 0005 1332", "ES91 2100 0418 4502 0005 1332", "iban"),
+    ("DE89370400440532013000 paid", "DE89370400440532013000", "iban"),
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111", "card"),
+    ("4111 1111 1111 1111 124", "4111 1111 1111 1111", "card"),
+    ("4111-1111-1111-1111-12 x", "4111-1111-1111-1111", "card"),
+    ("no 17 4111111111111111 12 27", "4111111111111111", "card"),
+    ("at 30 4111 1111 1111 1111", "4111 1111 1111 1111", "card"),
+    ("3782 822463 10005 12/27", "3782 822463 10005", "card"),
+    ("6304 0000 0000 0 77", "6304 0000 0000 0", "card"),
+    ("+49 30 1234567 2023 1234 5678", "+49 30 1234567", "phone"),
+]
+
+
+@pytest.mark.parametrize("text, value, kind", FOLLOWED)
+def test_words_and_numbers_beside_a_value_do_not_hide_it(text, value, kind):
+    finds = pii.find(text, pii.Feistel(b"k").permute)
+    assert kind in [f[2] for f in finds] and value not in pii.replace(text, finds)
+    start, end = next((s, e) for s, e, k, _ in finds if k == kind)
+    assert start == text.index(value) and (end == start + len(value) or kind == "phone")
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_what_does_not_validate_stays(text):
     assert pii.find(text, pii.Feistel(b"k").permute) == []
