@@ -201,7 +201,8 @@ class Kind:
     pseudonym: Callable[[Walk, re.Match], str | None]
 
 
-_ALONE, _END = r"(?<![0-9A-Za-z])(?<![0-9][.,:-])", r"(?![0-9A-Za-z])(?![.,:-][0-9])"
+#: Commas, colons and semicolons part values, points and hyphens join them to longer ones.
+_ALONE, _END = r"(?<![0-9A-Za-z])(?<![0-9][.-])", r"(?![0-9A-Za-z])(?![.-][0-9])"
 #: Cards as they are printed.
 _PRINTED = r"(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{4}|[0-9]{4}(?P<cut>[ -])[0-9]{6}(?P=cut)[0-9]{4,5})"
 
@@ -210,13 +211,13 @@ KINDS = (
     Kind("email", re.compile(r"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]{1,64})@(?P<host>(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9])"), email),
     Kind("ipv4", re.compile(_ALONE + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + r"(?![0-9A-Za-z])(?!\.[0-9])"), ipv4),
     Kind("iban", re.compile(r"(?<![0-9A-Za-z])[A-Za-z]{2}[0-9]{2}(?: ?[0-9A-Za-z]{4}){2,7}(?: ?[0-9A-Za-z]{1,4})?(?![0-9A-Za-z])"), iban),
-    Kind("date", re.compile(_ALONE + r"(?:(?P<y1>(?:19|20)[0-9]{2})(?P<sep1>[-/.])(?P<m1>[0-9]{2})(?P=sep1)(?P<d1>[0-9]{2})|(?P<a2>[0-9]{2})(?P<sep2>[-/.])(?P<b2>[0-9]{2})(?P=sep2)(?P<y2>(?:19|20)[0-9]{2}))" + _END), calendar_day),
+    Kind("date", re.compile(_ALONE + r"(?:(?P<y1>(?:19|20)[0-9]{2})(?P<sep1>[-/.])(?P<m1>[0-9]{2})(?P=sep1)(?P<d1>[0-9]{2})|(?P<a2>[0-9]{2})(?P<sep2>[-/.])(?P<b2>[0-9]{2})(?P=sep2)(?P<y2>(?:19|20)[0-9]{2}))(?:(?=[Tt][0-9])|" + _END + ")"), calendar_day),
     Kind("ssn", re.compile(_ALONE + r"(?P<area>[0-9]{3})-(?P<group>[0-9]{2})-(?P<serial>[0-9]{4})" + _END), ssn),
-    Kind("card", re.compile(r"(?<!\+)" + _ALONE + _PRINTED + r"(?![0-9A-Za-z])(?![.,:][0-9])"), card),
+    Kind("card", re.compile(r"(?<!\+)" + _ALONE + _PRINTED + r"(?![0-9A-Za-z])(?!\.[0-9])"), card),
     Kind("card", re.compile(r"(?<!\+)" + _ALONE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END), card),
-    Kind("phone", re.compile(r"(?<![0-9A-Za-z+])(?P<country>\+[0-9]{1,3})[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])(?![.,-][0-9])"), phone),
-    Kind("phone", re.compile(r"(?<![0-9A-Za-z+])(?P<country>)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])(?![.,-][0-9])"), phone),
-    Kind("phone", re.compile(_ALONE + r"(?P<country>)[0-9]{3}(?P<sep>[ .-])[0-9]{3}(?P=sep)[0-9]{4}(?![0-9A-Za-z])(?![.,-][0-9])"), phone),
+    Kind("phone", re.compile(r"(?<![0-9A-Za-z+])(?P<country>\+[0-9]{1,3})[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}" + _END), phone),
+    Kind("phone", re.compile(r"(?<![0-9A-Za-z+])(?P<country>)\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}" + _END), phone),
+    Kind("phone", re.compile(_ALONE + r"(?P<country>)[0-9]{3}(?P<sep>[ .-])[0-9]{3}(?P=sep)[0-9]{4}" + _END), phone),
 )
 _MAYBE = "[0-9@]"
 

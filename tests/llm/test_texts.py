@@ -229,6 +229,28 @@ def test_words_and_numbers_beside_a_value_do_not_hide_it(text, value, kind):
     assert start == text.index(value) and (end == start + len(value) or kind == "phone")
 
 
+JOINED = [
+    ("1042,123-45-6789,1990-05-04,4111111111111111", ["ssn", "date", "card"]),
+    ("1042;123-45-6789;04.05.1990;4111 1111 1111 1111;7", ["ssn", "date", "card"]),
+    ("1,555-123-4567,+1 (017) 555-7713,10.0.0.1,2", ["phone", "phone", "ipv4"]),
+    ("1:(555) 123-4567,2", ["phone"]),
+    ("row 1:4111111111111111:2", ["card"]),
+    ("1,DE89370400440532013000,5", ["iban"]),
+    ("1990-05-04T10:00:00 1990-05-04t10:00:00Z", ["date", "date"]),
+    ("1990-05-04 10:00:00,17", ["date"]),
+    ("1990-05-04Tx 1990-05-04-01 1.4111111111111111 4111111111111111.5", []),
+    ("1,000,000 10:00:00,123 1,234;5,678 12,13,14,15,16,17", []),
+]
+
+
+@pytest.mark.parametrize("text, kinds", JOINED)
+def test_records_and_timestamps(text, kinds):
+    walk = pii.Feistel(b"k").permute
+    finds = pii.find(text, walk)
+    assert [f[2] for f in finds] == kinds
+    assert not any(text[s:e] in pii.replace(text, finds) for s, e, _, _ in finds)
+
+
 @pytest.mark.parametrize("text", CLEAN)
 def test_what_does_not_validate_stays(text):
     assert pii.find(text, pii.Feistel(b"k").permute) == []
