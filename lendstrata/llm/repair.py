@@ -6,7 +6,8 @@ the rules, the expansion length of each nonterminal and the remaining sequence;
 of expansion lengths lead to any position without expanding what lies before it.
 
 Layout, little-endian: ``MAGIC``, then six u32 (version, terminals, rules, symbols, ids,
-bytes per symbol), rules as pairs of u32, expansion lengths as u32, the sequence.
+bits per symbol), rules as pairs of u32, expansion lengths as u32, the sequence: the lowest 16
+bits of each symbol as u16, then for each higher bit those of all symbols, eight to a byte.
 """
 
 from __future__ import annotations
@@ -18,10 +19,10 @@ import numpy as np
 
 from .units import gather
 
-MAGIC, VERSION, HEADER = b"RPAIR", 1, struct.Struct("<5s6I")
-#: Most rounds, pairs replaced in a round, occurrences that a rule must have, and the least
-#: part of the sequence that a round must save for another to follow.
-ROUNDS, PAIRS, LEAST, GAIN = 4, 3500, 24, 0.02
+MAGIC, VERSION, HEADER = b"RPAIR", 2, struct.Struct("<5s6I")
+#: Most pairs replaced in a round, occurrences that a rule must have, and the least part of
+#: the sequence that a round must save for another to follow.
+PAIRS, LEAST, GAIN = 3500, 24, 0.02
 _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 18
 
 
@@ -59,9 +60,7 @@ def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
 def compress(ids: np.ndarray, terminals: int) -> bytes:
     """A shard of ids below ``terminals``."""
     seq, rules, lengths = ids.astype(np.uint32), [], []
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         chosen = _frequent(keys)
         if not len(chosen):
@@ -94,23 +93,29 @@ def compress(ids: np.ndarray, terminals: int) -> bytes:
         seq = seq[left]
         if before - len(seq) < GAIN * before:
             break
-    width = 2 if terminals + len(lengths) <= 1 << 16 else 4
-    header = HEADER.pack(MAGIC, VERSION, terminals, len(lengths), len(seq), len(ids), width)
+    bits = max(16, (terminals + len(lengths) - 1).bit_length())
+    header = HEADER.pack(MAGIC, VERSION, terminals, len(lengths), len(seq), len(ids), bits)
     table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
-    return b"".join([header, table.astype("<u4").tobytes(), np.array(lengths, "<u4").tobytes(), seq.astype(f"<u{width}").tobytes()])
+    high = [np.packbits((seq >> np.uint32(b) & np.uint32(1)).astype(np.uint8)).tobytes() for b in range(16, bits)]
+    return b"".join([header, table.astype("<u4").tobytes(), np.array(lengths, "<u4").tobytes(), seq.astype("<u2").tobytes(), *high])
 
 
 class Shard:
     """Random access to the ids of a shard."""
 
     def __init__(self, blob: bytes):
-        magic, version, self.terminals, n_rules, n_symbols, self.n_ids, width = HEADER.unpack_from(blob)
+        magic, version, self.terminals, n_rules, n_symbols, self.n_ids, bits = HEADER.unpack_from(blob)
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a shard of this format")
         at = HEADER.size
         self.rules = np.frombuffer(blob, "<u4", 2 * n_rules, at).reshape(-1, 2)
         self.lengths = np.frombuffer(blob, "<u4", n_rules, at + 8 * n_rules)
-        self.sequence = np.frombuffer(blob, f"<u{width}", n_symbols, at + 12 * n_rules)
+        at += 12 * n_rules
+        self.sequence = np.frombuffer(blob, "<u2", n_symbols, at)
+        at, plane = at + 2 * n_symbols, -(-n_symbols // 8)
+        for b in range(16, bits):
+            high = np.unpackbits(np.frombuffer(blob, np.uint8, plane, at + (b - 16) * plane), count=n_symbols)
+            self.sequence = self.sequence | high.astype(np.uint32) << np.uint32(b)
         sizes = np.ones(n_symbols, dtype=np.int64)
         inner = self.sequence >= self.terminals
         sizes[inner] = self.lengths[self.sequence[inner] - np.uint32(self.terminals)]

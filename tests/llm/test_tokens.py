@@ -128,6 +128,20 @@ def test_repair_compresses_repetition():
     assert len(repair.compress(ids, 60_000)) < ids.nbytes / 8
 
 
+def test_repair_goes_on_while_rounds_pay():
+    draw = np.random.default_rng(2)
+    ids = np.tile(draw.integers(0, 60_000, 700, dtype=np.uint16), 1400)
+    blob = repair.compress(ids, 60_000)
+    assert len(blob) < ids.nbytes / 50 and (repair.Shard(blob).ids() == ids).all()
+    # so many rules that a symbol takes more than 16 bits
+    passages = draw.integers(0, 60_000, (3000, 10), dtype=np.uint16)
+    ids = passages[draw.integers(0, 3000, 90_000)].ravel()
+    blob = repair.compress(ids, 60_000)
+    shard = repair.Shard(blob)
+    assert len(shard.rules) > 1 << 13 and len(shard.sequence) < len(ids) / 5 and len(blob) < 0.4 * ids.nbytes
+    assert (shard.ids() == ids).all() and shard.ids(1234, 45_678).tolist() == ids[1234:45_678].tolist()
+
+
 def best_segmentation(text: str) -> list[int]:
     """Plain dynamic programme over the characters of one text."""
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
