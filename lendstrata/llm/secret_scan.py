@@ -28,8 +28,9 @@ BASE = (
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
 RANDOM = "random"
-#: What the models may judge: runs of these characters with letters and digits.
-STRING = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}"
+#: What the models may judge: runs of these characters with letters and digits. "=" pads the
+#: end of one; before one it parts a name from its value.
+STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 #: Ratios are kept as whole steps above the least one.
 STEP, OFFSET = 0.001, 32.0

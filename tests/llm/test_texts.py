@@ -319,6 +319,19 @@ def test_base_secrets_and_random_strings(spark):
     assert sum(n for i, n in random_in.items() if i is None or i >= 100) <= 5  # prose has none, junk few
 
 
+def test_random_strings_after_a_name(spark):
+    odd = "x1Fh+zm9tbRkRMgSnMJq8Mt3oa94hHBLzA"
+    names = ["PRIVATE_KEY={}", 'auth="{}"', "see https://a.example/b?x=1&sig={}&y=2", "AUTH= {} or", "A_NAME_OF_MORE_THAN_20_CHARACTERS={}", "signature=={}==", "k='{}'"]
+    plain = ["PAGE=get_user_account_by_id_2_value", "?next=the_quick_brown_fox_version_2&x=1", "a=" + "=" * 40]
+    docs = documents(spark, [(-1 - n, t.format(odd), "en", "s") for n, t in enumerate(names + plain)]).select("doc_id", "text")
+    got = secret_scan.scan(docs.union(sample(spark, "sf0.01").select("doc_id", "text"))).where("doc_id < 0").collect()
+    spans = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s] for r in got}
+    for n, t in enumerate(names):
+        text, found = t.format(odd), spans[-1 - n]
+        assert [text[a:b].rstrip("=") for a, b in found] == [odd], text
+    assert not any(spans[-1 - len(names) - n] for n in range(len(plain)))
+
+
 def test_models_tell_random_strings_from_identifiers(spark):
     found = stage(secret_scan.scanned(sample(spark, "sf0.01"), secret_scan.Models()), "test-secrets")
     ratios = secret_scan.train(found)
