@@ -28,9 +28,12 @@ BASE = (
     ("hex", r"[0-9a-f]{32,}", 0, 32),
 )
 RANDOM = "random"
-#: What the models may judge: runs of these characters with letters and digits. "=" pads the
+#: What the models may judge: runs of these characters. "=" pads the
 #: end of one; before one it parts a name from its value.
-STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}"
+STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: Strings of at least so many characters with a letter and a digit have the lower threshold; others
+#: have the higher one, and those that repeat a character like lines and drawn-out words are no secrets.
+LONG, DRAWN_OUT = 20, r"(.)\1{3}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 #: Ratios are kept as whole steps above the least one.
 STEP, OFFSET = 0.001, 32.0
@@ -38,11 +41,13 @@ STEP, OFFSET = 0.001, 32.0
 
 @dataclass(frozen=True)
 class Models:
-    """Weights of transitions against single characters, the least ratio per character, and
-    about how many documents give ordinary words of at least ``word_length`` characters."""
+    """Weights of transitions against single characters, the least ratio per character of long
+    mixed strings and of others, and about how many documents give ordinary words of at least
+    ``word_length`` characters."""
 
     transitions: float = 0.7
     threshold: float = 0.4
+    short_threshold: float = 0.6
     sample_docs: int = 5_000
     word_length: int = 6
 
@@ -88,6 +93,10 @@ def _of_kind(kind: int) -> Column:
     return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
 
 
+def _usual(value: Column) -> Column:
+    return (F.length(value) >= LONG) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
 def scanned(docs: DataFrame, models: Models) -> DataFrame:
     """Per document ``base``, its base finds, ``strings``, what the models may judge, and
     ``ordinary``, words of the documents that are drawn for training."""
@@ -95,12 +104,12 @@ def scanned(docs: DataFrame, models: Models) -> DataFrame:
     total = docs.count()
     part = min(1.0, models.sample_docs / total) if total else 0.0
     drawn = F.xxhash64(F.lit("ordinary"), "doc_id", F.length("__text")).cast("double") / 2.0**64 + 0.5 < part
-    mixed = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]")
+    fit = lambda x: _usual(x["value"]) | ~x["value"].rlike(DRAWN_OUT)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("__text"))
     rows = rows.withColumns(
         {
             "base": _base(F.col("__text")),
-            "strings": F.filter(located(F.col("__text"), STRING, 0), mixed),
+            "strings": F.filter(located(F.col("__text"), STRING, 0), fit),
             "ordinary": F.when(
                 drawn,
                 F.filter(words(F.col("__text")), lambda w: w.rlike(rf"^[A-Za-z0-9_-]{{{models.word_length},}}$")),
@@ -186,7 +195,8 @@ def scan(docs: DataFrame, models: Models = Models()) -> DataFrame:
     rows = stage(scanned(docs, models), "secrets")
     ratios = train(rows, models)
     apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    high = F.filter("strings", lambda x: apart(x) & (mean_ratio(x["value"], ratios) >= models.threshold))
+    least = lambda x: F.when(_usual(x["value"]), models.threshold).otherwise(models.short_threshold)
+    high = F.filter("strings", lambda x: apart(x) & (mean_ratio(x["value"], ratios) >= least(x)))
     odd = F.transform(high, lambda x: _find(x, len(BASE)))
     names = F.array(*(F.lit(k) for k in (*(b[0] for b in BASE), RANDOM)))
     listed = lambda spans: F.array_join(

@@ -332,6 +332,20 @@ def test_random_strings_after_a_name(spark):
     assert not any(spans[-1 - len(names) - n] for n in range(len(plain)))
 
 
+def test_short_and_letters_only_random_strings(spark):
+    draw = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    odd = ["".join(draw.choices(a, k=n)) for n in (16, 17, 19, 24, 32) for a in (letters, letters + "0123456789") for _ in range(20)]
+    names = ["user", "account", "value", "index", "page", "version", "config", "thing", "report", "final"]
+    plain = ["_".join(draw.choices(names, k=4)) for _ in range(100)] + ["".join(map(str.title, draw.choices(names, k=3))) for _ in range(100)]
+    plain += ["-" * 30, "n" + "o" * 30, "4111111111111111", "/usr/share/config/report/index"]
+    docs = documents(spark, [(-1 - n, f"so {x} then", "en", "s") for n, x in enumerate(odd + plain)]).select("doc_id", "text")
+    got = secret_scan.scan(docs.union(sample(spark, "sf0.01").select("doc_id", "text"))).where("doc_id < 0").collect()
+    found = {-1 - r.doc_id: r.n_random for r in got}
+    assert sum(found[n] for n in range(len(odd))) >= 0.85 * len(odd)
+    assert not any(found[len(odd) + n] for n in range(len(plain)))
+
+
 def test_models_tell_random_strings_from_identifiers(spark):
     found = stage(secret_scan.scanned(sample(spark, "sf0.01"), secret_scan.Models()), "test-secrets")
     ratios = secret_scan.train(found)
