@@ -8,8 +8,22 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendstrata.sources.staging import staging_path
 
-from . import language, mixing, pii, quality, secret_scan, sentencepieces, simhash, token_counts, token_files, vectors
-from .common import table
+from . import (
+    collocations,
+    language,
+    mixing,
+    pii,
+    quality,
+    runs,
+    secret_scan,
+    sentencepieces,
+    simhash,
+    token_counts,
+    token_files,
+    vectors,
+    warc,
+)
+from .common import discard, stage_at, table, words
 
 #: Key of the pseudonyms of the queries; a deployment hands its own secret to the operator.
 PSEUDONYM_KEY = "pseudonyms of the queries"
@@ -69,6 +83,60 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan(table(spark, d, "documents"))
 
 
+def op11_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = staging_path(spark, "warc")
+    warc.write_archives(table(spark, d, "pages"), folder, least_bytes=0)
+    read, _ = stage_at(warc.read_archives(spark, folder, payloads=False), "warc-read")
+    records = warc.log_gaps(read, staging_path(spark, "warc-gaps"))
+    discard(spark, folder)
+    page = lambda urn: F.regexp_extract(urn, r"^urn:page:(-?\d+):", 1)
+    return records.select(
+        F.nullif(page("record_id"), F.lit("")).cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.nullif(page("refers_to"), F.lit("")).cast("long").alias("refers_to"),
+    )
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the repetition that the contract of op12 puts into every tenth
+    document: from word a on, its words are replaced by a cycle of p of them."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.floor(h / 10).alias("g"), (h % 10 == 0).alias("hit"))
+    rows = rows.withColumn("words", F.when(F.col("hit"), words(F.col("text")))).withColumn("n", F.size("words"))
+    a = F.col("g") % F.greatest("n", F.lit(1))
+    rows = rows.withColumn("a", a.cast("int")).withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    cycles = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.expr("int((n - a) div p + 1)")))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(cycles, F.lit(1), F.col("n") - F.col("a")))
+    text = F.when(F.col("hit") & (F.col("n") > 0), F.array_join(changed, " ")).otherwise(F.col("text"))
+    return rows.select("doc_id", text.alias("text"))
+
+
+def op12_runs(spark: SparkSession, d: str) -> DataFrame:
+    found = runs.periodic_runs(with_periods(table(spark, d, "documents")), least=24, power=3)
+    longest = F.reduce(
+        F.slice("runs", F.lit(2), F.size("runs")),
+        F.get("runs", F.lit(0)),
+        lambda best, run: F.when(run.length * best.period > best.length * run.period, run).otherwise(best),
+    )
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(table(spark, d, "documents"), least=100, longest=5, top=2000, absorbed_pct=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     each = (
         op1_sentencepiece,
@@ -81,5 +149,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_token_counts,
         op9_vectors,
         op10_secrets,
+        op11_warc,
+        op12_runs,
+        op13_collocations,
     )
     return {f.__name__: f for f in each}
