@@ -1,6 +1,6 @@
 """SQL over the same tables for the operators that SQL can express.
 
-Language, tokens, grammar files, SimHash, pseudonyms, vectors and character models have none;
+Language, tokens, grammar files, SimHash, pseudonyms, vectors, character models and runs have none;
 their tests compare with brute force.
 """
 
@@ -167,5 +167,67 @@ FROM failed LEFT JOIN class_gap c USING (row) LEFT JOIN word_gap w USING (row)
 """
 
 
+WARC = """
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+),
+coded AS (
+  SELECT page_id, html, hex, array_to_string(
+           [substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((16 * (instr('0123456789abcdef', substr(hex, 1 + 5 * j // 4, 1)) - 1)
+                     + instr('0123456789abcdef', substr(hex, 2 + 5 * j // 4, 1)) - 1) >> (3 - 5 * j % 4)) % 32 + 1, 1)
+            FOR j IN range(32)], '') AS payload_digest
+  FROM hashed
+),
+firsts AS (
+  SELECT *, first_value(page_id) OVER same AS first_id, row_number() OVER same AS nth
+  FROM coded WINDOW same AS (PARTITION BY html ORDER BY page_id NULLS LAST)
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest,
+       CASE nth WHEN 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN nth > 1 THEN first_id END AS refers_to
+FROM firsts
+"""
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) AS t FROM documents)
+),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, w[i : i + k - 1] AS p FROM (
+    SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces CROSS JOIN range(1, 6) ks(k))
+),
+f AS (SELECT lang, k, p, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT * FROM f WHERE k > 1),
+parts AS (
+  SELECT lang, a, p[i : i + m - 1] AS p FROM (
+    SELECT lang, a, p, m, unnest(range(1, k - m + 2)) AS i FROM candidates CROSS JOIN range(2, 5) ms(m) WHERE m < k)
+),
+absorbed AS (
+  SELECT DISTINCT lang, p FROM parts JOIN f c USING (lang, p) WHERE 100 * parts.a >= 100 * c.a
+),
+cuts AS (
+  SELECT c.lang, c.p, c.a, x.a AS l, y.a AS r, n,
+         1000::HUGEINT * c.a * n // (x.a::HUGEINT * y.a) AS score, cut
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates ANTI JOIN absorbed USING (lang, p)) c
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[1 : cut]
+  JOIN f y ON y.lang = c.lang AND y.p = c.p[cut + 1 : c.k]
+  JOIN totals t ON t.lang = c.lang
+),
+best AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score
+  FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": MIXING, "op6_quality": quality()}
+    return {"op5_mixing": MIXING, "op6_quality": quality(), "op11_warc": WARC, "op13_collocations": COLLOCATIONS}

@@ -122,7 +122,11 @@ class Record:
 
 
 def _checked(record: Record) -> Record:
-    """The record, if it agrees with its SHA-1 digests; other kinds of digest are not looked at."""
+    """The record, if it has a kind and an id and agrees with its SHA-1 digests; other kinds of
+    digest are not looked at."""
+    for name in ("WARC-Type", "WARC-Record-ID"):
+        if not record.header(name):
+            raise Damaged(f"no {name}")
     for name, data in (("WARC-Block-Digest", record.block), ("WARC-Payload-Digest", record.payload())):
         kind, _, told = (record.header(name) or "").partition(":")
         if kind.lower() == "sha1" and data is not None and told.upper() != base32_sha1(data):
@@ -139,6 +143,8 @@ def plain_record(data: bytes, at: int) -> tuple[Record, int]:
     behind = data.find(b"\r\n\r\n", version.end() - 2)
     if behind < 0:
         raise Damaged("headers do not end")
+    if VERSION_LINE.search(data, version.end(), behind + 2):
+        raise Damaged("headers run into the next record")
     headers: dict[str, str] = {}
     last = None
     for line in data[version.end() : max(behind, version.end())].decode("utf-8", "replace").split("\r\n"):
