@@ -1,40 +1,44 @@
-"""Gold features on flat rows."""
+"""Columns derived from others, each stated as what it needs and how it follows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendstrata.functions.numeric import guarded_ratio
 
 
-def log_features(
-    df: DataFrame, columns: Sequence[str], shifted: Sequence[str] = (), suffix: str = "_Log"
-) -> DataFrame:
-    """Add ``log1p`` of each column that is present; NULL for arguments of -1 and below.
-
-    A ``shifted`` column is moved so that its least value lands on 1 before the
-    logarithm. That minimum is a scalar subquery with partial aggregation, so the
-    frame passed in should be a stored one when it is costly to compute.
-    """
-    present = set(df.columns)
-    new = [F.log1p(c).alias(c + suffix) for c in columns if c in present]
-    for c in shifted:
-        if c in present:
-            least = df.agg(F.min(c).cast("double")).scalar()
-            new.append(F.log1p(F.col(c) - least + F.lit(1)).alias(c + suffix))
-    return df.select("*", *new)
-
-
-def add_ratios(df: DataFrame, ratios: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """Add guarded ratios given as (name, numerator, denominator); incomplete ones are skipped."""
-    present = set(df.columns)
-    return df.select(
-        "*",
-        *(
-            guarded_ratio(F.col(num), F.col(den)).alias(name)
-            for name, num, den in ratios
-            if num in present and den in present
-        ),
+@dataclass(frozen=True)
+class Derived:
+    """A new column, the columns that it needs, and its formula over them."""
+
+    name: str
+    needs: tuple[str, ...]
+    formula: Callable[..., Column]
+
+
+def derive(df: DataFrame, wanted: Iterable[Derived]) -> DataFrame:
+    """``df`` with each wanted column all of whose needs it has; the others are left out."""
+    possible = {d.name: d.formula(*map(F.col, d.needs)) for d in wanted if not {*d.needs} - {*df.columns}}
+    return df.withColumns(possible) if possible else df
+
+
+def logarithm(column: str, origin: Column | None = None) -> Derived:
+    """``log1p`` of a column, NULL for arguments of -1 and below; with an ``origin`` the column
+    is moved so that this value lands on 1 first."""
+    return Derived(
+        f"{column}_Log", (column,), lambda value: F.log1p(value if origin is None else value - origin + F.lit(1))
     )
+
+
+def ratio(name: str, numerator: str, denominator: str) -> Derived:
+    """A quotient that is 0 where its denominator is not positive."""
+    return Derived(name, (numerator, denominator), guarded_ratio)
+
+
+def least_value(df: DataFrame, column: str) -> Column:
+    """The least value of a column, as a scalar subquery with partial aggregation; ``df`` should
+    be a stored table when it is costly to compute."""
+    return df.agg(F.min(column).cast("double")).scalar()

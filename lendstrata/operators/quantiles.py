@@ -11,7 +11,7 @@ rows need not be repeated.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -145,27 +145,45 @@ def iqr_bounds(
     return stats.select(*(fence(c) for c in columns))
 
 
-def iqr_filter(
+Fences = Mapping[str, tuple[float | None, float | None]]
+
+
+def iqr_fences(
     df: DataFrame,
     columns: Sequence[str],
     k: float = 1.5,
     relative_error: float = 0.01,
     weight: str | None = None,
-) -> DataFrame:
-    """Rows whose value lies within the fences in all the columns that are present.
-
-    NULL and NaN lie outside. A column without any value puts no condition. The fences
-    are one row of numbers: they are read once and become literals, which reach the
-    Parquet scan as pushed filters. Costly input should be a stored table, as it is
-    read once for the fences and once for the rows.
-    """
+) -> Fences:
+    """The fences of those columns that are present, as numbers; None for one without values."""
     present = [c for c in columns if c in df.columns]
     if not present:
-        return df
-    fences = iqr_bounds(df, present, k, relative_error, weight).first()
+        return {}
+    bounds = iqr_bounds(df, present, k, relative_error, weight).first()
+    return {c: (bounds[c].lower, bounds[c].upper) for c in present}
+
+
+def within_fences(df: DataFrame, fences: Fences) -> DataFrame:
+    """Rows whose values lie within all the fences; NULL and NaN lie outside, and a column
+    without fences puts no condition. The numbers reach a Parquet scan as pushed filters."""
     inside = [
-        (F.col(c) >= F.lit(fences[c].lower)) & (F.col(c) <= F.lit(fences[c].upper))
-        for c in present
-        if fences[c].lower is not None
+        (F.col(c) >= F.lit(lower)) & (F.col(c) <= F.lit(upper))
+        for c, (lower, upper) in fences.items()
+        if lower is not None and upper is not None
     ]
     return df.filter(reduce(and_, inside)) if inside else df
+
+
+def iqr_filter(
+    df: DataFrame,
+    columns: Sequence[str],
+    k: float = 1.5,
+    relative_error: float = 0.01,
+    weight: str | None = None,
+) -> DataFrame:
+    """Rows whose value lies within the fences in all the columns that are present.
+
+    Costly input should be a stored table, as it is read once for the fences and once for the
+    rows.
+    """
+    return within_fences(df, iqr_fences(df, columns, k, relative_error, weight))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lendstrata.functions.credit import default_label
 from lendstrata.functions.numeric import indicator
-from lendstrata.operators.features import add_ratios, log_features
-from lendstrata.operators.quantiles import iqr_filter
+from lendstrata.operators.features import derive, least_value, logarithm, ratio
+from lendstrata.operators.quantiles import Fences, iqr_fences, within_fences
 from lendstrata.operators.skew import ROW_SALT, HotKeys, hot_keys, replicate_rows, skew_join, with_row_salt
 from lendstrata.sources.specs import SNAPSHOT
 from lendstrata.sources.staging import stage
@@ -39,7 +39,7 @@ LOG_COLUMNS = [
     "Amount_invested_monthly",
     "Num_Credit_Inquiries",
 ]
-SHIFTED_LOG_COLUMNS = ["Monthly_Balance"]
+BALANCE = "Monthly_Balance"
 RATIOS = [
     ("Debt_to_Income_Ratio", "Outstanding_Debt", "Annual_Income"),
     ("EMI_to_Income_Ratio", "Total_EMI_per_month", "Monthly_Inhand_Salary"),
@@ -107,7 +107,7 @@ def label_store(
 
 def with_monthly_balance(financials: DataFrame) -> DataFrame:
     return financials.withColumn(
-        "Monthly_Balance", F.col("Monthly_Inhand_Salary") - F.col("Total_EMI_per_month")
+        BALANCE, F.col("Monthly_Inhand_Salary") - F.col("Total_EMI_per_month")
     )
 
 
@@ -170,17 +170,35 @@ def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFr
     return base.drop(ROW_SALT, "SSN")
 
 
-def star_features(base: DataFrame, options: StarOptions = StarOptions()) -> DataFrame:
+def star_features(
+    base: DataFrame,
+    options: StarOptions = StarOptions(),
+    fences: Fences | None = None,
+    least_balance: float | None = None,
+) -> DataFrame:
     """Outlier filter, logarithms, ratios, indicator and final columns on a stored base.
 
-    Quartiles count each row ``_copies`` times, and the copies appear in the result.
+    Quartiles count each row ``_copies`` times, and the copies appear in the result. Fences
+    and the least balance within them come from ``base`` unless they are given, as they are
+    for a part of the snapshots.
     """
-    kept = iqr_filter(
-        base, options.outlier_columns, options.iqr_factor, options.relative_error, weight="_copies"
+    if fences is None:
+        fences = iqr_fences(base, options.outlier_columns, options.iqr_factor, options.relative_error, weight="_copies")
+    kept = within_fences(base, fences)
+    origin = F.lit(least_balance) if least_balance is not None else least_value(kept, BALANCE)
+    return _unfolded(featured(kept, origin), options, base)
+
+
+def featured(kept: DataFrame, least_balance: Column) -> DataFrame:
+    """The rows within the fences with all derived columns."""
+    logs = [logarithm(c) for c in LOG_COLUMNS] + [logarithm(BALANCE, least_balance)]
+    return derive(kept, [*logs, *(ratio(*r) for r in RATIOS)]).withColumn(
+        "Is_Employed", indicator(F.col("Occupation"), EMPLOYED)
     )
-    featured = add_ratios(log_features(kept, LOG_COLUMNS, SHIFTED_LOG_COLUMNS), RATIOS)
-    employed = featured.withColumn("Is_Employed", indicator(F.col("Occupation"), EMPLOYED))
-    slim = employed.drop(*COLLINEAR_COLUMNS)
+
+
+def _unfolded(rows: DataFrame, options: StarOptions, base: DataFrame) -> DataFrame:
+    slim = rows.drop(*COLLINEAR_COLUMNS)
     if options.grain == "loan":
         return slim.select("loan_id", *STAR_COLUMNS)
     return replicate_rows(slim.select(*STAR_COLUMNS, "_copies"), "_copies", _most(base, "_copies"))

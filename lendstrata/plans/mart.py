@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -52,6 +54,11 @@ def dim_snapshot(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, (t.select(SNAPSHOT) for t in tables)).distinct()
 
 
+def dim_snapshot_of(spark: SparkSession, dates: Iterable[date]) -> DataFrame:
+    """The same from the stored tables' lists of snapshots, without reading a row."""
+    return spark.createDataFrame([(d,) for d in sorted({*dates})], f"{SNAPSHOT} date")
+
+
 def dim_customer(attributes: DataFrame) -> DataFrame:
     """Distinct customer attributes; a customer whose attributes changed has several rows."""
     return attributes.select(
@@ -143,15 +150,63 @@ def fact_customer_loan_type(financials: DataFrame, loan_types: DataFrame) -> Dat
     )
 
 
-def build_mart(cleaned: CleanedTables) -> dict[str, DataFrame]:
-    """All mart tables by name."""
+@dataclass(frozen=True)
+class DistinctDimension:
+    """A dimension of the distinct values of some columns of a cleaned table; ``identity``
+    names its columns that are never NULL and tell its rows apart."""
+
+    source: str
+    columns: tuple[str, ...]
+    build: Callable[[DataFrame], DataFrame]
+    identity: tuple[str, ...]
+
+
+#: Snapshot by snapshot, what each fact and dimension follows from.
+FACT_SOURCES = {
+    "fact_clickstream": "clickstream",
+    "fact_financials": "financials",
+    "fact_loan": "loans",
+    "fact_customer_loan_type": "financials",
+}
+DISTINCT_DIMENSIONS = {
+    "dim_customer": DistinctDimension(
+        "attributes",
+        ("Customer_ID", "SSN", "Name", "Age", "Occupation"),
+        dim_customer,
+        ("customer_id", "SSN", "Name", "Age", "Occupation"),
+    ),
+    "dim_credit_mix": DistinctDimension("financials", ("Credit_Mix",), dim_credit_mix, ("credit_mix_id",)),
+    "dim_payment_behaviour": DistinctDimension(
+        "financials", ("Payment_Behaviour",), dim_payment_behaviour, ("payment_behaviour_id",)
+    ),
+    "dim_min_payment": DistinctDimension("financials", ("Payment_of_Min_Amount",), dim_min_payment, ("payment_code",)),
+}
+
+
+def build_fact(name: str, cleaned: DataFrame) -> DataFrame:
+    """A fact from (some snapshots of) the cleaned table that it follows from."""
+    spark = cleaned.sparkSession
+    if name == "fact_clickstream":
+        return fact_clickstream(cleaned, dim_feature(spark))
+    if name == "fact_financials":
+        return fact_financials(cleaned)
+    if name == "fact_loan":
+        return fact_loan(cleaned)
+    if name == "fact_customer_loan_type":
+        return fact_customer_loan_type(cleaned, dim_loan_type(spark, loan_flags(cleaned)))
+    raise ValueError(f"no fact {name!r}")
+
+
+def build_mart(cleaned: CleanedTables, dates: Iterable[date] | None = None) -> dict[str, DataFrame]:
+    """All mart tables by name. With the ``dates`` of the stored tables' snapshots no row is
+    read for these."""
     spark = cleaned.loans.sparkSession
     features = dim_feature(spark)
     loan_types = dim_loan_type(spark, loan_flags(cleaned.financials))
     return {
-        "dim_snapshot": dim_snapshot(
-            cleaned.loans, cleaned.clickstream, cleaned.attributes, cleaned.financials
-        ),
+        "dim_snapshot": dim_snapshot(cleaned.loans, cleaned.clickstream, cleaned.attributes, cleaned.financials)
+        if dates is None
+        else dim_snapshot_of(spark, dates),
         "dim_customer": dim_customer(cleaned.attributes),
         "dim_feature": features,
         "dim_credit_mix": dim_credit_mix(cleaned.financials),

@@ -20,7 +20,7 @@ from lendstrata.operators.contracts import ContractError, assert_same_columns, a
 from lendstrata.operators.incremental import missing_snapshots
 from lendstrata.plans import gold, mart
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
-from lendstrata.sources import files
+from lendstrata.sources import files, published
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 from lendstrata.sources.staging import staged
 
@@ -65,6 +65,10 @@ class Layout:
     def gold(self, table: str) -> str:
         return f"{self.lake}/gold/{table}"
 
+    def ledger(self, what: str) -> str:
+        """What was worked on, for runs that only take in what changed."""
+        return f"{self.lake}/ledger/{what}"
+
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -147,19 +151,27 @@ def read_cleaned(spark: SparkSession, layout: Layout) -> mart.CleanedTables:
     )
 
 
+def cleaned_days(spark: SparkSession, layout: Layout) -> set[date]:
+    """Snapshots of any of the cleaned tables, by the names of their folders."""
+    return {d for spec in SOURCES.values() for d in files.partition_days(spark, layout.cleaned(spec))}
+
+
 def read_mart(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {name: files.read_table(spark, layout.mart(name)) for name in MART_TABLES}
+    return {name: published.read(spark, layout.mart(name)) for name in MART_TABLES}
 
 
-def write_mart(
-    spark: SparkSession, tables: dict[str, DataFrame], layout: Layout, mode: str = "overwrite"
-) -> None:
+def read_gold(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    return published.read(spark, layout.gold(table))
+
+
+def write_mart(spark: SparkSession, tables: dict[str, DataFrame], layout: Layout) -> None:
     """Facts are partitioned by snapshot as the cleaned tables are, so they are written
-    without a shuffle; dimensions are not partitioned."""
+    without a shuffle; dimensions are not partitioned. Readers see each old table until the
+    new one is complete."""
 
     def write(name: str) -> None:
         fact = name.startswith("fact_")
-        files.write_table(tables[name], layout.mart(name), [SNAPSHOT] if fact else [], mode, clustered=fact)
+        published.publish(tables[name], layout.mart(name), partitioned=fact, clustered=fact)
 
     failures = _attempt(spark, tables, write)
     if failures:
@@ -172,9 +184,9 @@ def write_gold(spark: SparkSession, config: RunConfig) -> None:
     tables = read_mart(spark, config.layout)
     with staged(gold.star_base(tables, config.star.grain), "star-base", [SNAPSHOT]) as base:
         star = gold.star_features(base, config.star)
-        files.write_table(star, config.layout.gold("loan_analytics_star"), [SNAPSHOT], clustered=True)
+        published.publish(star, config.layout.gold("loan_analytics_star"), clustered=True)
     labels = gold.label_store(tables["fact_loan"], config.dpd_threshold, config.mob_threshold)
-    files.write_table(labels, config.layout.gold("label_store"), [SNAPSHOT], clustered=True)
+    published.publish(labels, config.layout.gold("label_store"), clustered=True)
 
 
 def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
@@ -204,7 +216,7 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
     absent = [s.name for s in SOURCES.values() if not files.table_exists(spark, layout.cleaned(s))]
     if absent:
         raise RunFailed("silver", failures)
-    write_mart(spark, mart.build_mart(read_cleaned(spark, layout)), layout)
+    write_mart(spark, mart.build_mart(read_cleaned(spark, layout), cleaned_days(spark, layout)), layout)
     write_gold(spark, config)
     if failures:
         raise RunFailed("silver", failures)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Iterator, Sequence
 from datetime import date
 
@@ -182,5 +185,58 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def stored_snapshots(spark: SparkSession, path: str, on: str = SNAPSHOT) -> DataFrame:
     """Snapshots of a stored table, by the names of its partition folders; no row is read."""
-    days = sorted(day for day, folders in _partitions(spark, path, on).items() if any(folders.values()))
-    return spark.createDataFrame([(d,) for d in days], f"{on} date")
+    return spark.createDataFrame([(d,) for d in partition_days(spark, path, on)], f"{on} date")
+
+
+def partition_days(spark: SparkSession, path: str, on: str = SNAPSHOT) -> list[date]:
+    """Dated partitions of a table that hold data files, by the names of their folders."""
+    return sorted(day for day, folders in _partitions(spark, path, on).items() if any(folders.values()))
+
+
+def partition_tokens(spark: SparkSession, path: str, on: str = SNAPSHOT) -> dict[date, str]:
+    """By snapshot a digest of its files' names, which are new whenever it is written; no row is read."""
+    return {
+        day: hashlib.sha256("\n".join(sorted(n for names in folders.values() for n in names)).encode()).hexdigest()
+        for day, folders in _partitions(spark, path, on).items()
+        if any(folders.values())
+    }
+
+
+def subfolders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names of the folders directly below ``path`` that match a glob pattern."""
+    glob = _hadoop_path(spark, f"{path}/{pattern}")
+    found = _file_system(spark, glob).globStatus(glob) or ()
+    return sorted(status.getPath().getName() for status in found if status.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    folder = _hadoop_path(spark, path)
+    _file_system(spark, folder).delete(folder, True)
+
+
+def read_note(spark: SparkSession, path: str):
+    """The content of a small JSON file, None where there is none."""
+    note = _hadoop_path(spark, path)
+    system = _file_system(spark, note)
+    if not system.exists(note):
+        return None
+    stream = system.open(note)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, content) -> None:
+    """Replace a small JSON file in one step: readers find the old content or the new."""
+    note, draft = _hadoop_path(spark, path), _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = _file_system(spark, draft).create(draft, True)
+    stream.write(bytearray(json.dumps(content).encode()))
+    stream.close()
+    jvm = spark.sparkContext._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(draft, note, options)

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.sources.files import read_table, write_table
+from lendstrata.sources.files import read_table, remove, write_table
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -47,9 +47,7 @@ def staged(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Itera
     try:
         yield _write(df, path, partition_by)
     finally:
-        context = df.sparkSession.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(df.sparkSession, path)
 
 
 def stage_all(**frames: DataFrame) -> dict[str, DataFrame]:

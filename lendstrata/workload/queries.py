@@ -395,7 +395,9 @@ def quartile_ranks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def log_features(spark: SparkSession, d: str) -> DataFrame:
-    logs = features.log_features(priced_orders(spark, d), ["o_totalprice"], ["c_acctbal"])
+    prices = priced_orders(spark, d)
+    shifted = features.logarithm("c_acctbal", features.least_value(prices, "c_acctbal"))
+    logs = features.derive(prices, [features.logarithm("o_totalprice"), shifted])
     return logs.select("o_orderkey", *(F.round(c, 6).alias(c) for c in ("o_totalprice_Log", "c_acctbal_Log")))
 
 
@@ -404,7 +406,7 @@ def safe_ratios(spark: SparkSession, d: str) -> DataFrame:
         ("price_to_balance", "o_totalprice", "c_acctbal"),
         ("balance_to_price", "c_acctbal", "o_totalprice"),
     ]
-    with_ratios = features.add_ratios(priced_orders(spark, d), ratios)
+    with_ratios = features.derive(priced_orders(spark, d), [features.ratio(*r) for r in ratios])
     return with_ratios.select("o_orderkey", *(F.round(name, 6).alias(name) for name, _, _ in ratios))
 
 
@@ -459,12 +461,12 @@ def _whole_run(spark: SparkSession, d: str) -> medallion.Layout:
 
 def medallion_run(spark: SparkSession, d: str) -> DataFrame:
     """The star of a whole run, read back from gold."""
-    return _rounded(files.read_table(spark, _whole_run(spark, d).gold("loan_analytics_star")))
+    return _rounded(medallion.read_gold(spark, _whole_run(spark, d), "loan_analytics_star"))
 
 
 def medallion_labels(spark: SparkSession, d: str) -> DataFrame:
     """The labels of a whole run, read back from gold."""
-    return files.read_table(spark, _whole_run(spark, d).gold("label_store"))
+    return medallion.read_gold(spark, _whole_run(spark, d), "label_store")
 
 
 def medallion_mart(spark: SparkSession, d: str) -> DataFrame:

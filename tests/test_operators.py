@@ -286,14 +286,16 @@ def test_fences_reach_the_scan(spark, folder):
 
 def test_log_features(spark):
     df = spark.createDataFrame([(-1.0, 5.0), (0.0, 7.0)], "a double, b double")
-    got = features.log_features(df, ["a", "absent"], ["b"]).orderBy("a").collect()
+    wanted = [features.logarithm("a"), features.logarithm("absent"), features.logarithm("b", features.least_value(df, "b"))]
+    got = features.derive(df, wanted).orderBy("a").collect()
     assert [r.a_Log for r in got] == [None, 0.0]
     assert [round(r.b_Log, 6) for r in got] == [round(np.log1p(1), 6), round(np.log1p(3), 6)]
 
 
 def test_ratios_skip_incomplete_definitions(spark):
     df = spark.createDataFrame([(5.0, 2.0)], "a double, b double")
-    got = features.add_ratios(df, [("r", "a", "b"), ("s", "a", "absent")])
+    got = features.derive(df, [features.ratio("r", "a", "b"), features.ratio("s", "a", "absent")])
+    assert features.derive(df, [features.ratio("s", "a", "absent")]).columns == df.columns
     assert got.columns == ["a", "b", "r"] and got.first().r == 2.5
 
 

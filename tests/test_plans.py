@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lendstrata.operators.contracts import ContractError
 from lendstrata.plans import cleaners, gold, mart, medallion
 from lendstrata.plans.cleaners import SOURCES
-from lendstrata.sources import feature_store, files, specs, staging
+from lendstrata.sources import feature_store, files, published, specs, staging
 from lendstrata.sources.staging import staging_path
 from lendstrata.streaming.refresh import refresh_cleaned
 from lendstrata.workload import inputs, queries as workload
@@ -148,8 +148,8 @@ def delivered(spark, tmp_path_factory):
 
 
 def fingerprints(spark, layout):
-    tables = [layout.mart(t) for t in medallion.MART_TABLES] + [layout.gold(t) for t in medallion.GOLD_TABLES]
-    return {t.rsplit("/", 1)[1]: rows(spark.read.parquet(t)) for t in tables}
+    tables = {t: layout.mart(t) for t in medallion.MART_TABLES} | {t: layout.gold(t) for t in medallion.GOLD_TABLES}
+    return {name: rows(published.read(spark, path)) for name, path in tables.items()}
 
 
 def test_whole_run(spark, delivered, folder):
