@@ -44,6 +44,14 @@ def word_blocks(text: bytes, size: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
         at = end
 
 
+def row_order(rows: DataFrame, row: str = "__row") -> list[Column]:
+    """An order of rows held in the struct column ``row`` by all that they hold: a hash, then the
+    columns as text. Rows that stand equal in it are equal."""
+    columns = [F.col(f"{row}.`{c}`") for c in rows.columns]
+    absent = [c.isNull() for c in columns]
+    return [F.xxhash64(*columns, *absent), F.to_json(F.col(row), {"ignoreNullFields": "false"})]
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write to the folder that all executors share and return a scan of it: lineage ends
     here, and a lost executor costs no recomputation."""

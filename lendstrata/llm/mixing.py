@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage, word_count
+from .common import row_order, stage, word_count
 
 #: Rows of a range of a running sum, on average.
 RANGE_ROWS = 5_000
@@ -163,7 +163,9 @@ def mix(
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix with all their columns, each as often as it is taken."""
+    """The documents of the mix with all their columns, each as often as it is taken. Of rows
+    with equal ids and sizes, those that come first by all their columns (``row_order``) get the
+    odd copies; the order of the input has no influence."""
     plan = mix(docs, **options).select(F.col("doc_id").alias("__id"), F.col("size").alias("__words"), "copies")
     # rows with equal ids and sizes share their copies out evenly
     per_id = plan.groupBy("__id", "__words").agg(F.sum("copies").alias("__sum"), F.count("*").alias("__rows"))
@@ -172,7 +174,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
         per_id.where("__sum > 0"),
         rows["__row.doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__size") == F.col("__words")),
     )
-    nth = F.row_number().over(Window.partitionBy("__id", "__words").orderBy("__size"))
+    nth = F.row_number().over(Window.partitionBy("__id", "__words").orderBy(*row_order(docs)))
     times = F.floor((F.col("__sum") + F.col("__rows") - F.col("__nth")) / F.col("__rows")).cast("int")
     each = hit.withColumn("__nth", nth).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times)))
     return each.select("__row.*")

@@ -1,9 +1,11 @@
 """Re-Pair grammar compression of a shard of token ids.
 
 In each round the most frequent adjacent pairs become nonterminals, with the more frequent
-pair first where occurrences overlap; rounds go on until they no longer pay. A shard holds
-the rules, the expansion length of each nonterminal and the remaining sequence; running sums
-of expansion lengths lead to any position without expanding what lies before it.
+pair first where occurrences overlap. A rule takes 12 bytes and each occurrence saves two, so
+pairs are replaced while one occurs ``LEAST`` times; the round after which the shard is
+smallest counts. A shard holds the rules, the expansion length of each nonterminal and the
+remaining sequence; running sums of expansion lengths lead to any position, and only the
+symbols that cover the wanted ids are expanded.
 
 Layout, little-endian: ``MAGIC``, then six u32 (version, terminals, rules, symbols, ids,
 bits per symbol), rules as pairs of u32, expansion lengths as u32, the sequence: the lowest 16
@@ -13,16 +15,15 @@ bits of each symbol as u16, then for each higher bit those of all symbols, eight
 from __future__ import annotations
 
 import struct
-from functools import cached_property
 
 import numpy as np
 
 from .units import gather
 
 MAGIC, VERSION, HEADER = b"RPAIR", 2, struct.Struct("<5s6I")
-#: Most pairs replaced in a round, occurrences that a rule must have, and the least part of
-#: the sequence that a round must save for another to follow.
-PAIRS, LEAST, GAIN = 3500, 24, 0.02
+RULE_BYTES, SAVED_BYTES = 12, 2
+#: Most pairs replaced in a round, and the least occurrences by which a rule saves bytes.
+PAIRS, LEAST = 3500, RULE_BYTES // SAVED_BYTES + 1
 _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 18
 
 
@@ -57,9 +58,18 @@ def _apart(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return first | (rest & ((places - begun) % 2 == 0))
 
 
+def _bits(symbols: int) -> int:
+    return max(16, (symbols - 1).bit_length())
+
+
 def compress(ids: np.ndarray, terminals: int) -> bytes:
     """A shard of ids below ``terminals``."""
-    seq, rules, lengths = ids.astype(np.uint32), [], []
+    seq, rules, lengths = ids.astype(np.uint32), [], np.zeros(0, dtype=np.uint32)
+
+    def size() -> int:
+        return RULE_BYTES * len(lengths) + len(seq) * _bits(terminals + len(lengths)) // 8
+
+    best = (size(), seq, 0)
     while len(seq) > 1:
         keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         chosen = _frequent(keys)
@@ -75,29 +85,33 @@ def compress(ids: np.ndarray, terminals: int) -> bytes:
         exact = chosen[rank] == keys[at]
         at, rank = at[exact], rank[exact]
         keep = _apart(at, rank)
-        at, rank = at[keep], rank[keep]
-        occurs = np.bincount(rank, minlength=len(chosen)) > 0
-        used, rank = np.flatnonzero(occurs), (np.cumsum(occurs) - 1)[rank]
+        # pairs that overlaps leave too few occurrences of wait, too
+        paying = np.bincount(rank[keep], minlength=len(chosen)) >= LEAST
+        keep &= paying[rank]
+        at, used = at[keep], np.flatnonzero(paying)
+        if not len(used):
+            break
+        rank = (np.cumsum(paying) - 1)[rank[keep]]
         first = terminals + len(lengths)
         pairs = np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], axis=1)
-        known = np.array(lengths, dtype=np.uint32)
         sizes = np.ones_like(pairs)
         inner = pairs >= terminals
-        sizes[inner] = known[pairs[inner] - terminals]
-        lengths += sizes.sum(axis=1).tolist()
+        sizes[inner] = lengths[pairs[inner] - terminals]
+        lengths = np.concatenate([lengths, sizes.sum(axis=1).astype(np.uint32)])
         rules.append(pairs.astype(np.uint32))
-        before = len(seq)
+        seq = seq.copy()
         seq[at] = first + rank
-        left = np.ones(before, dtype=bool)
+        left = np.ones(len(seq), dtype=bool)
         left[at + 1] = False
         seq = seq[left]
-        if before - len(seq) < GAIN * before:
-            break
-    bits = max(16, (terminals + len(lengths) - 1).bit_length())
-    header = HEADER.pack(MAGIC, VERSION, terminals, len(lengths), len(seq), len(ids), bits)
-    table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
+        if size() < best[0]:
+            best = (size(), seq, len(lengths))
+    _, seq, n_rules = best
+    bits = _bits(terminals + n_rules)
+    header = HEADER.pack(MAGIC, VERSION, terminals, n_rules, len(seq), len(ids), bits)
+    table = np.concatenate([np.zeros((0, 2), dtype=np.uint32), *rules])[:n_rules]
     high = [np.packbits((seq >> np.uint32(b) & np.uint32(1)).astype(np.uint8)).tobytes() for b in range(16, bits)]
-    return b"".join([header, table.astype("<u4").tobytes(), np.array(lengths, "<u4").tobytes(), seq.astype("<u2").tobytes(), *high])
+    return b"".join([header, table.astype("<u4").tobytes(), lengths[:n_rules].astype("<u4").tobytes(), seq.astype("<u2").tobytes(), *high])
 
 
 class Shard:
@@ -121,20 +135,22 @@ class Shard:
         sizes[inner] = self.lengths[self.sequence[inner] - np.uint32(self.terminals)]
         self.ends = np.cumsum(sizes)
 
-    @cached_property
-    def expansions(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``(flat, starts, lengths)`` of the ids of every symbol. Rules refer to earlier
-        symbols only, so each pass replaces a nonterminal by two symbols until none is left."""
-        symbols = np.arange(self.terminals + len(self.rules), dtype=np.uint32)
-        lengths = np.concatenate([np.ones(self.terminals, np.int64), self.lengths.astype(np.int64)])
-        while (inner := symbols >= self.terminals).any():
-            ends = np.cumsum(1 + inner)
+    def expanded(self, symbols: np.ndarray) -> np.ndarray:
+        """The ids that some symbols stand for, and no others."""
+        needed, where = np.unique(symbols, return_inverse=True)
+        inner = needed >= self.terminals
+        lengths = np.ones(len(needed), dtype=np.int64)
+        lengths[inner] = self.lengths[needed[inner] - np.uint32(self.terminals)]
+        # each distinct symbol once: every pass replaces a nonterminal by two symbols
+        flat = needed
+        while (open_ := flat >= self.terminals).any():
+            ends = np.cumsum(1 + open_)
             out = np.empty(ends[-1], dtype=np.uint32)
-            out[ends[~inner] - 1] = symbols[~inner]
-            pairs = self.rules[symbols[inner] - np.uint32(self.terminals)]
-            out[ends[inner] - 2], out[ends[inner] - 1] = pairs[:, 0], pairs[:, 1]
-            symbols = out
-        return symbols, np.cumsum(lengths) - lengths, lengths
+            out[ends[~open_] - 1] = flat[~open_]
+            pairs = self.rules[flat[open_] - np.uint32(self.terminals)]
+            out[ends[open_] - 2], out[ends[open_] - 1] = pairs[:, 0], pairs[:, 1]
+            flat = out
+        return gather(flat, np.cumsum(lengths) - lengths, lengths, where)
 
     def ids(self, start: int = 0, stop: int | None = None) -> np.ndarray:
         """Ids ``start`` to ``stop``; only the symbols that cover them are expanded."""
@@ -144,4 +160,4 @@ class Shard:
         p = int(np.searchsorted(self.ends, start, side="right"))
         q = int(np.searchsorted(self.ends, stop, side="left")) + 1
         skipped = start - (int(self.ends[p - 1]) if p else 0)
-        return gather(*self.expansions, self.sequence[p:q])[skipped : skipped + stop - start]
+        return self.expanded(self.sequence[p:q].astype(np.uint32))[skipped : skipped + stop - start]

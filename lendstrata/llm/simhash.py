@@ -17,8 +17,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import stage, word_blocks
-from .components import components
+from .common import row_order, stage, word_blocks
+from .components import components, lowest_of
 
 BITS = 64
 
@@ -145,15 +145,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4) -> Dat
     rooted = groups.join(found, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(lowest, "root").select("fp", "component_id", "root")
+    labels = lowest_of(stage(rooted, "simhash-roots"), "root", "first_id", "component_id").select("fp", "component_id", "root")
     digits = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0").alias(c if c == "root" else "fingerprint")
     return hashed.join(labels, "fp").select("doc_id", digits("fp"), "component_id", digits("root"), "content")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     """One row of each component with all its columns: the smallest id, NULL last; of rows with
-    that id the one with the smallest hash of its text, once."""
+    that id the one with the smallest hash of its text, and of those with that text, too, the
+    one whose other columns come first (``row_order``), once. The order of the input has no
+    influence."""
     found = near_duplicates(docs, shingle, distance)
     first = found.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("first")
@@ -163,5 +164,5 @@ def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFra
     kept = rows.join(
         first, rows["__row.doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__content"))
     )
-    nth = F.row_number().over(Window.partitionBy("__id", "__content").orderBy("__hash"))
+    nth = F.row_number().over(Window.partitionBy("__id", "__content").orderBy(*row_order(docs)))
     return kept.withColumn("__nth", nth).where("__nth = 1").select("__row.*")

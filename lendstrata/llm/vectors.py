@@ -6,9 +6,9 @@ two suffix norms; a pair is dropped as soon as the bound is below the threshold,
 groups before anything is compared if the boxes around them allow no link.
 
 Equal vectors are grouped first. Groups for comparison are cells of the leading axes' signs,
-split by a hash of the vector where a cell holds more than ``GROUP_ROWS``: each task sees two
-groups of bounded size, never all rows of a cell, and hands on per-vector counts and a
-spanning forest of its links instead of the links.
+split by a hash of the vector where a cell holds more than ``GROUP_ROWS``, or fewer where
+cores would have nothing to do: each task sees two groups of bounded size, never all rows of a
+cell, and hands on per-vector counts and a spanning forest of its links instead of the links.
 """
 
 from __future__ import annotations
@@ -20,13 +20,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stage
-from .components import components
+from .components import components, lowest_of
 
-#: Vectors in a group for comparison, on average.
-GROUP_ROWS = 8192
+#: Most and least vectors in a group for comparison, on average; in between there are as many
+#: groups as give each core this many pairs of them.
+GROUP_ROWS, LEAST_ROWS, PAIRS_PER_CORE = 8192, 512, 3
+#: Groups whose boxes are broadcast at a time, 200 bytes each.
+BOX_BLOCK = 50_000
 #: Vectors that the principal axes are fitted on; axes only decide the order of work.
 SAMPLE_ROWS = 4096
 #: Axes whose ranges are kept for each group, and most sign bits of a cell.
@@ -176,9 +180,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         rooted = rooted.join(links, "node", "left").join(roots, "node", "left")
     else:
         rooted = rooted.withColumns({"links": F.lit(0), "component": F.lit(None).cast("long")})
-    rooted = rooted.withColumn("root", F.coalesce("component", "node"))
-    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = rooted.join(lowest, "root").select(
+    rooted = stage(rooted.withColumn("root", F.coalesce("component", "node")), "vector-roots")
+    labels = lowest_of(rooted, "root", "first_id", "component_id").select(
         "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     placed = rows.join(labels, "v", "left")
@@ -199,7 +202,9 @@ def _compared(reps: DataFrame, n: int, threshold: float) -> DataFrame:
     axes = principal_axes(unit(_matrix(sample)))
     width = axes.shape[0]
     box = min(BOX_AXES, width)
-    bits = min(box, max(0, math.ceil(math.log2(max(1, n / GROUP_ROWS)))))
+    cores = spark.sparkContext.defaultParallelism
+    group_rows = min(GROUP_ROWS, max(LEAST_ROWS, math.ceil(n / math.sqrt(2 * PAIRS_PER_CORE * cores))))
+    bits = min(box, max(0, math.ceil(math.log2(max(1, n / group_rows)))))
     box_columns = [f"x{k}" for k in range(box)]
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,27 +230,36 @@ def _compared(reps: DataFrame, n: int, threshold: float) -> DataFrame:
         + "rest double",
     )
     placed = stage(placed, "vector-cells")
-    cells = placed.groupBy("cell").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts"))
+    cells = placed.groupBy("cell").agg(F.ceil(F.count("*") / group_rows).alias("parts"))
     grouped = placed.join(F.broadcast(cells), "cell").withColumn(  # at most 2 ** BOX_AXES cells
         "grp", F.struct("cell", F.pmod(F.xxhash64("v"), "parts").alias("part"))
     )
     grouped = grouped.withColumn("grp", F.col("grp.cell") * (1 << 32) + F.col("grp.part"))
     ranges = [f(c).alias(f"{f.__name__}_{c}") for c in box_columns for f in (F.min, F.max)]
     boxes = stage(grouped.groupBy("grp").agg(*ranges, F.max("rest").alias("rest")), "vector-boxes")
-    held = spark.sparkContext.broadcast(boxes.toPandas())  # one row for each GROUP_ROWS vectors
-
-    def partners(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        every = held.value
-        low, high = every[[f"min_{c}" for c in box_columns]].to_numpy(), every[[f"max_{c}" for c in box_columns]].to_numpy()
-        ids, rest = every["grp"].to_numpy(), every["rest"].to_numpy()
-        for frame in frames:
-            for _, own in frame.iterrows():
-                lo, hi = own[[f"min_{c}" for c in box_columns]].to_numpy(float), own[[f"max_{c}" for c in box_columns]].to_numpy(float)
-                most = np.maximum.reduce([lo * low, lo * high, hi * low, hi * high]).sum(axis=1)
-                near = (ids >= own["grp"]) & (most + rest * own["rest"] >= threshold - SLACK)
-                yield pd.DataFrame({"g": np.int64(own["grp"]), "h": ids[near]})
-
-    pairs = stage(boxes.mapInPandas(partners, "g long, h long"), "vector-pairs")
+    lows, highs = ([f"{f}_{c}" for c in box_columns] for f in ("min", "max"))
+
+    def partners(held: Broadcast):
+        def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            every = held.value
+            low, high = every[lows].to_numpy(), every[highs].to_numpy()
+            ids, rest = every["grp"].to_numpy(), every["rest"].to_numpy()
+            for frame in frames:
+                own = zip(frame["grp"], frame["rest"], frame[lows].to_numpy(), frame[highs].to_numpy())
+                for group, own_rest, lo, hi in own:
+                    most = np.maximum.reduce([lo * low, lo * high, hi * low, hi * high]).sum(axis=1)
+                    near = (ids >= group) & (most + rest * own_rest >= threshold - SLACK)
+                    yield pd.DataFrame({"g": np.int64(group), "h": ids[near]})
+
+        return run
+
+    blocks, pairs = -(-boxes.count() // BOX_BLOCK), None
+    for block in range(max(1, blocks)):
+        # the boxes of one block at a time, whatever the number of groups
+        some = boxes if blocks <= 1 else boxes.where(F.pmod(F.xxhash64("grp"), F.lit(blocks)) == block)
+        found = boxes.mapInPandas(partners(spark.sparkContext.broadcast(some.toPandas())), "g long, h long")
+        pairs = found if pairs is None else pairs.union(found)
+    pairs = stage(pairs, "vector-pairs")
     sides = pairs.select(F.col("g").alias("grp"), "g", "h", F.lit(0).alias("side")).union(
         pairs.where("g <> h").select(F.col("h").alias("grp"), "g", "h", F.lit(1).alias("side"))
     )

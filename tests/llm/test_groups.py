@@ -42,6 +42,42 @@ def test_components(spark, seed):
     assert components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
 
 
+def test_a_star_is_dealt_evenly(spark, monkeypatch):
+    """The edges of a hub do not meet in one task of any join."""
+    from lendstrata.llm import components as module
+
+    star = spark.range(1, 40_001).select(F.col("id").alias("a"), F.lit(20_000).cast("long").alias("b"))
+    chain = spark.range(100_000, 100_300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    edges = star.union(chain)
+    state, hubs = module._state(edges.where("a <> b"))
+    (share,) = hubs.values()
+    assert state[0] == 40_299 and abs(share - 0.5) < 0.02
+    monkeypatch.setattr(module, "skew_join", seen := Spread(module.skew_join))
+    got = components(edges, "test-star")
+    assert rows(got.groupBy("component").agg(F.count("*").alias("n")), "component", "n") == [(1, 40_000), (100_000, 301)]
+    members = got.withColumn("v", F.col("node") % 1000)
+    low = module.lowest_of(members, "component", "v", "low")
+    assert rows(low.select("component", "low").distinct(), "component", "low") == [(1, 0), (100_000, 0)]
+    assert seen.largest <= 0.1
+
+
+class Spread:
+    """Notes the largest share of the rows of a join that one bucket of a key holds."""
+
+    def __init__(self, join):
+        self.join, self.largest = join, 0.0
+
+    def __call__(self, left, right, on, hot_left, hot_right):
+        ids = {key: share for key, share in hot_left.items() if share > 0.01}
+        if ids:
+            plan = self.join(left, right, on, hot_left=hot_left, hot_right=hot_right)
+            text = plan._jdf.queryExecution().analyzed().toString()
+            assert "_salt" in text
+            buckets = min(2 ** int(np.ceil(np.log2(max(2, share * 8 * 4)))) for share in ids.values())
+            self.largest = max(self.largest, max(ids.values()) / buckets)
+        return self.join(left, right, on, hot_left=hot_left, hot_right=hot_right)
+
+
 def plain_fingerprint(text: str | None) -> int:
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lower)
@@ -106,6 +142,27 @@ def test_one_row_of_each_group_stays(spark):
     assert simhash.one_of_each(empty(spark)).count() == 0
 
 
+def test_which_row_stays_does_not_depend_on_order(spark):
+    data = [(1, "one two three", lang, source) for lang in ("en", None, "de") for source in ("b", "a", None)]
+    data += [(1, "one two three", None, "a")] * 2 + [(2, "one two three", "en", "a")]
+    draw, kept = random.Random(5), set()
+    for _ in range(4):
+        draw.shuffle(data)
+        df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(draw.randrange(1, 6))
+        kept.add(tuple(rows(simhash.one_of_each(df), "doc_id", "text", "lang", "source")))
+    assert len(kept) == 1 and len(kept.pop()) == 1
+
+
+def test_boxes_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "LEAST_ROWS", 10)
+    monkeypatch.setattr(vectors, "BOX_BLOCK", 3)
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(9, 24))
+    data = [(n, (centres[n % 9] + draw.normal(size=24) * 0.2).tolist()) for n in range(200)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    assert rows(vectors.near_duplicates(df), "vec_id", "n_links", "component_id", "kept") == plain_vectors(data, 0.9)
+
+
 def plain_vectors(rows_: list[tuple], threshold: float) -> list[tuple]:
     good = [
         n for n, (_, v) in enumerate(rows_) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)
@@ -129,6 +186,7 @@ def plain_vectors(rows_: list[tuple], threshold: float) -> list[tuple]:
 @pytest.mark.parametrize("group_rows", [40, 8192])
 def test_vectors(spark, monkeypatch, group_rows):
     monkeypatch.setattr(vectors, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(vectors, "LEAST_ROWS", min(group_rows, 512))
     monkeypatch.setattr(vectors, "TILE", 32)
     draw = np.random.default_rng(3)
     centres = draw.normal(size=(12, 40))

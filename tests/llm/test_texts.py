@@ -429,6 +429,17 @@ def test_mixing_of_awkward_rows(spark):
     assert rows(mixing.mix(silent), "doc_id", "size", "target", "taken") == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
 
 
+def test_which_copies_are_mixed_does_not_depend_on_order(spark):
+    data = [(n // 4, f"word{n % 4} " * 5, "en", "ab"[n % 2], n) for n in range(40)] + [(1, "word " * 5, None, None, None)] * 3
+    draw, seen = random.Random(7), set()
+    for _ in range(4):
+        draw.shuffle(data)
+        df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n int").repartition(draw.randrange(1, 6))
+        seen.add(tuple(rows(mixing.mixed(df), "doc_id", "text", "lang", "source", "n")))
+    assert len(seen) == 1
+
+
+
 # the pipeline
 
 

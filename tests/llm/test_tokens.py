@@ -142,6 +142,25 @@ def test_repair_goes_on_while_rounds_pay():
     assert (shard.ids() == ids).all() and shard.ids(1234, 45_678).tolist() == ids[1234:45_678].tolist()
 
 
+def test_repair_replaces_all_pairs_that_pay():
+    draw = np.random.default_rng(3)
+    passages = draw.integers(0, 60_000, (8000, 10))
+    ids = np.repeat(passages, 12, axis=0)[draw.permutation(96_000)].ravel()
+    blob = repair.compress(ids, 60_000)
+    assert len(blob) < 0.6 * 2 * len(ids) and (repair.Shard(blob).ids() == ids).all()
+    assert len(repair.compress(draw.integers(0, 60_000, 5000), 60_000)) <= 2 * 5000 + repair.HEADER.size
+
+
+def test_repair_expands_the_needed_symbols_only(monkeypatch):
+    ids = np.tile(np.arange(1000), 500)
+    shard, asked = repair.Shard(repair.compress(ids, 60_000)), []
+    expanded = repair.Shard.expanded
+    monkeypatch.setattr(repair.Shard, "expanded", lambda self, symbols: asked.append(expanded(self, symbols)) or asked[-1])
+    assert shard.ids(250_500, 250_510).tolist() == list(range(500, 510))
+    longest = int(shard.lengths.max())
+    assert len(asked[0]) <= 2 * longest and len(asked) == 1
+
+
 def best_segmentation(text: str) -> list[int]:
     """Plain dynamic programme over the characters of one text."""
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
