@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lendstrata.functions.credit import default_label
 from lendstrata.functions.numeric import indicator
 from lendstrata.operators.features import derive, least_value, logarithm, ratio
+from lendstrata.operators.history import as_of
 from lendstrata.operators.quantiles import Fences, iqr_fences, within_fences
 from lendstrata.operators.skew import ROW_SALT, HotKeys, hot_keys, replicate_rows, skew_join, with_row_salt
+from lendstrata.plans.mart import CUSTOMER_ATTRIBUTES
 from lendstrata.sources.specs import SNAPSHOT
 from lendstrata.sources.staging import stage
 
@@ -170,6 +172,12 @@ def star_base(mart: Mapping[str, DataFrame], grain: str = "loan_type") -> DataFr
     return base.drop(ROW_SALT, "SSN")
 
 
+def financials_as_of(financials: DataFrame, history: DataFrame) -> DataFrame:
+    """Financial rows with their balance and the attributes that their customer had at their
+    snapshot: one customer row each, where the star has one for each version of the customer."""
+    return as_of(with_monthly_balance(financials), history, "customer_id", SNAPSHOT, CUSTOMER_ATTRIBUTES)
+
+
 def star_features(
     base: DataFrame,
     options: StarOptions = StarOptions(),

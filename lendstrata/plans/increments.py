@@ -35,11 +35,10 @@ from lendstrata.plans.medallion import (
     RunFailed,
     _attempt,
     cleaned_days,
-    load_bronze,
     load_cleaned,
     read_bronze,
-    read_cleaned,
     snapshot_dates,
+    take_in,
 )
 from lendstrata.sources import files, published
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT
@@ -79,6 +78,14 @@ def _digests(table: DataFrame):
     return taken
 
 
+def cleaned_table(spark: SparkSession, layout: Layout, source: str) -> DataFrame:
+    """A cleaned table, empty as long as nothing of it is stored."""
+    spec = SOURCES[CLEANED[source]]
+    if not files.table_exists(spark, layout.cleaned(spec)):
+        return spark.createDataFrame([], spec.cleaned)
+    return files.read_table(spark, layout.cleaned(spec), spec.cleaned)
+
+
 # bronze and silver
 
 
@@ -89,7 +96,7 @@ def load_source(spark: SparkSession, config: RunConfig, name: str, dates: list[d
     stored = set(files.partition_days(spark, layout.bronze(name)))
     wanted = [d for d in dates if config.reload or d not in stored]
     if wanted:
-        load_bronze(spark, layout.csv(name), layout.bronze(name), spec, wanted)
+        take_in(spark, config, name, wanted)
     if not files.table_exists(spark, layout.bronze(name)):
         return [], {}
     tokens = files.partition_tokens(spark, layout.bronze(name))
@@ -115,7 +122,7 @@ def update_fact(spark: SparkSession, layout: Layout, name: str) -> list[date]:
     source = mart.FACT_SOURCES[name]
     found = _source_delta(spark, layout, source, name)
     if found.touched or not published.is_published(spark, layout.mart(name)):
-        cleaned = files.slice_snapshots(getattr(read_cleaned(spark, layout), source), found.changed)
+        cleaned = files.slice_snapshots(cleaned_table(spark, layout, source), found.changed)
         published.publish(mart.build_fact(name, cleaned), layout.mart(name), replaces=found.touched, clustered=True)
     _note(spark, layout, name, found.seen)
     return found.touched
@@ -130,7 +137,7 @@ def update_dimension(spark: SparkSession, layout: Layout, name: str) -> bool:
     if not found.touched and not fresh:
         _note(spark, layout, name, found.seen)
         return False
-    cleaned = files.slice_snapshots(getattr(read_cleaned(spark, layout), dimension.source), found.changed)
+    cleaned = files.slice_snapshots(cleaned_table(spark, layout, dimension.source), found.changed)
     counted = cleaned.groupBy(SNAPSHOT, *dimension.columns).agg(F.count(F.lit(1)).alias("contributing"))
     published.publish(counted.select(*dimension.columns, "contributing", SNAPSHOT), counts_path, replaces=found.touched)
     counts = published.read(spark, counts_path)
@@ -170,7 +177,7 @@ def update_mart(spark: SparkSession, layout: Layout) -> Written:
         elif name == "dim_feature":
             now = mart.dim_feature(spark)
         else:
-            now = mart.dim_loan_type(spark, mart.loan_flags(read_cleaned(spark, layout).financials))
+            now = mart.dim_loan_type(spark, mart.loan_flags(cleaned_table(spark, layout, "financials")))
         path = layout.mart(name)
         if not published.is_published(spark, path) or not _same_rows(published.read(spark, path), now):
             published.publish(now.coalesce(1), path, partitioned=False)
@@ -332,7 +339,7 @@ def advance(spark: SparkSession, config: RunConfig, keep_parameters: bool = Fals
 
     failures = _attempt(spark, delivered, load)
     failures |= {n: FileNotFoundError(layout.csv(n)) for n in SOURCES if n not in delivered}
-    if any(not files.table_exists(spark, layout.cleaned(s)) for s in SOURCES.values()):
+    if any(not files.table_exists(spark, layout.cleaned(SOURCES[name])) for name in failures):
         raise RunFailed("silver", failures)
     written |= update_mart(spark, layout)
     for table, touched in ((STAR, update_star(spark, config, keep_parameters)), (LABELS, update_labels(spark, config))):

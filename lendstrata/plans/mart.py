@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lendstrata.functions import credit, text
+from lendstrata.operators.history import validity_intervals
 from lendstrata.operators.reshape import unpivot
 from lendstrata.sources.specs import N_CLICK_FEATURES, SNAPSHOT, click_features
 
@@ -66,6 +67,15 @@ def dim_customer(attributes: DataFrame) -> DataFrame:
     ).distinct()
 
 
+CUSTOMER_ATTRIBUTES = ["SSN", "Name", "Age", "Occupation"]
+
+
+def dim_customer_history(attributes: DataFrame) -> DataFrame:
+    """Customer attributes with the days from and to which they hold."""
+    named = attributes.withColumnRenamed("Customer_ID", "customer_id")
+    return validity_intervals(named, "customer_id", SNAPSHOT, CUSTOMER_ATTRIBUTES)
+
+
 def dim_feature(spark: SparkSession, n_features: int = N_CLICK_FEATURES) -> DataFrame:
     """Ids and names of the clickstream features, from 1."""
     return spark.range(1, n_features + 1, 1, 1).select(

@@ -20,7 +20,7 @@ from lendstrata.operators.contracts import ContractError, assert_same_columns, a
 from lendstrata.operators.incremental import missing_snapshots
 from lendstrata.plans import gold, mart
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
-from lendstrata.sources import files, published
+from lendstrata.sources import files, published, rejects
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 from lendstrata.sources.staging import staged
 
@@ -65,6 +65,9 @@ class Layout:
     def gold(self, table: str) -> str:
         return f"{self.lake}/gold/{table}"
 
+    def rejects(self, source: str) -> str:
+        return f"{self.lake}/rejects/{source}"
+
     def ledger(self, what: str) -> str:
         """What was worked on, for runs that only take in what changed."""
         return f"{self.lake}/ledger/{what}"
@@ -78,6 +81,7 @@ class RunConfig:
     dpd_threshold: int = 30
     mob_threshold: int = 6
     reload: bool = False  # clean snapshots again that are stored already
+    most_rejects: float | None = None  # share of a CSV's lines that may be rejected; None: none, and nothing is stored
     star: gold.StarOptions = field(default_factory=gold.StarOptions)
 
 
@@ -95,12 +99,44 @@ def snapshot_dates(spark: SparkSession, start: date, end: date) -> list[date]:
 
 
 def load_bronze(
-    spark: SparkSession, csv_path: str, bronze_path: str, spec: SourceSpec, dates: Sequence[date]
-) -> None:
+    spark: SparkSession,
+    csv_path: str,
+    bronze_path: str,
+    spec: SourceSpec,
+    dates: Sequence[date],
+    rejects_path: str | None = None,
+    most_rejects: float = 0.0,
+) -> dict[str, int]:
     """All wanted snapshots of one CSV in one pass, in place of those stored; a wanted snapshot
-    that the CSV no longer has goes."""
-    rows = files.read_snapshots(spark, csv_path, spec, dates)
-    files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT], stands_for=dates)
+    that the CSV no longer has goes. Returns how many rows were read and rejected.
+
+    Without ``rejects_path`` a line that does not fit the contract fails the source. With it,
+    such lines are stored there with their file and what is wrong, and the others are loaded;
+    if they are more than ``most_rejects`` of all lines, the source fails after they were
+    stored and bronze stays as it was.
+    """
+    if rejects_path is None:
+        rows = files.read_snapshots(spark, csv_path, spec, dates)
+        files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT], stands_for=dates)
+        return {}
+    counts = Observation(f"lines_{spec.name}")
+    with staged(rejects.sorted_lines(spark, csv_path, spec, counts), f"lines-{spec.name}") as lines:
+        found = counts.get
+        published.publish(rejects.rejected(lines), rejects_path, partitioned=False, clustered=True)
+        if found["rejected"] > most_rejects * found["lines"]:
+            raise rejects.TooManyRejects(spec.name, found["rejected"], found["lines"], most_rejects)
+        rows = files.slice_snapshots(rejects.accepted(lines, spec), dates)
+        files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT], stands_for=dates)
+    return found
+
+
+def take_in(spark: SparkSession, config: RunConfig, name: str, dates: Sequence[date]) -> dict[str, int]:
+    """``load_bronze`` of a registered source, with rejects as the run is configured."""
+    layout = config.layout
+    paths = (layout.csv(name), layout.bronze(name))
+    if config.most_rejects is None:
+        return load_bronze(spark, *paths, SOURCES[name], dates)
+    return load_bronze(spark, *paths, SOURCES[name], dates, layout.rejects(name), config.most_rejects)
 
 
 def read_bronze(spark: SparkSession, bronze_path: str, spec: SourceSpec) -> DataFrame:
@@ -201,7 +237,7 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
     present = [n for n in delivered if n in SOURCES]
 
     def ingest(name: str) -> None:
-        load_bronze(spark, layout.csv(name), layout.bronze(name), SOURCES[name], dates)
+        take_in(spark, config, name, dates)
 
     def clean(name: str) -> None:
         spec = SOURCES[name]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Collection, Iterator, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -63,16 +63,25 @@ def read_snapshots(
 ) -> DataFrame:
     """Raw rows of a source in its raw contract: parsed snapshot date, lineage, load date.
 
-    All wanted snapshots come from one scan.
+    All wanted snapshots come from one scan. A CSV that lacks a column of the contract raises.
     """
+    df = read_csv(spark, path, spec.raw)
+    require_columns(df.columns, spec, path)
     df = (
-        read_csv(spark, path, spec.raw)
+        df
         .withColumn(LINEAGE, F.input_file_name())
         .withColumn(SNAPSHOT, parse_date(F.col(SNAPSHOT), spec.snapshot_format))
     )
     return slice_snapshots(df, dates).withColumn(LOAD_DATE, F.col(SNAPSHOT)).select(*spec.raw.names)
 
 
+def require_columns(header: Collection[str], spec: SourceSpec, what: str) -> None:
+    """Raise when a delivery lacks columns that the raw contract promises."""
+    missing = [c for c in spec.raw.names if c not in header and c not in (LINEAGE, LOAD_DATE)]
+    if missing:
+        raise ContractError(f"{what}: missing columns {missing}")
+
+
 def slice_snapshots(df: DataFrame, dates: Sequence[date] | None = None, on: str = SNAPSHOT) -> DataFrame:
     """Rows of the given snapshots, or of all dated ones; a partition filter on stored tables."""
     return df.filter(F.col(on).isNotNull() if dates is None else F.col(on).isin(list(dates)))

@@ -6,7 +6,7 @@ independently of the Spark operators.
 
 from __future__ import annotations
 
-from lendstrata.sources.specs import CLEAN_FINANCIALS, LOAN_TYPES
+from lendstrata.sources.specs import CLEAN_FINANCIALS, LINEAGE, LOAD_DATE, LOAN_TYPES, RAW_ATTRIBUTES, RAW_FINANCIALS, RAW_LOANS
 from lendstrata.workload import inputs
 
 TABLES = ("lineitem", "orders", "customer", "events")
@@ -235,6 +235,7 @@ def _layer(name: str) -> str:
     return _with([name], f"SELECT * FROM {name}")
 
 
+# The columns whose outliers the star leaves out.
 OUTLIERS = [
     "Age", "Interest_Rate", "Num_Bank_Accounts", "Num_Credit_Card", "Num_of_Loan",
     "Num_of_Delayed_Payment", "Num_Credit_Inquiries", "Total_EMI_per_month",
@@ -292,6 +293,103 @@ FROM {fact} WHERE mob = 6"""
 PRICES = "SELECT o_orderkey, o_custkey, o_totalprice, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey"
 
 
+HISTORY = """
+daily AS (
+    SELECT * FROM attributes WHERE month(snapshot_date) % 3 = 1
+    QUALIFY row_number() OVER (PARTITION BY Customer_ID, snapshot_date ORDER BY SSN, Name, Age, Occupation) = 1),
+starts AS (
+    SELECT * FROM daily
+    WINDOW w AS (PARTITION BY Customer_ID ORDER BY snapshot_date)
+    QUALIFY row_number() OVER w = 1 OR (SSN, Name, Age, Occupation)
+            IS DISTINCT FROM (lag(SSN) OVER w, lag(Name) OVER w, lag(Age) OVER w, lag(Occupation) OVER w)),
+history AS (
+    SELECT Customer_ID AS customer_id, SSN, Name, Age, Occupation, snapshot_date AS valid_from,
+           lead(snapshot_date) OVER (PARTITION BY Customer_ID ORDER BY snapshot_date) AS valid_to
+    FROM starts)"""
+
+
+def _after(layers: str, more: str, select: str) -> str:
+    """A query over some layers and further ones."""
+    return f"{layers}".replace("\nSELECT 0", f",{more}\n{select}")
+
+
+def _digest_states() -> str:
+    return _with(
+        ["raw_attributes"],
+        """SELECT snapshot_date, CASE WHEN snapshot_date NOT IN (SELECT snapshot_date FROM stored) THEN 'new'
+                  WHEN snapshot_date NOT IN (SELECT snapshot_date FROM incoming) THEN 'gone'
+                  WHEN snapshot_date IN (SELECT snapshot_date FROM differ) THEN 'changed' ELSE 'same' END AS state,
+                  (SELECT CASE WHEN count(*) > 0 THEN count(*) END FROM incoming i WHERE i.snapshot_date = d.snapshot_date) AS row_count
+           FROM (SELECT snapshot_date FROM stored UNION SELECT snapshot_date FROM incoming) d""",
+        {
+            "stored": "SELECT * FROM raw_attributes WHERE snapshot_date <> DATE '1998-01-01'",
+            "changed": """SELECT * REPLACE (CASE WHEN snapshot_date = DATE '1997-05-01' THEN upper(Name) ELSE Name END AS Name)
+                          FROM raw_attributes WHERE snapshot_date <> DATE '1996-03-01'""",
+            "incoming": "SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE snapshot_date = DATE '1995-07-01'",
+            "differ": """(SELECT * FROM incoming EXCEPT ALL SELECT * FROM stored)
+                         UNION ALL (SELECT * FROM stored EXCEPT ALL SELECT * FROM incoming)""",
+        },
+    )
+
+
+def _rejects() -> str:
+    salary = "Num_Credit_Inquiries = 16 AND Num_Credit_Card = 8"
+    accounts, soon = "Num_Bank_Accounts = 10 AND Interest_Rate % 5 = 0", "Delay_from_due_date = 61"
+    return _with(
+        ["raw_financials"],
+        """SELECT NULL::VARCHAR AS faults, snapshot_date, count(*) AS row_count, CAST(sum(Interest_Rate) AS BIGINT) AS rates
+           FROM judged WHERE faults = '' GROUP BY snapshot_date
+           UNION ALL SELECT faults, NULL, count(*), NULL FROM judged WHERE faults <> '' GROUP BY faults
+           UNION ALL SELECT 'number of fields', NULL, 2, NULL""",
+        {
+            "judged": f"""SELECT Interest_Rate, {_two_digit_year('snapshot_date')} AS snapshot_date, concat_ws('; ',
+                CASE WHEN {salary} THEN 'Monthly_Inhand_Salary is no double: unknown' END,
+                CASE WHEN {accounts} THEN 'Num_Bank_Accounts is no int: ten' END,
+                CASE WHEN {soon} THEN 'snapshot_date is no date: soon' END) AS faults FROM raw_financials""",
+        },
+    )
+
+
+def _inferred() -> str:
+    """Types by the text of each value, merged by AND."""
+    parts, extra = [], {}
+    for source, layer in {
+        "lms_loan_daily": "raw_loans",
+        "features_financials": "raw_financials",
+        "features_attributes": "raw_attributes",
+    }.items():
+        # the columns as they stand in the file: those of the raw layer without the two added ones
+        names = RAW_ORDER[source]
+        for i, c in enumerate(names):
+            text = f"CAST({c} AS VARCHAR)"
+            if c == "snapshot_date" and source == "features_financials":
+                text = "strftime(snapshot_date, '%-m/%-d/%y')"
+            parts.append(
+                f"""SELECT '{source}' AS source, {i} AS position, '{c}' AS column_name, count(t) AS n_values,
+                    count(*) - count(t) AS n_nulls,
+                    bool_and(regexp_full_match(t, '-?(0|[1-9][0-9]*)')) AS whole,
+                    bool_and(try_cast(t AS INTEGER) IS NOT NULL) AS narrow,
+                    bool_and(regexp_full_match(t, '-?(0|[1-9][0-9]*)([.][0-9]+)?([eE][-+]?[0-9]+)?')) AS number,
+                    bool_and(regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}')) AS iso,
+                    bool_and(regexp_full_match(t, '[0-9]+/[0-9]+/[0-9]{{2}}')) AS us
+                    FROM (SELECT nullif(trim({text}), '') AS t FROM {layer})"""
+            )
+    types = """SELECT source, position, column_name,
+        CASE WHEN n_values = 0 THEN 'void' WHEN whole AND narrow THEN 'int' WHEN whole THEN 'bigint'
+             WHEN number THEN 'double' WHEN iso OR us THEN 'date' ELSE 'string' END AS data_type,
+        CASE WHEN n_values > 0 AND NOT number THEN CASE WHEN iso THEN 'yyyy-MM-dd' WHEN us THEN 'M/d/yy' END END AS date_format,
+        n_values, n_nulls FROM found"""
+    return _with(["raw_loans", "raw_financials", "raw_attributes"], types, {"found": " UNION ALL ".join(parts)})
+
+
+#: The columns of each delivered file, in the order of the tables that they are made from.
+RAW_ORDER = {
+    "lms_loan_daily": [n for n in RAW_LOANS.names if n not in (LINEAGE, LOAD_DATE)],
+    "features_financials": [n for n in RAW_FINANCIALS.names if n not in (LINEAGE, LOAD_DATE)],
+    "features_attributes": [n for n in RAW_ATTRIBUTES.names if n not in (LINEAGE, LOAD_DATE)],
+}
+
+
 def _audited_columns() -> list[str]:
     return [f'"{c}"' for c in CLEAN_FINANCIALS.names]
 
@@ -359,6 +457,39 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, o_custkey, o_orderstatus,
                    sha256(format('{{"o_orderkey":{},"o_custkey":{},"o_orderstatus":"{}"}}',
                                  o_orderkey, o_custkey, o_orderstatus)) AS digest FROM orders""",
+        "ingest_with_rejects": _rejects(),
+        "inferred_contract": _inferred(),
+        "snapshot_digests": _digest_states(),
+        "profile_drift": """
+            WITH months AS (
+                SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, o_orderstatus,
+                       CASE WHEN o_orderkey % 10 > 0 THEN o_orderpriority END AS o_orderpriority,
+                       CAST(o_custkey AS VARCHAR) AS o_custkey FROM orders),
+            long AS (
+                SELECT snapshot_date, 'o_orderstatus' AS column_name, o_orderstatus AS v FROM months
+                UNION ALL SELECT snapshot_date, 'o_orderpriority', o_orderpriority FROM months
+                UNION ALL SELECT snapshot_date, 'o_custkey', o_custkey FROM months),
+            figures AS (
+                SELECT snapshot_date, column_name, count(*) AS row_count, 1 - count(v) / count(*) AS null_share,
+                       count(v) AS held, count(DISTINCT v) AS n_distinct,
+                       row_number() OVER (PARTITION BY column_name ORDER BY snapshot_date) AS nth
+                FROM long GROUP BY snapshot_date, column_name),
+            shares AS (
+                SELECT column_name, nth, v, count(*) / held AS share
+                FROM long JOIN figures USING (snapshot_date, column_name) WHERE v IS NOT NULL
+                GROUP BY column_name, nth, v, held),
+            shifts AS (
+                SELECT column_name, nth, sum(abs(change)) / 2 AS shift FROM (
+                    SELECT column_name, nth, v, sum(share) AS change FROM (
+                        SELECT column_name, nth, v, share FROM shares
+                        UNION ALL SELECT column_name, nth + 1, v, -share FROM shares) GROUP BY ALL) GROUP BY ALL)
+            SELECT f.snapshot_date, f.column_name, f.row_count, round(f.null_share, 9) AS null_share,
+                   round(b.null_share, 9) AS null_share_before,
+                   CASE WHEN f.column_name <> 'o_custkey' AND b.nth IS NOT NULL THEN round(s.shift, 9) END AS value_shift,
+                   CASE WHEN f.column_name <> 'o_custkey' THEN f.n_distinct END AS n_distinct,
+                   CASE WHEN f.column_name = 'o_custkey' THEN true END AS within_error
+            FROM figures f LEFT JOIN figures b ON b.column_name = f.column_name AND b.nth = f.nth - 1
+            LEFT JOIN shifts s ON s.column_name = f.column_name AND s.nth = f.nth""",
         # contracts and incremental load
         "conform_columns": "SELECT c_custkey, c_mktsegment, c_name, c_acctbal FROM customer",
         "row_fingerprint_intersect": """
@@ -433,6 +564,7 @@ def oracle_sql() -> dict[str, str]:
         # mart
         "dim_snapshot": _layer("dim_snapshot"),
         "dim_customer": _layer("dim_customer"),
+        "dim_customer_history": _after(_with(["attributes"], "SELECT 0"), HISTORY, "SELECT * FROM history"),
         "dim_feature": _with(
             ["fact_clickstream"],
             """SELECT feature_id, feature_name, CAST(count(*) AS BIGINT) AS row_count,
@@ -466,6 +598,12 @@ def oracle_sql() -> dict[str, str]:
             ["star_rows"],
             "SELECT customer_id, snapshot_date, count(*) AS copies FROM star_rows GROUP BY ALL",
         ),
+        "star_as_of": _after(
+            _with(["attributes", "balanced"], "SELECT 0"),
+            HISTORY,
+            """SELECT b.customer_id, snapshot_date, Monthly_Balance, Interest_Rate, SSN, Name, Age, Occupation, valid_from
+               FROM balanced b ASOF JOIN history h ON b.customer_id = h.customer_id AND b.snapshot_date >= h.valid_from""",
+        ),
         "iqr_filter": f"WITH prices AS ({PRICES}), "
         + ", ".join(f"{n} AS ({s})" for n, s in _iqr("prices", ["o_totalprice", "c_acctbal"], 0.5).items())
         + " SELECT * FROM kept",
@@ -479,6 +617,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT column_name, quartile, count(*) > 0 AS within_error
             FROM prices, (VALUES ('o_totalprice', 0.25::DOUBLE), ('o_totalprice', 0.75), ('c_acctbal', 0.25), ('c_acctbal', 0.75))
                  q(column_name, quartile) GROUP BY ALL""",
+        "sketch_quartiles": f"""
+            WITH prices AS ({PRICES})
+            SELECT kept, column_name, quartile, count(*) > 0 AS within_error
+            FROM prices, (VALUES ('month'), ('all')) k(kept),
+                 (VALUES ('o_totalprice', 0.25::DOUBLE), ('o_totalprice', 0.75), ('c_acctbal', 0.25), ('c_acctbal', 0.75))
+                 q(column_name, quartile) GROUP BY ALL""",
         "log_features": f"""
             WITH prices AS ({PRICES})
             SELECT o_orderkey, {_log('o_totalprice')} AS o_totalprice_Log,
@@ -497,6 +641,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "loan_analytics_star": _with(["star_rows"], kept_star, star_iqr),
         "medallion_run": _with(["star_rows"], kept_star, star_iqr, later),
+        "incremental_run": _with(["star_rows"], kept_star, star_iqr, later),
         "medallion_labels": _with(["fact_loan"], LABELS.format(fact="fact_loan"), instead=later),
         "medallion_mart": _with(
             list(mart),

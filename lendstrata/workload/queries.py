@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lendstrata.functions import dates, numeric, text
-from lendstrata.operators import cleaning, contracts, features, incremental, quantiles
-from lendstrata.plans import cleaners, gold, mart, medallion
+from lendstrata.operators import cleaning, contracts, digests, features, incremental, profile, quantiles, sketches
+from lendstrata.plans import cleaners, gold, increments, mart, medallion
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
-from lendstrata.sources import feature_store, files, specs
+from lendstrata.sources import feature_store, files, inference, published, specs
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
-from lendstrata.sources.staging import stage_all, staging_path
+from lendstrata.sources.staging import stage, stage_all, staging_path
 from lendstrata.streaming.refresh import refresh_cleaned
 from lendstrata.workload import inputs
 from lendstrata.workload.inputs import table
@@ -87,6 +87,54 @@ def ingest_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return bronze.withColumn(LINEAGE, F.regexp_extract(LINEAGE, r"([^/]+\.csv)/[^/]+$", 1))
 
 
+FAULTY = {
+    "Num_Bank_Accounts": ("Num_Bank_Accounts = 10 and Interest_Rate % 5 = 0", "ten"),
+    "Monthly_Inhand_Salary": ("Num_Credit_Inquiries = 16 and Num_Credit_Card = 8", "unknown"),
+    SNAPSHOT: ("Delay_from_due_date = 61", "soon"),
+}
+
+
+def ingest_with_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Financials with faulty fields and lines: what bronze holds of each snapshot, and what was
+    set aside for which faults."""
+    root = staging_path(spark, "rejects")
+    raw = inputs.raw_financials(spark, d).drop(LINEAGE, LOAD_DATE)
+    texts = {SNAPSHOT: F.date_format(SNAPSHOT, FINANCIALS.snapshot_format)}
+    texts |= {c: F.col(c).cast("string") for c in FAULTY if c != SNAPSHOT}
+    faulty = {c: F.when(F.expr(when), F.lit(text)).otherwise(texts[c]) for c, (when, text) in FAULTY.items()}
+    raw.withColumns(faulty).write.csv(f"{root}/raw.csv", header=True)
+    short = spark.createDataFrame([(",".join(raw.columns),), ("CUS_1,three,fields",), ("CUS_2",)], "value string")
+    short.coalesce(1).write.mode("append").text(f"{root}/raw.csv")
+    paths = (f"{root}/raw.csv", f"{root}/bronze", FINANCIALS)
+    days = [r[0] for r in raw.select(SNAPSHOT).distinct().collect()]
+    medallion.load_bronze(spark, *paths, [_as_read(day) for day in days], f"{root}/rejects", most_rejects=0.2)
+    bronze = medallion.read_bronze(spark, f"{root}/bronze", FINANCIALS).groupBy(SNAPSHOT)
+    stored = bronze.agg(F.count(F.lit(1)).alias("row_count"), F.sum("Interest_Rate").alias("rates"))
+    aside = published.read(spark, f"{root}/rejects").groupBy(F.concat_ws("; ", "faults").alias("faults"))
+    nothing = F.lit(None)
+    return stored.select(nothing.cast("string").alias("faults"), SNAPSHOT, "row_count", "rates").union(
+        aside.agg(F.count(F.lit(1)).alias("row_count")).select(
+            "faults", nothing.cast("date").alias(SNAPSHOT), "row_count", nothing.cast("long").alias("rates")
+        )
+    )
+
+
+def _as_read(day: date) -> date:
+    """A day after its year was written with two digits, which read as 20yy."""
+    return day.replace(year=2000 + day.year % 100)
+
+
+def inferred_contract(spark: SparkSession, d: str) -> DataFrame:
+    """The types found in three sources delivered as CSV."""
+    root, found = staging_path(spark, "inferred"), None
+    made = {"lms_loan_daily": inputs.raw_loans, "features_financials": inputs.raw_financials, "features_attributes": inputs.raw_attributes}
+    for name, raw in made.items():
+        write_raw_csv(raw(spark, d).repartition(3), f"{root}/{name}.csv", SOURCES[name])
+        types = inference.column_types(spark, f"{root}/{name}.csv").withColumn("source", F.lit(name))
+        found = types if found is None else found.union(types)
+    return found.select("source", "position", "column_name", "data_type", "date_format", "n_values", "n_nulls")
+
+
 def list_csv_sources(spark: SparkSession, d: str) -> DataFrame:
     """Rows per delivered source, for all the sources found in a folder."""
     root = staging_path(spark, "raw")
@@ -150,6 +198,29 @@ def observed_audit(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(k, v) for k, v in audit.get.items()], "figure string, row_count bigint")
 
 
+def profile_drift(spark: SparkSession, d: str) -> DataFrame:
+    """How the orders of each month differ from those of the month before. Shares of the few
+    statuses and priorities are exact; of distinct customers it is told whether the estimate is
+    within 5 % of their number."""
+    columns = ["o_orderstatus", "o_orderpriority", "o_custkey"]
+    sparse = F.when(F.col("o_orderkey") % 10 > 0, F.col("o_orderpriority"))
+    orders = stage(orders_by_month(spark, d).withColumn("o_orderpriority", sparse).select(SNAPSHOT, *columns), "orders")
+    kept = stage(profile.profiles(orders, columns), "profiles")
+    exact = orders.groupBy(SNAPSHOT).agg(F.count_distinct("o_custkey").alias("customers"))
+    few = F.col("column_name") != "o_custkey"
+    close = F.abs(F.col("n_distinct") - F.col("customers")) <= F.greatest(F.lit(1), 0.05 * F.col("customers"))
+    return profile.drift(kept).join(exact, SNAPSHOT).select(
+        SNAPSHOT,
+        "column_name",
+        "row_count",
+        F.round("null_share", 9).alias("null_share"),
+        F.round("null_share_before", 9).alias("null_share_before"),
+        F.when(few, F.round("value_shift", 9)).alias("value_shift"),
+        F.when(few, F.col("n_distinct")).alias("n_distinct"),
+        F.when(~few, close).alias("within_error"),
+    )
+
+
 def row_digests(spark: SparkSession, d: str) -> DataFrame:
     """The digest of each order's key columns."""
     columns = ["o_orderkey", "o_custkey", "o_orderstatus"]
@@ -159,6 +230,23 @@ def row_digests(spark: SparkSession, d: str) -> DataFrame:
 # contracts and incremental load
 
 
+def _second_delivery(first: DataFrame) -> DataFrame:
+    """One snapshot is gone, one has its rows twice, one other names; all in another order."""
+    day = F.col(SNAPSHOT)
+    names = F.when(day == F.lit(date(1997, 5, 1)), F.upper("Name")).otherwise(F.col("Name"))
+    changed = first.where(day != F.lit(date(1996, 3, 1))).withColumn("Name", names)
+    return changed.union(changed.where(day == F.lit(date(1995, 7, 1)))).repartition(5)
+
+
+def snapshot_digests(spark: SparkSession, d: str) -> DataFrame:
+    """What a second delivery of the attributes changed, told by digests of its snapshots."""
+    everything = inputs.raw_attributes(spark, d)
+    stored = digests.snapshot_digests(everything.where(F.col(SNAPSHOT) != F.lit(date(1998, 1, 1))))
+    incoming = digests.snapshot_digests(_second_delivery(everything))
+    states = digests.digest_states(incoming, stored)
+    return states.join(incoming.select(SNAPSHOT, "row_count"), SNAPSHOT, "left")
+
+
 def conform_columns(spark: SparkSession, d: str) -> DataFrame:
     contract = StructType.fromDDL("c_custkey bigint, c_mktsegment string, c_name string, c_acctbal double")
     return contracts.assert_schema(contracts.conform(table(spark, d, "customer"), contract), contract)
@@ -349,6 +437,24 @@ def derived_balance(spark: SparkSession, d: str) -> DataFrame:
     return balanced.select("customer_id", SNAPSHOT, "Monthly_Balance")
 
 
+def _quarterly_attributes(spark: SparkSession, d: str) -> DataFrame:
+    """Attributes as of the first month of each quarter."""
+    return attributes(spark, d).where(F.month(SNAPSHOT) % 3 == 1)
+
+
+def dim_customer_history(spark: SparkSession, d: str) -> DataFrame:
+    return mart.dim_customer_history(_quarterly_attributes(spark, d))
+
+
+def star_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """Financials with the attributes that their customer had at the time."""
+    history = stage(mart.dim_customer_history(_quarterly_attributes(spark, d)), "history")
+    facts = stage(mart.fact_financials(financials(spark, d)), "facts")
+    return gold.financials_as_of(facts, history).select(
+        "customer_id", SNAPSHOT, "Monthly_Balance", "Interest_Rate", "SSN", "Name", "Age", "Occupation", "valid_from"
+    )
+
+
 def star_joins(spark: SparkSession, d: str) -> DataFrame:
     return gold.star_rows(mart_tables(spark, d)).select(
         "loan_id", "customer_id", SNAPSHOT, "mob", "dpd", "Name", "Age", "Monthly_Balance", "credit_mix_id",
@@ -394,6 +500,23 @@ def quartile_ranks(spark: SparkSession, d: str) -> DataFrame:
 
 
 
+def sketch_quartiles(spark: SparkSession, d: str) -> DataFrame:
+    """Quartiles merged from sketches of each month, and from one of all rows: whether their
+    ranks are off by no more than 1 %."""
+    columns, wanted = ["o_totalprice", "c_acctbal"], [0.25, 0.75]
+    months = orders_by_month(spark, d).select("o_orderkey", SNAPSHOT)
+    prices = priced_orders(spark, d).join(months, "o_orderkey")
+    n, checks = F.count(F.lit(1)), []
+    for kept, by in (("month", [SNAPSHOT]), ("all", [])):
+        found = sketches.sketch_quantiles(sketches.quantile_sketches(prices, columns, by), columns, wanted).first()
+        for c in columns:
+            for p, value in zip(wanted, found[c]):
+                close = (F.count_if(F.col(c) < value) <= (p + 0.01) * n) & (F.count_if(F.col(c) <= value) >= (p - 0.01) * n)
+                names = {"kept": F.lit(kept), "column_name": F.lit(c), "quartile": F.lit(p), "within_error": close}
+                checks.append(F.struct(*(v.alias(k) for k, v in names.items())))
+    return prices.agg(F.array(*checks).alias("checks")).select(F.inline("checks"))
+
+
 def log_features(spark: SparkSession, d: str) -> DataFrame:
     prices = priced_orders(spark, d)
     shifted = features.logarithm("c_acctbal", features.least_value(prices, "c_acctbal"))
@@ -439,9 +562,9 @@ def loan_analytics_star_by_loan(spark: SparkSession, d: str) -> DataFrame:
 MONTHS_LATER = 120
 
 
-def _whole_run(spark: SparkSession, d: str) -> medallion.Layout:
-    """All layers over all rows of the four sources, delivered as CSV; the calendar spans their
-    snapshots."""
+def _delivered(spark: SparkSession, d: str) -> tuple[medallion.Layout, date, date, date]:
+    """All rows of the four sources as CSV, the first and last of their snapshots, and the month
+    three before the first source ends."""
     root = staging_path(spark, "run")
     layout = medallion.Layout(f"{root}/raw", f"{root}/lake")
     later = F.add_months(SNAPSHOT, MONTHS_LATER)
@@ -452,10 +575,16 @@ def _whole_run(spark: SparkSession, d: str) -> medallion.Layout:
         "feature_clickstream": inputs.raw_clickstream(spark, d, inputs.CLICK_MONTH),
     }
     spans = [df.agg(F.min(SNAPSHOT).alias("low"), F.max(SNAPSHOT).alias("high")) for df in sources.values()]
-    span = reduce(DataFrame.union, spans).agg(F.min("low"), F.max("high")).first()
+    span = reduce(DataFrame.union, spans).agg(F.min("low"), F.max("high"), F.add_months(F.min("high"), -3)).first()
     for name, raw in sources.items():
         write_raw_csv(raw, layout.csv(name), SOURCES[name])
-    medallion.run(spark, medallion.RunConfig(layout, *span, star=gold.StarOptions(relative_error=0)))
+    return layout, *span
+
+
+def _whole_run(spark: SparkSession, d: str) -> medallion.Layout:
+    """All layers over all delivered rows; the calendar spans their snapshots."""
+    layout, start, end, _ = _delivered(spark, d)
+    medallion.run(spark, medallion.RunConfig(layout, start, end, star=gold.StarOptions(relative_error=0)))
     return layout
 
 
@@ -464,6 +593,15 @@ def medallion_run(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(medallion.read_gold(spark, _whole_run(spark, d), "loan_analytics_star"))
 
 
+def incremental_run(spark: SparkSession, d: str) -> DataFrame:
+    """The star after two runs that take in what is new: first without the last months, then
+    with them."""
+    layout, start, end, earlier = _delivered(spark, d)
+    for upto in (earlier, end):
+        increments.advance(spark, medallion.RunConfig(layout, start, upto, star=gold.StarOptions(relative_error=0)))
+    return _rounded(medallion.read_gold(spark, layout, "loan_analytics_star"))
+
+
 def medallion_labels(spark: SparkSession, d: str) -> DataFrame:
     """The labels of a whole run, read back from gold."""
     return medallion.read_gold(spark, _whole_run(spark, d), "label_store")
@@ -500,6 +638,8 @@ def queries() -> dict[str, Query]:
     return {
         "month_spine": month_spine,
         "ingest_csv_roundtrip": ingest_csv_roundtrip,
+        "ingest_with_rejects": ingest_with_rejects,
+        "inferred_contract": inferred_contract,
         "list_csv_sources": list_csv_sources,
         "snapshot_slice": snapshot_slice,
         "snapshot_audit": snapshot_audit,
@@ -507,6 +647,8 @@ def queries() -> dict[str, Query]:
         "feature_store_write": feature_store_write,
         "observed_audit": observed_audit,
         "row_digests": row_digests,
+        "snapshot_digests": snapshot_digests,
+        "profile_drift": profile_drift,
         "conform_columns": conform_columns,
         "row_fingerprint_intersect": row_fingerprint_intersect,
         "load_state": load_state,
@@ -530,6 +672,7 @@ def queries() -> dict[str, Query]:
         "clean_clickstream": clickstream,
         "dim_snapshot": dim_snapshot,
         "dim_customer": lambda spark, d: mart.dim_customer(attributes(spark, d)),
+        "dim_customer_history": dim_customer_history,
         "dim_feature": dim_feature,
         "dim_credit_mix": lambda spark, d: mart.dim_credit_mix(financials(spark, d)),
         "dim_min_payment": lambda spark, d: mart.dim_min_payment(financials(spark, d)),
@@ -543,9 +686,11 @@ def queries() -> dict[str, Query]:
         "derived_balance": derived_balance,
         "star_joins": star_joins,
         "star_fan_out": star_fan_out,
+        "star_as_of": star_as_of,
         "iqr_filter": iqr_filter,
         "iqr_bounds": iqr_bounds,
         "quartile_ranks": quartile_ranks,
+        "sketch_quartiles": sketch_quartiles,
         "log_features": log_features,
         "safe_ratios": safe_ratios,
         "is_employed": is_employed,
@@ -553,6 +698,7 @@ def queries() -> dict[str, Query]:
         "loan_analytics_star": loan_analytics_star,
         "loan_analytics_star_by_loan": loan_analytics_star_by_loan,
         "medallion_run": medallion_run,
+        "incremental_run": incremental_run,
         "medallion_labels": medallion_labels,
         "medallion_mart": medallion_mart,
         "reload_withdrawn": reload_withdrawn,

@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lendstrata.operators import cleaning, contracts, features, incremental, quantiles, reshape, skew
+from lendstrata.operators import cleaning, contracts, features, incremental, profile, quantiles, reshape, skew
 
 
 def rows(df):
@@ -312,3 +312,34 @@ def test_quantiles_of_close_and_extreme_values(spark, values):
     wanted = [0.0, 0.25, 0.5, 0.75, 1.0]
     got = quantiles.quantiles(df, ["x"], wanted, 0).first().x
     assert got == [ordered[max(1, math.ceil(p * len(ordered))) - 1] for p in wanted]
+
+
+# profiles
+
+
+def test_profiles_of_parts_merge_into_that_of_the_whole(spark):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 4 > 0, F.col("id") % 7).alias("few"), (F.col("id") % 3000).alias("many"),
+        F.lit(None).cast("int").alias("none"), (F.col("id") % 3).alias("snapshot_date"), F.lit(0).alias("all"),
+    )
+    columns = ["few", "many", "none"]
+    parts = {r.column_name: r for r in profile.merged(profile.profiles(df, columns)).select("*", F.hll_sketch_estimate("distinct").alias("n")).collect()}
+    whole = profile.profiles(df, columns, by="all").select("*", F.hll_sketch_estimate("distinct").alias("n"), profile.frequent_values().alias("top"))
+    for r in whole.collect():
+        assert (r.row_count, r.n_nulls) == (parts[r.column_name].row_count, parts[r.column_name].n_nulls)
+        assert abs(r.n - {"few": 7, "many": 3000, "none": 0}[r.column_name]) <= 150
+        assert abs(parts[r.column_name].n - r.n) <= 150
+        if r.column_name == "few":
+            assert sum(v["count"] for v in r.top) == 6750 and len(r.top) == 7
+        if r.column_name == "none":
+            assert r.top == [] and r.n_nulls == 9000
+
+
+def test_drift_of_shares(spark):
+    data = [(1, "a")] * 3 + [(1, "b")] + [(2, "a")] * 2 + [(2, None)] * 2 + [(3, "c")] * 5 + [(4, None)]
+    kept = profile.profiles(spark.createDataFrame(data, "snapshot_date int, v string"), ["v"])
+    got = {r.snapshot_date: r for r in profile.drift(kept).collect()}
+    assert [got[n].value_shift for n in (1, 2, 3)] == [None, 0.25, 1.0]
+    assert [got[n].null_share for n in (1, 2, 3, 4)] == [0.0, 0.5, 0.0, 1.0]
+    assert [got[n].fresh_share for n in (1, 2, 3, 4)] == [None, 0.0, 1.0, None]
+    assert got[4].value_shift == 0.5 and got[2].n_distinct_before == 2
