@@ -149,9 +149,11 @@ own AS (
   FROM base b CROSS JOIN totals t LEFT JOIN hits h ON h.row = b.row AND h.lang = t.lang GROUP BY b.row, t.lang, b.n_words
 ),
 word_gap AS (
-  SELECT row, min(gap) AS gap FROM (
-    SELECT row, lang, sqrt(greatest(sum({_half('p', 'q')} + {_half('q', 'p')}), 0)) AS gap FROM (
-      SELECT b.row, r.lang, coalesce(o.n, 0) / greatest(b.n_words, 1) AS p, r.q
+  SELECT row, min(CASE WHEN farthest > 0 THEN gap / farthest ELSE 0 END) AS gap FROM (
+    SELECT row, lang, sqrt(greatest(sum({_half('p', 'q')} + {_half('q', 'p')}), 0)) AS gap,
+           sqrt(greatest(sum({_half('without', 'q')} + {_half('q', 'without')}), 0)) AS farthest FROM (
+      SELECT b.row, r.lang, coalesce(o.n, 0) / greatest(b.n_words, 1) AS p, r.q,
+             CASE WHEN r.word IS NULL THEN 1.0::DOUBLE ELSE 0 END AS without
       FROM base b CROSS JOIN word_refs r
       LEFT JOIN own o ON o.row = b.row AND o.lang = r.lang AND o.word IS NOT DISTINCT FROM r.word)
     GROUP BY row, lang) GROUP BY row
@@ -162,7 +164,7 @@ failed AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed
        AND NOT coalesce(chars >= {rules.guard_chars} AND c.gap > {rules.class_distance}, false)
-       AND NOT coalesce(n_words >= {rules.guard_words} AND w.gap > {rules.word_distance}, false) AS kept
+       AND NOT coalesce(n_words >= {rules.guard_words} AND w.gap > {rules.word_part}, false) AS kept
 FROM failed LEFT JOIN class_gap c USING (row) LEFT JOIN word_gap w USING (row)
 """
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 ROUNDS = 10
+DIGITS, SMALL = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -93,12 +94,29 @@ def iban_checks(country: str, account: str) -> str:
     return f"{98 - int(''.join(str(int(c, 36)) for c in account + country + '00')) % 97:02d}"
 
 
+@lru_cache(maxsize=1 << 16)
+def letters_like(c: str) -> str:
+    """The characters that may stand for a lower-case one: digits for a digit, a to z for one of
+    these, and for another letter the lower-case letters of its stretch of 128 characters.
+    Nothing for a character that stays as it is."""
+    if c.isascii():
+        return DIGITS if c in DIGITS else SMALL if c in SMALL else ""
+    first = ord(c) >> 7 << 7
+    like = "".join(x for x in map(chr, range(first, first + 128)) if x.isalpha() and x != x.upper() and x.upper().lower() == x)
+    return like if c in like else ""
+
+
+def lowered(text: str) -> str:
+    """In lower case, character by character."""
+    return "".join(low if len(low := c.lower()) == 1 and low.upper() in (c, c.upper()) else c for c in text)
+
+
 def refill(layout: str, characters: str) -> str:
     """``layout`` with its letters and digits replaced in turn, in its letter case."""
     fresh = iter(characters)
     out = []
     for c in layout:
-        new = next(fresh) if c.isascii() and c.isalnum() else c
+        new = next(fresh) if letters_like(lowered(c)) else c
         out.append(new.upper() if c.isupper() else new.lower() if c.islower() else new)
     return "".join(out)
 
@@ -109,22 +127,22 @@ def _digits(text: str) -> str:
 
 def permute_characters(walk: Walk, kind: str, text: str) -> str:
     """Letters become letters and digits digits, by one number over all of them."""
-    sizes = [10 if c.isdigit() else 26 for c in text]
+    sets = [letters_like(c) for c in text]
     value, total = 0, 1
-    for c, size in zip(text, sizes):
-        value = value * size + (int(c) if size == 10 else ord(c) - ord("a"))
-        total *= size
+    for c, like in zip(text, sets):
+        value = value * len(like) + like.index(c)
+        total *= len(like)
     # texts with letters in the same places share a set
-    shape = "".join("9" if size == 10 else "a" for size in sizes)
+    shape = "".join({DIGITS: "9", SMALL: "a"}.get(like, like[:1]) for like in sets)
     value, out = walk(f"{kind}:{shape}", value, total), []
-    for size in reversed(sizes):
-        value, rest = divmod(value, size)
-        out.append(str(rest) if size == 10 else chr(ord("a") + rest))
+    for like in reversed(sets):
+        value, rest = divmod(value, len(like))
+        out.append(like[rest])
     return "".join(reversed(out))
 
 
 def email(walk: Walk, m: re.Match) -> str | None:
-    local = "".join(c for c in m["local"].lower() if c.isalnum())
+    local = "".join(c for c in lowered(m["local"]) if letters_like(c))
     return f"{refill(m['local'], permute_characters(walk, 'email', local))}@{m['host']}" if local else None
 
 
@@ -176,7 +194,8 @@ def phone(walk: Walk, m: re.Match) -> str | None:
 
 
 def calendar_day(walk: Walk, m: re.Match) -> str | None:
-    """Year first, or day first, or else month first, whichever is a day from 1900 to 2099."""
+    """Year first, or day first, or else month first, whichever is a day from 1900 to 2099. Where
+    the day or month has one digit, so may those of the pseudonym."""
     if m["y1"]:
         orders = [("y1", "m1", "d1")]
     else:
@@ -188,7 +207,8 @@ def calendar_day(walk: Walk, m: re.Match) -> str | None:
             continue
         if FIRST_DAY <= day <= LAST_DAY:
             fresh = date.fromordinal(FIRST_DAY + walk("date", day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1))
-            new = dict(zip(order, (f"{fresh.year:04d}", f"{fresh.month:02d}", f"{fresh.day:02d}")))
+            width = min(len(m[k]) for k in order[1:])
+            new = dict(zip(order, (f"{fresh.year:04d}", f"{fresh.month:0{width}d}", f"{fresh.day:0{width}d}")))
             starts = sorted(order, key=lambda k: m.start(k))
             return (m["sep1"] or m["sep2"]).join(new[k] for k in starts)
     return None
@@ -208,10 +228,10 @@ _PRINTED = r"(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=ga
 
 #: In order of precedence where finds overlap.
 KINDS = (
-    Kind("email", re.compile(r"(?<![A-Za-z0-9._%+-])(?P<local>[A-Za-z0-9._%+-]{1,64})@(?P<host>(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![A-Za-z0-9])"), email),
+    Kind("email", re.compile(r"(?<![\w.%+-])(?P<local>[\w.%+-]{1,64})@(?P<host>(?:[^\W_]{1,63}(?:-+[^\W_]{1,63}){0,8}\.){1,8}[^\W\d_]{2,24})(?!\w)"), email),
     Kind("ipv4", re.compile(_ALONE + r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}" + r"(?![0-9A-Za-z])(?!\.[0-9])"), ipv4),
     Kind("iban", re.compile(r"(?<![0-9A-Za-z])[A-Za-z]{2}[0-9]{2}(?: ?[0-9A-Za-z]{4}){2,7}(?: ?[0-9A-Za-z]{1,4})?(?![0-9A-Za-z])"), iban),
-    Kind("date", re.compile(_ALONE + r"(?:(?P<y1>(?:19|20)[0-9]{2})(?P<sep1>[-/.])(?P<m1>[0-9]{2})(?P=sep1)(?P<d1>[0-9]{2})|(?P<a2>[0-9]{2})(?P<sep2>[-/.])(?P<b2>[0-9]{2})(?P=sep2)(?P<y2>(?:19|20)[0-9]{2}))(?:(?=[Tt][0-9])|" + _END + ")"), calendar_day),
+    Kind("date", re.compile(_ALONE + r"(?:(?P<y1>(?:19|20)[0-9]{2})(?P<sep1>[-/.])(?P<m1>[0-9]{1,2})(?P=sep1)(?P<d1>[0-9]{1,2})|(?P<a2>[0-9]{1,2})(?P<sep2>[-/.])(?P<b2>[0-9]{1,2})(?P=sep2)(?P<y2>(?:19|20)[0-9]{2}))(?:(?=[Tt][0-9])|" + _END + ")"), calendar_day),
     Kind("ssn", re.compile(_ALONE + r"(?P<area>[0-9]{3})-(?P<group>[0-9]{2})-(?P<serial>[0-9]{4})" + _END), ssn),
     Kind("card", re.compile(r"(?<!\+)" + _ALONE + _PRINTED + r"(?![0-9A-Za-z])(?!\.[0-9])"), card),
     Kind("card", re.compile(r"(?<!\+)" + _ALONE + r"[0-9](?:[ -]?[0-9]){12,18}" + _END), card),

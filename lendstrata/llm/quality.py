@@ -35,14 +35,14 @@ WINDOW = 5
 class Rules:
     """``common_words`` per language, of at most ``common_letters`` characters, fill its word
     histogram, all other words one more bin. A document is rejected above a distance, unless
-    it has fewer characters or words than the guard of that histogram. ``word_distance`` has to
-    lie below the distance of a document without any common word, which follows from their
-    share of a language's words alone: 0.363 to 0.372 where 24 words are 24 to 25 %."""
+    it has fewer characters or words than the guard of that histogram. The distance of words
+    counts in parts of that of a document without any common word of the language, which
+    follows from their share of the language's words: ``word_part`` holds whatever that is."""
 
     common_words: int = 24
     common_letters: int = 5
     class_distance: float = 0.28
-    word_distance: float = 0.345
+    word_part: float = 0.94
     guard_chars: int = 300
     guard_words: int = 60
 
@@ -138,7 +138,8 @@ def _shares(counts: list[int]) -> Column:
 def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs (text, lang, ...)`` without ``text``, with the base columns ``n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed``, with ``class_distance`` and
-    ``word_distance`` to the nearest language, and with ``kept``.
+    ``word_distance`` (in parts of that of a document without common words) to the nearest
+    language, and with ``kept``.
 
     A NULL or empty text has no words and fails. Rows without language or text make up no
     reference and are judged like others; without any reference distances are NULL and the
@@ -160,11 +161,15 @@ def judged(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         hits = F.array(*(F.get("hits", F.lit(listed.index(w))).cast("long") for w in known)).cast("array<bigint>")
         others = F.col("n_words") - F.aggregate(hits, F.lit(0).cast("long"), lambda a, b: a + b)
         own_words = F.transform(F.concat(hits, F.array(others)), lambda n: n / F.greatest(F.col("n_words"), F.lit(1)))
-        word_distances.append(_distance(own_words, _shares([*known.values(), r["n_words"] - sum(known.values())])))
+        reference = _shares([*known.values(), r["n_words"] - sum(known.values())])
+        without = F.array(*(F.lit(0.0) for _ in known), F.lit(1.0))
+        # a language without common words has nothing to compare
+        farthest = _distance(without, reference)
+        word_distances.append(F.when(farthest > 0, _distance(own_words, reference) / farthest).otherwise(0.0))
     nearest = lambda each: F.round(F.array_min(F.array(*each)), 9) if each else F.lit(None).cast("double")
     rows = rows.withColumns({"class_distance": nearest(class_distances), "word_distance": nearest(word_distances)})
     odd = ((F.col("c_all") >= rules.guard_chars) & (F.col("class_distance") > rules.class_distance)) | (
-        (F.col("n_words") >= rules.guard_words) & (F.col("word_distance") > rules.word_distance)
+        (F.col("n_words") >= rules.guard_words) & (F.col("word_distance") > rules.word_part)
     )
     rows = rows.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False)))
     return rows.drop("hits", "c_all", "__absent", *_COUNTS)

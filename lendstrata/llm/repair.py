@@ -2,8 +2,8 @@
 
 In each round the most frequent adjacent pairs become nonterminals, with the more frequent
 pair first where occurrences overlap. A rule takes 12 bytes and each occurrence saves two, so
-pairs are replaced while one occurs ``LEAST`` times; the round after which the shard is
-smallest counts. A shard holds the rules, the expansion length of each nonterminal and the
+pairs are replaced while they occur ``LEAST`` times, until a round saves next to nothing; the
+round after which the shard is smallest counts. A shard holds the rules, the expansion length of each nonterminal and the
 remaining sequence; running sums of expansion lengths lead to any position, and only the
 symbols that cover the wanted ids are expanded.
 
@@ -24,6 +24,9 @@ MAGIC, VERSION, HEADER = b"RPAIR", 2, struct.Struct("<5s6I")
 RULE_BYTES, SAVED_BYTES = 12, 2
 #: Most pairs replaced in a round, and the least occurrences by which a rule saves bytes.
 PAIRS, LEAST = 3500, RULE_BYTES // SAVED_BYTES + 1
+#: A round that saves less than this part of the shard is the last: a third of what a full round
+#: saves by pairs that occur ``LEAST`` times in a shard of a million ids.
+GAIN = 0.001
 _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 18
 
 
@@ -92,7 +95,7 @@ def compress(ids: np.ndarray, terminals: int) -> bytes:
         if not len(used):
             break
         rank = (np.cumsum(paying) - 1)[rank[keep]]
-        first = terminals + len(lengths)
+        before, first = size(), terminals + len(lengths)
         pairs = np.stack([chosen[used] >> np.uint64(32), chosen[used] & np.uint64(0xFFFFFFFF)], axis=1)
         sizes = np.ones_like(pairs)
         inner = pairs >= terminals
@@ -104,8 +107,11 @@ def compress(ids: np.ndarray, terminals: int) -> bytes:
         left = np.ones(len(seq), dtype=bool)
         left[at + 1] = False
         seq = seq[left]
+        saved = before - size()
         if size() < best[0]:
             best = (size(), seq, len(lengths))
+        if 0 <= saved < GAIN * best[0]:
+            break
     _, seq, n_rules = best
     bits = _bits(terminals + n_rules)
     header = HEADER.pack(MAGIC, VERSION, terminals, n_rules, len(seq), len(ids), bits)

@@ -13,6 +13,7 @@ pair of characters; the trained ratios are one literal of a few kilobytes.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,6 +36,8 @@ STRING = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
 #: have the higher one, and those that repeat a character like lines and drawn-out words are no secrets.
 LONG, DRAWN_OUT = 20, r"(.)\1{3}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
+#: Values of an array that are summed up one by one.
+BLOCK = 128
 #: Ratios are kept as whole steps above the least one.
 STEP, OFFSET = 0.001, 32.0
 
@@ -52,27 +55,84 @@ class Models:
     word_length: int = 6
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def running(values: Column, neutral: int, step: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of longs what ``step`` has made of ``neutral`` and all values before it.
+
+    Appending to an array copies it, so values are taken in blocks: what each block makes of
+    ``neutral`` is carried over the blocks, and from there value by value inside each. ``step``
+    must be associative, with ``neutral`` as its neutral value.
+    """
+    start = F.lit(neutral).cast("bigint")
+
+    def within(some: Column, first: Column) -> Column:
+        state = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+        def add(s: Column, x: Column) -> Column:
+            return F.struct(step(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out"))
+
+        return F.aggregate(some, state, add)["out"]
+
+    def blocks(v: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(v) / BLOCK) - 1, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(v, j * BLOCK + 1, F.lit(BLOCK)))
+
+    def carried(parts: Column) -> Column:
+        made = F.transform(parts, lambda part: F.aggregate(part, start, step))
+        return F.flatten(F.zip_with(parts, within(made, start), within))
+
+    return bound(bound(values, blocks), carried)
+
+
+NEVER = 2**62
+
+
 def located(text: Column, pattern: str, group: int) -> Column:
     """Matches in order as ``(start, end, value)`` in code points, by the lengths of the
     matches and of the gaps between them."""
     found = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"),
+        F.transform(F.split(text, pattern, -1), lambda gap: F.length(gap).cast("bigint")).alias("gap"),
+        F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.length(m).cast("bigint")).alias("match"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
     )
-    span = "struct<start:int,end:int,value:string>"
 
-    def add(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value")).cast(span)
-        return F.when(x["match"].isNull(), state).otherwise(
-            F.struct(end.alias("at"), F.concat(state["spans"], F.array(one)).alias("spans"))
-        )
+    def spans(every: Column) -> Column:
+        before = running(F.transform(every, lambda x: x["gap"] + x["match"]), 0, lambda x, y: x + y)
+        return F.zip_with(every, before, span)
+
+    def span(x: Column, at: Column) -> Column:
+        start = (at + x["gap"]).cast("int")
+        end = (at + x["gap"] + x["match"]).cast("int")
+        return F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
+
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    # behind the last match is one more gap
+    return F.when(text.rlike(pattern), bound(F.filter(found, lambda x: x["match"].isNotNull()), spans)).otherwise(none)
+
+
+def apart(strings: Column, base: Column) -> Column:
+    """The strings that overlap no base find, both by ``start``: of those before, none reaches
+    beyond a string's start, and the next begins at its end or later."""
+    event = lambda x, kind, value: F.struct(
+        x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end"), value.alias("value")
+    )
+    finds = F.transform(base, lambda x: event(x, 0, F.lit("")))
+    events = F.array_sort(F.concat(finds, F.transform(strings, lambda x: event(x, 1, x["value"]))))
+
+    def free(every: Column) -> Column:
+        ends = F.transform(every, lambda x: F.when(x["kind"] == 0, x["end"].cast("bigint")).otherwise(F.lit(0).cast("bigint")))
+        begins = F.transform(F.reverse(every), lambda x: F.when(x["kind"] == 0, x["start"].cast("bigint")).otherwise(F.lit(NEVER)))
+        reach, following = running(ends, 0, lambda a, b: F.greatest(a, b)), F.reverse(running(begins, NEVER, lambda a, b: F.least(a, b)))
+        around = F.arrays_zip(every.alias("x"), reach.alias("reach"), following.alias("next"))
+        inside = lambda z: (z["x"]["kind"] == 1) & (z["reach"] <= z["x"]["start"]) & (z["next"] >= z["x"]["end"])
+        return F.transform(F.filter(around, inside), lambda z: span(z["x"]))
 
-    none = F.array().cast(f"array<{span}>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    return F.when(text.rlike(pattern), F.aggregate(found, start, add)["spans"]).otherwise(none)
+    span = lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))
+    return bound(events, free)
 
 
 def _base(text: Column) -> Column:
@@ -189,14 +249,13 @@ def scan(docs: DataFrame, models: Models = Models()) -> DataFrame:
     that looks random is listed where no base find overlaps it. A NULL text is an empty one:
     no finds, an empty list and its hash. Without any base find or ordinary word in the corpus
     the models know single characters only. Repeated rows stay; an empty table gives no rows;
-    other columns are not looked at. The work within a text grows with the square of its
-    number of finds.
+    other columns are not looked at.
     """
     rows = stage(scanned(docs, models), "secrets")
     ratios = train(rows, models)
-    apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     least = lambda x: F.when(_usual(x["value"]), models.threshold).otherwise(models.short_threshold)
-    high = F.filter("strings", lambda x: apart(x) & (mean_ratio(x["value"], ratios) >= least(x)))
+    random = F.filter("strings", lambda x: mean_ratio(x["value"], ratios) >= least(x))
+    high = F.when(F.size("base") > 0, apart(random, F.col("base"))).otherwise(random)
     odd = F.transform(high, lambda x: _find(x, len(BASE)))
     names = F.array(*(F.lit(k) for k in (*(b[0] for b in BASE), RANDOM)))
     listed = lambda spans: F.array_join(

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -80,6 +81,11 @@ class DoubleArray:
         return np.where(self.check[following] == states, following, -1)
 
 
+def _width(lead: int) -> int:
+    """Bytes of a character by its first."""
+    return 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
+
+
 @dataclass
 class Model:
     """Pieces, scores and the trie of a model file."""
@@ -87,6 +93,7 @@ class Model:
     pieces: list[str]
     trie: DoubleArray
     scores: np.ndarray  # by number of the string in the trie
+    sizes: np.ndarray  # bytes of the string, likewise
     ids: np.ndarray
     byte_ids: np.ndarray  # by byte; all unk_id without byte fallback
     unk_id: int
@@ -112,6 +119,7 @@ class Model:
             pieces=pieces,
             trie=DoubleArray([s.encode() for s in inner]),
             scores=np.array([sp.get_score(i) for i in normal], dtype=np.float64),
+            sizes=np.array([len(s.encode()) for s in inner], dtype=np.int64),
             ids=np.array(normal, dtype=np.int32),
             byte_ids=byte_ids,
             unk_id=sp.unk_id(),
@@ -123,16 +131,20 @@ class Model:
     def unknown_score(self) -> float:
         return float(self.scores.min()) - UNKNOWN_PENALTY
 
-    def segment_one(self, part: bytes) -> list[int]:
-        """Best segmentation of one part of any length: numbers in the trie, or -1 - byte
-        position for unknown characters, from the forward pass backwards."""
+    def segment_one(self, part: bytes) -> array:
+        """Ids of the best segmentation of one part of any length, byte by byte; it takes four
+        bytes for each byte of the part, and as many for each id."""
         trie, n = self.trie, len(part)
         base, check, value = trie.base, trie.check, trie.value
-        best, back = [float("-inf")] * (n + 1), [(0, -1)] * (n + 1)
-        best[0], scores, unknown, s = 0.0, self.scores, self.unknown_score, 0
+        scores, unknown, s = self.scores, self.unknown_score, 0
+        # scores are needed as far as a piece reaches, the way back as one number a byte
+        ring = max(int(self.sizes.max(initial=0)), 4) + 1
+        best, back = [float("-inf")] * ring, array("i", [-1]) * (n + 1)
+        best[0] = 0.0
         while s < n:
-            width = 1 if part[s] < 0x80 else 2 if part[s] < 0xE0 else 3 if part[s] < 0xF0 else 4
-            state, at, single = 0, s, False
+            width = _width(part[s])
+            state, at, single, here = 0, s, False, best[s % ring]
+            best[s % ring] = float("-inf")
             while at < n:
                 following = int(base[state]) + part[at] + 1
                 if check[following] != state:
@@ -140,17 +152,24 @@ class Model:
                 state, at = following, at + 1
                 if (v := int(value[state])) >= 0:
                     single |= at - s == width
-                    if (score := best[s] + float(scores[v])) > best[at]:
-                        best[at], back[at] = score, (s, v)
-            if not single and (score := best[s] + unknown) > best[s + width]:
-                best[s + width], back[s + width] = score, (s, -1)
+                    if (score := here + float(scores[v])) > best[at % ring]:
+                        best[at % ring], back[at] = score, v
+            if not single and (score := here + unknown) > best[(s + width) % ring]:
+                best[(s + width) % ring], back[s + width] = score, -1
             s += width
-        out, at = [], n
+        out, at = array("i"), n
         while at:
-            s, v = back[at]
-            out += [int(self.ids[v])] if v >= 0 else [int(b) for b in self.byte_ids[list(part[s:at])][::-1]]
-            at = s
-        return out[::-1]
+            if (v := back[at]) >= 0:
+                out.append(int(self.ids[v]))
+                at -= int(self.sizes[v])
+            else:
+                s = at - 1
+                while part[s] & 0xC0 == 0x80:
+                    s -= 1
+                out.extend(int(b) for b in self.byte_ids[list(part[s:at])][::-1])
+                at = s
+        out.reverse()
+        return out
 
     def segment_all(self, parts: list[bytes]) -> list[bytes]:
         """Best segmentations as bytes of int32 ids, in order of the parts."""

@@ -23,7 +23,7 @@ from .units import gather, slices, sums
 
 SHARD_IDS = 1 << 20
 #: Text that is encoded at a time: the more, the fewer units are encoded twice.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 5 << 20
 SCHEMA = "part int, shard int, doc_ids array<bigint>, n_tokens array<bigint>, n_ids bigint, blob binary"
 _ARROW = pa.schema(
     [

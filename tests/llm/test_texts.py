@@ -132,7 +132,9 @@ def test_distances(spark):
         for lang, top in common.items():
             p = [own[w] / n for w in top]
             q = [c / counts[lang].total() for c in top.values()]
-            each.append(distance([*p, (own.total() - sum(own[w] for w in top)) / n], [*q, 1 - sum(q)]))
+            gap = distance([*p, (own.total() - sum(own[w] for w in top)) / n], [*q, 1 - sum(q)])
+            farthest = distance([*(0 for _ in top), 1], [*q, 1 - sum(q)])
+            each.append(gap / farthest if farthest else 0)
         assert math.isclose(got[r.doc_id], min(each), abs_tol=1e-7)
 
 
@@ -478,3 +480,61 @@ def test_stages_are_named_in_order():
         "source_weights",
         "encoded",
     ]
+
+
+def test_addresses_with_letters_beyond_ascii_are_replaced_whole():
+    walk = pii._walk("key")
+    texts = ["jörg@ex.de", "JÖRG@ex.de", "jorg@ex.de", "søren.ångström@post.dk", "имя@почта.рф", "a@exämple-x.org", "ß1@x.de"]
+    seen = {}
+    for text in texts:
+        ((start, end, kind, fresh),) = pii.find(f"to {text}, now", walk)
+        assert (start, end, kind) == (3, 3 + len(text), "email") and fresh != text
+        assert fresh.partition("@")[2] == text.partition("@")[2]
+        assert [c.isupper() for c in fresh] == [c.isupper() for c in text]
+        assert [c.isalpha() for c in fresh] == [c.isalpha() for c in text]
+        seen[text] = fresh
+    assert seen["JÖRG@ex.de"].lower() == seen["jörg@ex.de"]
+    assert len({f.lower() for f in seen.values()}) == len(texts) - 1
+
+
+def test_days_of_one_digit():
+    walk = pii._walk("key")
+    for text in ("3/7/1988", "1988-7-3", "7.3.1988", "03/7/1988"):
+        ((start, end, kind, fresh),) = pii.find(f"born {text}.", walk)
+        assert (start, end, kind) == (5, 5 + len(text), "date") and fresh != text
+    whole, short = (pii.find(f"{t}", walk)[0][3] for t in ("03/07/1988", "3/7/1988"))
+    assert [int(x) for x in whole.split("/")] == [int(x) for x in short.split("/")]
+    assert pii.find("1.2.3.1988 and 40/7/1988 and 3/7/19888", walk) == []
+
+
+def test_running_values(spark):
+    draw = random.Random(3)
+    for n in (0, 1, 127, 128, 129, 5000):
+        values = [draw.randrange(-50, 50) for _ in range(n)]
+        df = spark.createDataFrame([(values,)], "v array<bigint>")
+        sums, most = df.select(
+            secret_scan.running(F.col("v"), 0, lambda a, b: a + b), secret_scan.running(F.col("v"), -99, lambda a, b: F.greatest(a, b))
+        ).first()
+        assert sums == [sum(values[:i]) for i in range(n)]
+        assert most == [max(values[:i], default=-99) for i in range(n)]
+
+
+def test_strings_apart_from_base_finds(spark):
+    draw = random.Random(4)
+    spans = lambda n: sorted((s := draw.randrange(3000), s + draw.randrange(1, 30)) for _ in range(n))
+    for n in (0, 3, 200):
+        base, strings = spans(n), spans(n)
+        df = spark.createDataFrame(
+            [([(s, 0, e, "b") for s, e in base], [(s, e, "x") for s, e in strings])],
+            "base array<struct<start:int,kind:int,end:int,value:string>>, strings array<struct<start:int,end:int,value:string>>",
+        )
+        (got,) = df.select(secret_scan.apart(F.col("strings"), F.col("base"))).first()
+        want = [(s, e) for s, e in strings if not any(b < e and s < f for b, f in base)]
+        assert [(x.start, x.end) for x in got] == want
+
+
+def test_a_text_of_many_secrets(spark):
+    text = "password=abcdefgh1 x " * 20_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (found,) = secret_scan.scan(df).collect()
+    assert found.n_assign == 20_000 and found.spans.endswith(f",assign:{21 * 19_999}:{21 * 19_999 + 18}")

@@ -217,3 +217,18 @@ def test_sentencepiece_of_awkward_rows(spark):
         assert (r.ids is None) == (r.decoded is None)
         assert r.n_pieces == len(r.ids or []) and r.n_bytes == sum(3 <= i < 259 for i in r.ids or [])
     assert sentencepieces.encode_decode(empty(spark), PIECES).count() == 0
+
+
+def test_a_long_part_without_spaces_takes_little_memory():
+    import tracemalloc
+
+    known = sentencepieces.model(PIECES)
+    part = ("añb你zzz9" * 40_000).encode()
+    tracemalloc.start()
+    ids = known.segment_one(part)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 14 * len(part)
+    some = part[: 14 * 100]
+    assert known.segment_one(some).tobytes() == known._side_by_side([some])[0]
+    assert b"".join(known.surfaces[i] for i in ids) == part
