@@ -224,6 +224,14 @@ def remove(spark: SparkSession, path: str) -> None:
     _file_system(spark, folder).delete(folder, True)
 
 
+def make_passing_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder that is removed with all it holds when the application's JVM ends."""
+    folder = _hadoop_path(spark, path)
+    system = _file_system(spark, folder)
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
+
+
 def read_note(spark: SparkSession, path: str):
     """The content of a small JSON file, None where there is none."""
     note = _hadoop_path(spark, path)

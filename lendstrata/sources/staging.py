@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from lendstrata.sources.files import read_table, remove, write_table
+from lendstrata.sources.files import make_passing_folder, read_table, remove, write_table
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -27,7 +27,12 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
-    return f"{staging_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path in this application's part of the staging folder, which goes when the
+    application ends, as results may be read from it until then. What is known to be done with
+    goes earlier (``staged``)."""
+    own = f"{staging_root(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+    make_passing_folder(spark, own)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

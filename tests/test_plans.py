@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
 from collections import Counter
 from datetime import date
 from pathlib import Path
@@ -206,6 +208,23 @@ def test_staged_table_goes_with_its_block(spark):
     assert not files.table_exists(spark, part)
 
 
+def test_staging_folder_is_empty_when_the_application_has_ended(folder):
+    script = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
+    "spark.checkpoint.dir", "{folder}").getOrCreate()
+from lendstrata.workload.queries import queries
+for name in ("star_as_of", "profile_drift"):
+    assert queries()[name](spark, "{SMALL}").count() > 0
+import os
+assert os.listdir("{folder}")
+"""
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", script], cwd=root, check=True, capture_output=True, timeout=200)
+    # Spark itself makes an empty folder there
+    assert [p for p in Path(folder).glob("*/*")] == []
+
+
 def test_csv_files_are_sources(spark, folder):
     for name in ("b", "a"):
         with open(f"{folder}/{name}.csv", "w") as f:
