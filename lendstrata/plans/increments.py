@@ -91,12 +91,17 @@ def cleaned_table(spark: SparkSession, layout: Layout, source: str) -> DataFrame
 
 def load_source(spark: SparkSession, config: RunConfig, name: str, dates: list[date]) -> tuple[list[date], dict[str, int]]:
     """Take in the snapshots of a CSV that bronze does not hold yet, or with ``reload`` all, and
-    clean those whose rows are new or differ."""
+    clean those whose rows are new or differ. What a CSV did not have is not looked for again
+    until its files change."""
     layout, spec = config.layout, SOURCES[name]
     stored = set(files.partition_days(spark, layout.bronze(name)))
-    wanted = [d for d in dates if config.reload or d not in stored]
+    note, delivery = files.read_note(spark, layout.ledger(f"bronze/{name}.json")), files.delivery_token(spark, layout.csv(name))
+    asked = {date.fromisoformat(d) for d in note["asked"]} if note and note["delivery"] == delivery else set()
+    wanted = [d for d in dates if config.reload or d not in stored | asked]
     if wanted:
         take_in(spark, config, name, wanted)
+        asked = sorted(d.isoformat() for d in asked | set(wanted))
+        files.write_note(spark, layout.ledger(f"bronze/{name}.json"), {"delivery": delivery, "asked": asked})
     if not files.table_exists(spark, layout.bronze(name)):
         return [], {}
     tokens = files.partition_tokens(spark, layout.bronze(name))

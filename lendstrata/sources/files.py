@@ -211,6 +211,19 @@ def partition_tokens(spark: SparkSession, path: str, on: str = SNAPSHOT) -> dict
     }
 
 
+def delivery_token(spark: SparkSession, path: str) -> str | None:
+    """A digest of names, sizes and times of the files of a delivery, None without any."""
+    folder = _hadoop_path(spark, path)
+    system = _file_system(spark, folder)
+    if not system.exists(folder):
+        return None
+    found, listing = [], system.listFiles(folder, True)
+    while listing.hasNext():
+        f = listing.next()
+        found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def subfolders(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Names of the folders directly below ``path`` that match a glob pattern."""
     glob = _hadoop_path(spark, f"{path}/{pattern}")
