@@ -293,6 +293,15 @@ FROM {fact} WHERE mob = 6"""
 PRICES = "SELECT o_orderkey, o_custkey, o_totalprice, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey"
 
 
+def _content(name: str, keys: str, amounts: str) -> str:
+    """Rows of a layer, a sum over hashes of its keys, and the sum of its amounts in hundredths."""
+    texts = ", ".join(f"CAST({c} AS VARCHAR)" for c in sorted(keys.split()))
+    hundredths = " + ".join(["0", *(f"CAST(floor(CAST({c} AS DOUBLE) * 100) AS BIGINT)" for c in amounts.split())])
+    return f"""SELECT '{name}' AS table_name, count(*) AS row_count,
+        CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) AS BIGINT)) AS BIGINT) AS keys,
+        CAST(sum({hundredths}) AS BIGINT) AS hundredths FROM {name}"""
+
+
 HISTORY = """
 daily AS (
     SELECT * FROM attributes WHERE month(snapshot_date) % 3 = 1
@@ -401,19 +410,27 @@ def oracle_sql() -> dict[str, str]:
         raw: f"""SELECT * REPLACE (CAST(snapshot_date + INTERVAL 120 MONTH AS DATE) AS snapshot_date) FROM ({LAYERS[raw]})"""
         for raw in ("raw_loans", "raw_financials", "raw_attributes")
     } | {"raw_clicks": _on_views(inputs.clickstream_sql(inputs.CLICK_MONTH))}
-    mart = (
-        "dim_snapshot",
-        "dim_customer",
-        "dim_feature",
-        "dim_credit_mix",
-        "dim_payment_behaviour",
-        "dim_min_payment",
-        "dim_loan_type",
-        "fact_clickstream",
-        "fact_financials",
-        "fact_loan",
-        "fact_customer_loan_type",
-    )
+    loan_terms = "loan_amt due_amt paid_amt overdue_amt balance"
+    financial_keys = """Num_Bank_Accounts Num_Credit_Card Interest_Rate Num_of_Loan Delay_from_due_date Num_Credit_Inquiries
+        payment_code payment_behaviour_id credit_mix_id Credit_History_Years Credit_History_Months customer_id snapshot_date"""
+    financial_amounts = """Annual_Income Monthly_Inhand_Salary Num_of_Delayed_Payment Changed_Credit_Limit Outstanding_Debt
+        Credit_Utilization_Ratio Total_EMI_per_month Amount_invested_monthly"""
+    mart = {
+        "dim_snapshot": ("snapshot_date", ""),
+        "dim_customer": ("customer_id SSN Name Age Occupation", ""),
+        "dim_feature": ("feature_id feature_name", ""),
+        "dim_credit_mix": ("credit_mix_id", ""),
+        "dim_payment_behaviour": ("payment_behaviour_id spend value", ""),
+        "dim_min_payment": ("payment_code", ""),
+        "dim_loan_type": ("loan_type_id loan_flag_col loan_type_name", ""),
+        "fact_clickstream": ("customer_id feature_id value snapshot_date", ""),
+        "fact_financials": (financial_keys, financial_amounts),
+        "fact_loan": (
+            "loan_id customer_id mob installments_missed first_missed_date dpd snapshot_date loan_start_date tenure",
+            loan_terms,
+        ),
+        "fact_customer_loan_type": ("customer_id loan_type_id snapshot_date", ""),
+    }
     return {
         # sources and snapshots
         "month_spine": """
@@ -643,11 +660,7 @@ def oracle_sql() -> dict[str, str]:
         "medallion_run": _with(["star_rows"], kept_star, star_iqr, later),
         "incremental_run": _with(["star_rows"], kept_star, star_iqr, later),
         "medallion_labels": _with(["fact_loan"], LABELS.format(fact="fact_loan"), instead=later),
-        "medallion_mart": _with(
-            list(mart),
-            " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}" for name in mart),
-            instead=later,
-        ),
+        "medallion_mart": _with(list(mart), " UNION ALL ".join(_content(name, *mart[name]) for name in mart), instead=later),
         "reload_withdrawn": _with(
             ["attributes"],
             """SELECT * EXCLUDE (_metadata_file_name) FROM attributes

@@ -7,7 +7,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import FractionalType, StructType
 
 from lendstrata.functions import dates, numeric, text
 from lendstrata.operators import cleaning, contracts, digests, features, incremental, profile, quantiles, sketches
@@ -607,13 +607,25 @@ def medallion_labels(spark: SparkSession, d: str) -> DataFrame:
     return medallion.read_gold(spark, _whole_run(spark, d), "label_store")
 
 
+def _content(name: str, table: DataFrame) -> DataFrame:
+    """Rows of a table, a sum over hashes of its rows' keys, dates and counts, and the sum of its
+    amounts in hundredths."""
+    amounts = [f.name for f in table.schema if isinstance(f.dataType, FractionalType)]
+    texts = [F.col(c).cast("string") for c in sorted(table.columns) if c not in amounts]
+    keys = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 8), 16, 10).cast("long")
+    hundredths = sum((F.floor(F.col(c).cast("double") * 100) for c in amounts), F.lit(0).cast("long"))
+    return table.agg(
+        F.first(F.lit(name)).alias("table_name"),
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum(keys).alias("keys"),
+        F.sum(hundredths).alias("hundredths"),
+    )
+
+
 def medallion_mart(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of each mart table of a whole run, read back."""
+    """What each mart table of a whole run holds, read back."""
     tables = medallion.read_mart(spark, _whole_run(spark, d))
-    counted = [
-        t.agg(F.first(F.lit(name)).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, t in tables.items()
-    ]
-    return reduce(DataFrame.union, counted)
+    return reduce(DataFrame.union, [_content(name, t) for name, t in tables.items()])
 
 
 def reload_withdrawn(spark: SparkSession, d: str) -> DataFrame:

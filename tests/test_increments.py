@@ -19,7 +19,7 @@ from lendstrata.workload import inputs
 from lendstrata.workload.queries import write_raw_csv
 
 SMALL = "/root/testdata/sf0.001"
-START, CUT, END = date(2005, 1, 1), date(2006, 1, 1), date(2006, 2, 1)
+START, CUT, END = date(2005, 1, 1), date(2005, 6, 1), date(2005, 7, 1)
 EXACT = gold.StarOptions(relative_error=0)
 
 
@@ -130,7 +130,7 @@ def test_reload_takes_in_what_differs(spark, layout):
     assert increments.advance(spark, config(layout, CUT, reload=True)) == {}
     assert tokens(spark, layout, "loan_analytics_star") == star
 
-    changed, gone = date(2005, 5, 1), date(2005, 8, 1)
+    changed, gone = date(2005, 3, 1), date(2005, 4, 1)
 
     def change(name, df):
         if name == "features_financials":
