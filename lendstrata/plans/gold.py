@@ -178,6 +178,25 @@ def financials_as_of(financials: DataFrame, history: DataFrame) -> DataFrame:
     return as_of(with_monthly_balance(financials), history, "customer_id", SNAPSHOT, CUSTOMER_ATTRIBUTES)
 
 
+def fact_joins(financials: DataFrame, loans: DataFrame, loan_types: DataFrame) -> DataFrame:
+    """Financial rows with their balance and their number of copies in the star, from facts that
+    are bucketed by customer and snapshot: both other facts are counted and joined bucket by
+    bucket, without a shuffle."""
+    counted = [
+        fact.groupBy(*BY_SNAPSHOT).agg(F.count(F.lit(1)).alias(name)) for fact, name in ((loans, "_loans"), (loan_types, "_types"))
+    ]
+    joined = with_monthly_balance(financials).join(counted[0], BY_SNAPSHOT).join(counted[1], BY_SNAPSHOT, "left")
+    copies = F.col("_loans") * F.greatest(F.coalesce("_types", F.lit(0)), F.lit(1))
+    return joined.withColumn("_copies", copies).drop("_loans", "_types")
+
+
+def star_base_bucketed(mart: Mapping[str, DataFrame]) -> DataFrame:
+    """``star_base`` at the grain of loan types from bucketed facts. Customers are joined by
+    their id alone, which takes the only shuffle."""
+    joined = fact_joins(mart["fact_financials"], mart["fact_loan"], mart["fact_customer_loan_type"])
+    return skew_join(joined, mart["dim_customer"], BY_CUSTOMER, hot_left=hot_keys(mart["fact_financials"], BY_CUSTOMER)[0]).drop("SSN")
+
+
 def star_features(
     base: DataFrame,
     options: StarOptions = StarOptions(),

@@ -615,6 +615,10 @@ def oracle_sql() -> dict[str, str]:
             ["star_rows"],
             "SELECT customer_id, snapshot_date, count(*) AS copies FROM star_rows GROUP BY ALL",
         ),
+        "star_bucketed": _with(
+            ["star_rows"],
+            "SELECT customer_id, snapshot_date, count(*) AS copies FROM star_rows GROUP BY ALL",
+        ),
         "star_as_of": _after(
             _with(["attributes", "balanced"], "SELECT 0"),
             HISTORY,

@@ -13,7 +13,7 @@ from lendstrata.functions import dates, numeric, text
 from lendstrata.operators import cleaning, contracts, digests, features, incremental, profile, quantiles, sketches
 from lendstrata.plans import cleaners, gold, increments, mart, medallion
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
-from lendstrata.sources import feature_store, files, inference, published, specs
+from lendstrata.sources import bucketed, feature_store, files, inference, published, specs
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 from lendstrata.sources.staging import stage, stage_all, staging_path
 from lendstrata.streaming.refresh import refresh_cleaned
@@ -468,6 +468,24 @@ def star_fan_out(spark: SparkSession, d: str) -> DataFrame:
     return base.groupBy("customer_id", SNAPSHOT).agg(F.sum("_copies").alias("copies"))
 
 
+BUCKETS = 16
+
+
+def bucketed_mart(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The mart with the star's facts bucketed by customer and snapshot."""
+    tables, root = mart_tables(spark, d), staging_path(spark, "bucketed")
+    for name in ("fact_financials", "fact_loan", "fact_customer_loan_type"):
+        table_name = f"{name}_{root[-32:]}"
+        tables[name] = bucketed.write_bucketed(tables[name], table_name, f"{root}/{name}", gold.BY_SNAPSHOT, BUCKETS)
+    return tables
+
+
+def star_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The star's fan-out from bucketed facts."""
+    base = gold.star_base_bucketed(bucketed_mart(spark, d))
+    return base.groupBy("customer_id", SNAPSHOT).agg(F.sum("_copies").alias("copies"))
+
+
 def iqr_filter(spark: SparkSession, d: str) -> DataFrame:
     return quantiles.iqr_filter(priced_orders(spark, d), ["o_totalprice", "c_acctbal"], k=0.5, relative_error=0)
 
@@ -699,6 +717,7 @@ def queries() -> dict[str, Query]:
         "star_joins": star_joins,
         "star_fan_out": star_fan_out,
         "star_as_of": star_as_of,
+        "star_bucketed": star_bucketed,
         "iqr_filter": iqr_filter,
         "iqr_bounds": iqr_bounds,
         "quartile_ranks": quartile_ranks,

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lendstrata.operators.contracts import ContractError
 from lendstrata.plans import cleaners, gold, mart, medallion
 from lendstrata.plans.cleaners import SOURCES
-from lendstrata.sources import feature_store, files, published, specs, staging
+from lendstrata.sources import bucketed, feature_store, files, published, specs, staging
 from lendstrata.sources.staging import staging_path
 from lendstrata.streaming.refresh import refresh_cleaned
 from lendstrata.workload import inputs, queries as workload
@@ -131,6 +131,32 @@ def test_star_with_a_hot_customer(spark):
     assert gold.build_star(tables, options).count() > 0
 
 
+def test_bucketed_facts_join_without_a_shuffle(spark):
+    tables = workload.bucketed_mart(spark, SMALL)
+    facts = [tables[n] for n in ("fact_financials", "fact_loan", "fact_customer_loan_type")]
+    joined = gold.fact_joins(*facts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        whole = gold.star_base_bucketed(tables)
+        want = gold.star_base(workload.mart_tables(spark, SMALL))
+        assert rows(whole.select(*want.columns)) == rows(want)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    found = bucketed.bucket_rows(facts[0], gold.BY_SNAPSHOT, workload.BUCKETS)
+    assert found.agg(F.sum("row_count")).first()[0] == facts[0].count() and found.where("skewed").count() == 0
+
+
+def test_skewed_buckets_are_shown(spark, folder):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    table = bucketed.write_bucketed(df, "skewed_buckets", f"{folder}/t", ["k"], 32)
+    (found,) = bucketed.bucket_rows(table, ["k"], 32).where("skewed").collect()
+    hot = table.where("k = 7").select(F.input_file_name()).distinct().collect()
+    assert found.row_count > 1300 and len(hot) == 1 and f"_{found.bucket:05d}" in hot[0][0]
+    spark.sql("DROP TABLE skewed_buckets")
+
+
 # the whole run
 
 
