@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from collections import Counter
 from datetime import date
 from pathlib import Path
@@ -62,8 +63,21 @@ def tokens(spark, layout, table):
 FACTS = ("fact_financials", "fact_loan", "fact_customer_loan_type")
 
 
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    """All layers up to a month."""
+    folder = tmp_path_factory.mktemp("loaded")
+    layout = medallion.Layout(f"{folder}/raw", f"{folder}/lake")
+    deliver(spark, layout, CUT)
+    increments.advance(spark, config(layout, CUT))
+    return layout
+
+
 @pytest.fixture
-def layout(folder):
+def layout(loaded, folder):
+    """A copy of them for each test."""
+    for name in ("raw", "lake"):
+        shutil.copytree(getattr(loaded, name), f"{folder}/{name}")
     return medallion.Layout(f"{folder}/raw", f"{folder}/lake")
 
 
@@ -74,8 +88,6 @@ def whole_run(spark, layout, last, **more):
 
 
 def test_a_new_month_equals_a_whole_run(spark, layout):
-    deliver(spark, layout, CUT)
-    increments.advance(spark, config(layout, CUT))
     assert tables(spark, layout) == whole_run(spark, layout, CUT)
     before = {t: tokens(spark, layout, t) for t in (*FACTS, "fact_clickstream", "label_store")}
 
@@ -92,8 +104,6 @@ def test_a_new_month_equals_a_whole_run(spark, layout):
 
 
 def test_kept_parameters_write_the_new_month_of_the_star_only(spark, layout):
-    deliver(spark, layout, CUT)
-    increments.advance(spark, config(layout, CUT))
     star, customers = tokens(spark, layout, "loan_analytics_star"), published.token(spark, layout.mart("dim_customer"))
     deliver(spark, layout, END)
     written = increments.advance(spark, config(layout, END), keep_parameters=True)
@@ -109,8 +119,6 @@ def test_kept_parameters_write_the_new_month_of_the_star_only(spark, layout):
 
 
 def test_changed_customers_reach_old_months_of_the_star(spark, layout):
-    deliver(spark, layout, CUT)
-    increments.advance(spark, config(layout, CUT))
 
     def renamed(name, df):
         if name != "features_attributes":
@@ -124,8 +132,6 @@ def test_changed_customers_reach_old_months_of_the_star(spark, layout):
 
 
 def test_reload_takes_in_what_differs(spark, layout):
-    deliver(spark, layout, CUT)
-    increments.advance(spark, config(layout, CUT))
     star = tokens(spark, layout, "loan_analytics_star")
     assert increments.advance(spark, config(layout, CUT, reload=True)) == {}
     assert tokens(spark, layout, "loan_analytics_star") == star
@@ -146,8 +152,6 @@ def test_reload_takes_in_what_differs(spark, layout):
 
 
 def test_a_run_that_dies_is_run_again(spark, layout, monkeypatch):
-    deliver(spark, layout, CUT)
-    increments.advance(spark, config(layout, CUT))
     deliver(spark, layout, END)
 
     def dies(*args, **kwargs):
@@ -163,9 +167,7 @@ def test_a_run_that_dies_is_run_again(spark, layout, monkeypatch):
 
 
 def test_sketched_fences_are_close(spark, layout):
-    deliver(spark, layout, CUT)
     exact = config(layout, CUT)
-    increments.advance(spark, exact)
     rough = medallion.RunConfig(layout, START, CUT)
     base = published.read(spark, layout.gold(increments.BASE))
     total = base.agg(F.sum("_copies")).first()[0]
