@@ -23,7 +23,7 @@ SPACES = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+")
 _SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACES}]", c))
 #: Units that are given to the library as one string, and units that a worker remembers.
-JOINED, MEMO_UNITS = 512, 2_000_000
+JOINED, MEMO_UNITS = 512, 1_500_000
 HASH_KEYS = "units of a text,", "once more hashed"
 
 
@@ -39,12 +39,12 @@ def cut(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 class Memo:
-    """Ids of units by two 64-bit hashes of each, in sorted arrays: some forty bytes a unit,
-    where a dictionary takes five times that. It takes no more units when it is full."""
+    """Ids of units by two 64-bit hashes of each, in sorted arrays: some thirty bytes a unit,
+    where a dictionary takes six times that. It takes no more units when it is full."""
 
     def __init__(self):
         self.first, self.second = (np.zeros(0, dtype=np.uint64) for _ in range(2))
-        self.starts, self.lengths = (np.zeros(0, dtype=np.int64) for _ in range(2))
+        self.starts, self.lengths = (np.zeros(0, dtype=np.int32) for _ in range(2))
         self.ids = np.zeros(0, dtype=np.uint16)
 
     def find(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
