@@ -3,34 +3,70 @@
 Types form a lattice: nothing, int, bigint, double; each date format; boolean; and string above
 all. What a column may be is kept as one truth per type, and truths of rows, tasks and files
 are merged by AND, so the result does not depend on the order or number of files, and a file
-without values changes nothing.
+without values changes nothing. The truths of a value are bits of one number, and values are
+grouped by their column, so that the tests are compiled once, however many columns there are.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lendstrata.functions.dates import ISO_DATE, SHORT_US_DATE, parse_date
 
-#: A number is text that stays the same when it is written back, but for digits of a fraction.
-WHOLE = r"^-?(0|[1-9][0-9]*)$"
+#: A number is text that stays the same when it is written back, but for digits of a fraction; it is
+#: whole without point and exponent.
 NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][-+]?[0-9]+)?$"
 FILE = "_file"
 
 
-def _may_be(c: Column, date_formats: Sequence[str]) -> dict[str, Column]:
-    """For one value, which types it may have; the first that all values share is taken."""
-    whole, number = c.rlike(WHOLE), c.rlike(NUMBER)
-    return {
-        "int": whole & c.try_cast("int").isNotNull(),
-        "bigint": whole & c.try_cast("bigint").isNotNull(),
-        "double": number & c.try_cast("double").isNotNull(),
-        **{f"date {fmt}": parse_date(c, fmt).isNotNull() for fmt in date_formats},
-        "boolean": F.lower(c).isin("true", "false"),
-    }
+def _shape(fmt: str) -> str | None:
+    """A pattern that the text of any date in a format begins with; None for formats with quoted
+    or optional parts."""
+    if re.search(r"['\[\]{}#]", fmt):
+        return None
+    parts = (m[0] for m in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", fmt))
+    return "^" + "".join(
+        r"[-+\s]*[0-9]+" if re.fullmatch(r"[yud]+|MM?", p) else ".+" if p.isalpha() else re.escape(p) for p in parts
+    )
+
+
+def _is_date(c: Column, fmt: str) -> Column:
+    """Whether text is a date. A failed parse costs microseconds, so only text that has the marks
+    of the format and looks like a date is parsed."""
+    parsed, shape = parse_date(c, fmt).isNotNull(), _shape(fmt)
+    if shape is None:
+        return parsed
+    marks = [c.contains(mark) for mark in sorted({m for m in fmt if not m.isalpha()})]
+    return F.when(reduce(and_, [*marks, c.rlike(shape)]), parsed).otherwise(False)
+
+
+def _may_be(c: Column, kinds: Sequence[str], date_formats: Sequence[str]) -> Column:
+    """For one value, which of the ``kinds`` it may have, as bits; the first that all values share
+    is taken. Whatever is a number for ``NUMBER`` can be cast to double."""
+
+    def bit(kind: str, when: Column | None = None) -> Column:
+        value = F.lit(1 << kinds.index(kind))
+        return value if when is None else F.when(when, value).otherwise(0)
+
+    def any_of(first: Column, *others: Column) -> Column:
+        for other in others:
+            first = first.bitwiseOR(other)
+        return first
+
+    dates = [bit(f"date {fmt}", _is_date(c, fmt)) for fmt in date_formats]
+    fits = [bit(t, c.try_cast(t).isNotNull()) for t in ("int", "bigint")]
+    fraction = c.contains(".") | c.contains("e") | c.contains("E")
+    number = F.when(fraction, bit("double")).otherwise(any_of(bit("double"), *fits))
+    return (
+        F.when(c.rlike(NUMBER), any_of(number, *dates))
+        .otherwise(any_of(bit("boolean", F.lower(c).isin("true", "false")), *dates))
+    )
 
 
 def column_types(
@@ -42,30 +78,24 @@ def column_types(
     header = spark.read.csv(path, header=True).columns
     texts = StructType([StructField(c, StringType()) for c in header])
     rows = spark.read.csv(path, header=True, schema=texts, enforceSchema=False, mode="FAILFAST")
-    figures, described = [], []
-    for i, name in enumerate(header):
-        value = F.when(F.trim(f"`{name}`") != "", F.col(f"`{name}`"))
-        figures += [F.count(value).alias(f"n{i}"), F.count_if(value.isNull()).alias(f"z{i}")]
-        kinds = _may_be(value, date_formats)
-        figures += [F.bool_and(F.when(value.isNotNull(), may)).alias(f"k{i}_{k}") for k, may in enumerate(kinds.values())]
-        kind = F.coalesce(
-            F.when(F.col(f"n{i}") == 0, F.lit("void")),
-            *(F.when(F.col(f"k{i}_{k}"), F.lit(kind)) for k, kind in enumerate(kinds)),
-            F.lit("string"),
-        )
-        described.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(name).alias("column_name"),
-                F.element_at(F.split(kind, " "), 1).alias("data_type"),
-                F.get(F.split(kind, " "), F.lit(1)).alias("date_format"),
-                F.col(f"n{i}").alias("n_values"),
-                F.col(f"z{i}").alias("n_nulls"),
-            )
-        )
-    keys = [F.input_file_name().alias(FILE)] if by_file else []
-    summed = rows.groupBy(*keys).agg(*figures)
-    return summed.select(*([FILE] if by_file else []), F.inline(F.array(*described)))
+    kinds = ["int", "bigint", "double", *(f"date {fmt}" for fmt in date_formats), "boolean"]
+    keys = [FILE] if by_file else []
+    files = [F.input_file_name().alias(FILE)] if by_file else []
+    value = F.when(F.trim("_text") != "", F.col("_text"))
+    found = (
+        rows.select(*files, F.posexplode(F.array(*(F.col(f"`{c}`") for c in header))).alias("position", "_text"))
+        .select(*keys, "position", F.when(value.isNotNull(), _may_be(value, kinds, date_formats)).alias("_may"))
+        .groupBy(*keys, "position")
+        .agg(F.count("_may").alias("n_values"), F.count_if(F.isnull("_may")).alias("n_nulls"), F.bit_and("_may").alias("_may"))
+    )
+    # without rows, columns are there nevertheless
+    columns = spark.createDataFrame(list(enumerate(header)), "position int, column_name string")
+    named = F.broadcast(columns).join(found, "position") if by_file else columns.join(F.broadcast(found), "position", "left")
+    bits = [F.when(F.col("_may").bitwiseAND(F.lit(1 << i)) != 0, F.lit(kind)) for i, kind in enumerate(kinds)]
+    kind = F.split(F.when(F.col("_may").isNull(), F.lit("void")).otherwise(F.coalesce(*bits, F.lit("string"))), " ", 2)
+    counts = [F.coalesce(n, F.lit(0).cast("long")).alias(n) for n in ("n_values", "n_nulls")]
+    types = [F.element_at(kind, 1).alias("data_type"), F.get(kind, F.lit(1)).alias("date_format")]
+    return named.select(*keys, "position", "column_name", *types, *counts)
 
 
 def as_contract(types: DataFrame) -> tuple[StructType, dict[str, str]]:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import FractionalType, StructType
 
@@ -72,10 +74,25 @@ def month_spine(spark: SparkSession, d: str) -> DataFrame:
     return dates.month_spine(bounds, "first", "last")
 
 
+ROWS_PER_CSV = 500_000
+
+
 def write_raw_csv(raw: DataFrame, path: str, spec: SourceSpec) -> None:
-    """A raw source as its producer would deliver it: CSV with header and dates as text."""
+    """A raw source as its producer would deliver it: CSV with header and dates as text, zipped
+    in part files of bounded size, as each is read by one task."""
     delivered = raw.drop(LINEAGE, LOAD_DATE).withColumn(SNAPSHOT, F.date_format(SNAPSHOT, spec.snapshot_format))
-    delivered.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    zipped = delivered.write.options(**{"zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": ROWS_PER_CSV})
+    zipped.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip")
+
+
+def write_side_by_side(spark: SparkSession, sources: dict[str, DataFrame], folder: str) -> None:
+    """Deliver independent sources at once, so that small ones do not leave the cluster idle."""
+
+    def write(name: str) -> None:
+        write_raw_csv(sources[name], f"{folder}/{name}.csv", SOURCES[name])
+
+    with ThreadPoolExecutor(len(sources)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), sources))
 
 
 def ingest_csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
@@ -128,8 +145,8 @@ def inferred_contract(spark: SparkSession, d: str) -> DataFrame:
     """The types found in three sources delivered as CSV."""
     root, found = staging_path(spark, "inferred"), None
     made = {"lms_loan_daily": inputs.raw_loans, "features_financials": inputs.raw_financials, "features_attributes": inputs.raw_attributes}
-    for name, raw in made.items():
-        write_raw_csv(raw(spark, d).repartition(3), f"{root}/{name}.csv", SOURCES[name])
+    write_side_by_side(spark, {name: raw(spark, d) for name, raw in made.items()}, root)
+    for name in made:
         types = inference.column_types(spark, f"{root}/{name}.csv").withColumn("source", F.lit(name))
         found = types if found is None else found.union(types)
     return found.select("source", "position", "column_name", "data_type", "date_format", "n_values", "n_nulls")
