@@ -40,6 +40,7 @@ from lendstrata.plans.medallion import (
     snapshot_dates,
     take_in,
 )
+from lendstrata.session import loading
 from lendstrata.sources import files, published
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT
 
@@ -334,6 +335,11 @@ def advance(spark: SparkSession, config: RunConfig, keep_parameters: bool = Fals
     but for fences from sketches in place of the quantiles' narrowing ranges; with
     ``keep_parameters``, fences and the least balance are those of the first run.
     """
+    with loading(spark):
+        return _advance(spark, config, keep_parameters)
+
+
+def _advance(spark: SparkSession, config: RunConfig, keep_parameters: bool) -> Written:
     layout, written = config.layout, {}
     dates = snapshot_dates(spark, config.start, config.end)
     delivered = [n for n in files.list_csv_sources(spark, layout.raw) if n in SOURCES]

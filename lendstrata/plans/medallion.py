@@ -20,6 +20,7 @@ from lendstrata.operators.contracts import ContractError, assert_same_columns, a
 from lendstrata.operators.incremental import missing_snapshots
 from lendstrata.plans import gold, mart
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
+from lendstrata.session import loading
 from lendstrata.sources import files, published, rejects
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 from lendstrata.sources.staging import staged
@@ -117,7 +118,11 @@ def load_bronze(
     """
     if rejects_path is None:
         rows = files.read_snapshots(spark, csv_path, spec, dates)
-        files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT], stands_for=dates)
+        # the CSV has those wanted and those loaded before
+        tasks = files.tasks_for(spark, csv_path, len({*dates, *files.partition_days(spark, bronze_path)}))
+        if tasks:
+            rows = rows.coalesce(tasks).sortWithinPartitions(LOAD_DATE, SNAPSHOT)
+        files.write_snapshots(rows, bronze_path, [LOAD_DATE, SNAPSHOT], clustered=bool(tasks), stands_for=dates)
         return {}
     counts = Observation(f"lines_{spec.name}")
     with staged(rejects.sorted_lines(spark, csv_path, spec, counts), f"lines-{spec.name}") as lines:
@@ -231,6 +236,11 @@ def run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
     A registered source without a CSV, a CSV without a contract and a source that fails are
     raised together at the end; the rest of the run is done with what is stored.
     """
+    with loading(spark):
+        return _run(spark, config)
+
+
+def _run(spark: SparkSession, config: RunConfig) -> dict[str, dict[str, int]]:
     layout, audits = config.layout, {}
     dates = snapshot_dates(spark, config.start, config.end)
     delivered = files.list_csv_sources(spark, layout.raw)
