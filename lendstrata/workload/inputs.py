@@ -136,8 +136,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _derive(spark: SparkSession, sf_dir: str, sql: str, *tables: str) -> DataFrame:
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables})
+def _derive(spark: SparkSession, sf_dir: str, sql: str, *tables: str, **scans: DataFrame) -> DataFrame:
+    return spark.sql(sql, **scans, **{t: table(spark, sf_dir, t) for t in tables})
+
+
+def _spread_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt out evenly while they are narrow: a file of one row group is read by one
+    task, which would write all the text, too."""
+    return table(spark, sf_dir, "orders").hint("rebalance")
 
 
 def raw_loans(spark: SparkSession, sf_dir: str, snapshot: str = SHIP_MONTH) -> DataFrame:
@@ -145,7 +151,7 @@ def raw_loans(spark: SparkSession, sf_dir: str, snapshot: str = SHIP_MONTH) -> D
 
 
 def raw_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, financials_sql(), "orders")
+    return _derive(spark, sf_dir, financials_sql(), orders=_spread_orders(spark, sf_dir))
 
 
 def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:

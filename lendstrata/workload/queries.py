@@ -611,8 +611,7 @@ def _delivered(spark: SparkSession, d: str) -> tuple[medallion.Layout, date, dat
     }
     spans = [df.agg(F.min(SNAPSHOT).alias("low"), F.max(SNAPSHOT).alias("high")) for df in sources.values()]
     span = reduce(DataFrame.union, spans).agg(F.min("low"), F.max("high"), F.add_months(F.min("high"), -3)).first()
-    for name, raw in sources.items():
-        write_raw_csv(raw, layout.csv(name), SOURCES[name])
+    write_side_by_side(spark, sources, layout.raw)
     return layout, *span
 
 
