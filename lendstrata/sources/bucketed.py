@@ -9,10 +9,21 @@ Buckets cannot be split: a key with a large share of the rows makes one large bu
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, functions as F
 
 
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(tables: Sequence[DataFrame], least: int) -> int:
+    """Buckets for tables that are to be joined: as many as the longest needs for its buckets to
+    be sorted in memory, a multiple of ``least``."""
+    longest = max(t.count() for t in tables)
+    return least * max(1, ceil(longest / (least * ROWS_PER_BUCKET)))
+
+
 def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
     """Write ``df`` to ``path`` as the bucketed table ``name`` of the session's catalog, in place
     of an earlier one, and return a scan of it."""

@@ -15,6 +15,7 @@ from lendstrata.functions import dates, numeric, text
 from lendstrata.operators import cleaning, contracts, digests, features, incremental, profile, quantiles, sketches
 from lendstrata.plans import cleaners, gold, increments, mart, medallion
 from lendstrata.plans.cleaners import SOURCES, clean_snapshots
+from lendstrata.session import loading
 from lendstrata.sources import bucketed, feature_store, files, inference, published, specs
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT, SourceSpec
 from lendstrata.sources.staging import stage, stage_all, staging_path
@@ -49,9 +50,10 @@ def clickstream(spark: SparkSession, d: str) -> DataFrame:
 
 def mart_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The mart over cleaned tables; those that are read repeatedly are stored first."""
-    stored = stage_all(
-        loans=loans(spark, d), financials=financials(spark, d), attributes=attributes(spark, d)
-    )
+    with loading(spark):
+        stored = stage_all(
+            loans=loans(spark, d), financials=financials(spark, d), attributes=attributes(spark, d)
+        )
     return mart.build_mart(mart.CleanedTables(clickstream=clickstream(spark, d), **stored))
 
 
@@ -491,10 +493,14 @@ BUCKETS = 16
 def bucketed_mart(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     """The mart with the star's facts bucketed by customer and snapshot."""
     tables, root = mart_tables(spark, d), staging_path(spark, "bucketed")
-    for name in ("fact_financials", "fact_loan", "fact_customer_loan_type"):
-        table_name = f"{name}_{root[-32:]}"
-        tables[name] = bucketed.write_bucketed(tables[name], table_name, f"{root}/{name}", gold.BY_SNAPSHOT, BUCKETS)
-    return tables
+    facts = ("fact_financials", "fact_loan", "fact_customer_loan_type")
+    buckets = bucketed.buckets_for([tables[name] for name in facts], BUCKETS)
+
+    def write(name: str) -> DataFrame:
+        return bucketed.write_bucketed(tables[name], f"{name}_{root[-32:]}", f"{root}/{name}", gold.BY_SNAPSHOT, buckets)
+
+    with loading(spark), ThreadPoolExecutor(len(facts)) as pool:
+        return tables | dict(zip(facts, pool.map(inheritable_thread_target(spark)(write), facts)))
 
 
 def star_bucketed(spark: SparkSession, d: str) -> DataFrame:
