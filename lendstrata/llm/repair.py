@@ -28,18 +28,30 @@ PAIRS, LEAST = 3500, RULE_BYTES // SAVED_BYTES + 1
 #: saves by pairs that occur ``LEAST`` times in a shard of a million ids.
 GAIN = 0.003
 _MIX, _SLOTS = np.uint64(0x9E3779B97F4A7C15), 18
+#: Slots that are looked into for each pair that is replaced, before more of them are needed.
+WIDER = 2
 
 
 def _slots(keys: np.ndarray) -> np.ndarray:
-    return (keys * _MIX) >> np.uint64(64 - _SLOTS)
-
-
-def _frequent(keys: np.ndarray) -> np.ndarray:
-    """The most frequent keys, most frequent first, equal counts in order of the key."""
-    ordered = np.sort(keys)
-    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    counts = np.diff(np.append(starts, len(ordered)))
-    often = np.flatnonzero(counts >= LEAST)
+    return ((keys * _MIX) >> np.uint64(64 - _SLOTS)).view(np.int64)
+
+
+def _frequent(keys: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The most frequent keys, most frequent first, equal counts in order of the key.
+
+    A slot counts at least as much as each of its keys, so only keys of the fullest slots are
+    sorted. None of the others belongs here if enough of those reach the count of their slots."""
+    full = np.bincount(slots, minlength=1 << _SLOTS)
+    least = int(np.partition(full, -WIDER * PAIRS)[-WIDER * PAIRS])
+    while True:
+        least = max(least, LEAST)
+        ordered = np.sort(keys[(full >= least)[slots]])
+        starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[: len(ordered)])
+        counts = np.diff(np.append(starts, len(ordered)))
+        often = np.flatnonzero(counts >= least)
+        if len(often) >= PAIRS or least == LEAST:
+            break
+        least = least * 3 // 4
     best = often[np.argsort(-counts[often], kind="stable")][:PAIRS]
     return ordered[starts[best]]
 
@@ -75,14 +87,15 @@ def compress(ids: np.ndarray, terminals: int) -> bytes:
     best = (size(), seq, 0)
     while len(seq) > 1:
         keys = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        chosen = _frequent(keys)
+        slots = _slots(keys)
+        chosen = _frequent(keys, slots)
         if not len(chosen):
             break
         # where chosen pairs are, by a table of hashes; of pairs that share a slot the most
         # frequent has it, the others wait for another round
         table = np.full(1 << _SLOTS, -1, dtype=np.int16)
         table[_slots(chosen[::-1])] = np.arange(len(chosen), dtype=np.int16)[::-1]
-        rank = table[_slots(keys)]
+        rank = table[slots]
         at = np.flatnonzero(rank >= 0)
         rank = rank[at]
         exact = chosen[rank] == keys[at]

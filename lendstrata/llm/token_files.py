@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .byte_bpe import cut, encoder
+from .byte_bpe import encoder
 from .repair import Shard, compress
 from .units import gather, slices, sums
 
@@ -59,7 +59,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = 0,
             return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, _ARROW)], schema=_ARROW)
 
         for batch, texts in slices(batches, SLICE_BYTES):
-            units, codes, bounds = cut(texts)
+            units, codes, bounds = known.cut(texts)
             flat, starts, lengths = known.units(units)
             # the end id is one more unit, after the last of each document
             starts = np.append(starts, len(flat))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import collections
+import itertools
 import math
 import random
 import zlib
@@ -11,7 +13,7 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 from public_tokenizers import path
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 from lendstrata.llm import byte_bpe, repair, sentencepieces, token_counts, token_files, units
 from lendstrata.llm.queries import op4_token_files, op8_token_counts
@@ -43,6 +45,73 @@ def test_units_give_the_ids_of_the_library(library):
         assert ids[ends[n] : ends[n + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+#: One character of each kind that the pre-tokenizer's pattern or the cut tells apart.
+KINDS = [*" \n\x85\u3000aSt1.'-é×ÿ你½\u0301\x00’<", "<|endoftext|>"]
+
+
+def check_cut(known: byte_bpe.Encoder, library, texts: list[str]) -> None:
+    units_, codes, bounds = known.cut(pa.array(texts, pa.large_string()))
+    flat, starts, lengths = known.units(units_)
+    ids = units.gather(flat, starts, lengths, codes)
+    ends = np.concatenate([[0], np.cumsum(units.sums(lengths[codes], bounds))])
+    for n, text in enumerate(texts):
+        assert "".join(units_.take(pa.array(codes[bounds[n] : bounds[n + 1]])).to_pylist()) == text
+        assert ids[ends[n] : ends[n + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_units_inside_words_give_the_ids_of_the_library(library):
+    known = byte_bpe.Encoder(BPE)
+    assert known.known_pattern
+    check_cut(known, library, ["".join(p) for n in (1, 2, 3) for p in itertools.product(KINDS, repeat=n)])
+    check_cut(known, library, strings(2000, [*ALPHABET, *KINDS, "'ll", "'ve", "|>", "<|"], seed=3))
+    check_cut(known, library, strings(1000, list(map(chr, range(0x250))), seed=4))
+    check_cut(known, library, [])
+    some = pa.array(["not this", "a b.", "", "c  d\n"], pa.large_string()).slice(1)
+    units_, codes, bounds = known.cut(some)
+    parts = units_.take(pa.array(codes)).to_pylist()
+    assert [parts[i:j] for i, j in zip(bounds, bounds[1:])] == [["a", " b", "."], [], ["c", " ", " d", "\n"]]
+
+
+def test_words_are_encoded_once_whatever_stands_beside_them():
+    known, given = byte_bpe.Encoder(BPE), []
+
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    words = ["".join(random.Random(n).choices("abcdefghijkl", k=12)) for n in range(500)]
+    text = "".join(f" {w}{mark}\n{w}" for w in words for mark in (".", ",", ";", "?!", ")", "1"))
+    texts = pa.array([text], pa.large_string())
+    known.tokenizer = Counted(known.tokenizer)
+    known.units(known.cut(texts)[0])
+    # each word after a space and after a line end, in place of each with every mark
+    assert sum(map(len, given)) < 30 * len(words) < len(text) / 5
+
+
+@pytest.mark.parametrize("spans", ["none", "one"])
+def test_units_that_cannot_be_told_apart_are_encoded_alone(library, spans):
+    known = byte_bpe.Encoder(BPE)
+    known.spans[slice(None) if spans == "none" else library.encode(" the").ids] = 0
+    check_cut(known, library, strings(1500, ALPHABET, seed=5) + [" the end", "the"])
+
+
+def test_another_pattern_is_cut_at_white_space_only(library, tmp_path):
+    other = Tokenizer.from_file(BPE)
+    split = pre_tokenizers.Split(Regex(r"\S?\p{L}+|\s|[^\p{L}\s]+"), "isolated")
+    other.pre_tokenizer = pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    other.save(str(tmp_path / "other.json"))
+    known = byte_bpe.Encoder(str(tmp_path / "other.json"))
+    assert not known.known_pattern
+    units_, codes, _ = known.cut(pa.array(["a.b c,d"], pa.large_string()))
+    assert units_.take(pa.array(codes)).to_pylist() == ["a.b", " c,d"]
+    given = ["...", "b", " c", "\nd", " ", ".b"]
+    assert [np.frombuffer(x, "<u2").tolist() for x in known.encode(given)] == [other.encode(u, add_special_tokens=False).ids for u in given]
+
+
 @pytest.mark.parametrize("given", [[], ["abc"], ["abc", " d", "e", " f\n", " g", ""], [" a", " b", "\n", " "]])
 def test_units_are_encoded_one_by_one(library, given):
     want = [library.encode(u, add_special_tokens=False).ids for u in given]
@@ -151,6 +220,31 @@ def test_repair_replaces_all_pairs_that_pay():
     assert len(repair.compress(draw.integers(0, 60_000, 5000), 60_000)) <= 2 * 5000 + repair.HEADER.size
 
 
+def most_frequent(keys: np.ndarray) -> list[int]:
+    counts = collections.Counter(keys.tolist())
+    often = sorted((k for k, n in counts.items() if n >= repair.LEAST), key=lambda k: (-counts[k], k))
+    return often[: repair.PAIRS]
+
+
+@pytest.mark.parametrize("values, n", [(1, 5), (1, 50), (900, 40_000), (6000, 60_000), (50_000, 300_000), (400_000, 400_000)])
+def test_repair_finds_the_most_frequent_pairs(values, n):
+    draw = np.random.default_rng(values)
+    for keys in (draw.integers(0, values, n), np.minimum(draw.zipf(1.2, n), 1 << 40)):
+        keys = keys.astype(np.uint64) << np.uint64(20)
+        assert repair._frequent(keys, repair._slots(keys)).tolist() == most_frequent(keys)
+    # where all keys share one slot, or few
+    assert repair._frequent(keys, np.zeros(n, dtype=np.int64)).tolist() == most_frequent(keys)
+
+
+def test_repair_sorts_pairs_that_may_be_frequent_only(monkeypatch):
+    draw = np.random.default_rng(6)
+    ids = np.concatenate([draw.integers(0, 60_000, 200_000), np.tile(draw.integers(0, 60_000, 500), 40)])
+    sizes, sort = [], np.sort
+    monkeypatch.setattr(repair.np, "sort", lambda keys: sizes.append(len(keys)) or sort(keys))
+    shard = repair.Shard(repair.compress(ids, 60_000))
+    assert sizes and max(sizes) < len(ids) / 2 and (shard.ids() == ids).all()
+
+
 def test_repair_expands_the_needed_symbols_only(monkeypatch):
     ids = np.tile(np.arange(1000), 500)
     shard, asked = repair.Shard(repair.compress(ids, 60_000)), []
