@@ -126,6 +126,14 @@ def test_all_links_once(spark, distance):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_keys_of_fingerprints_are_not_broadcast(spark):
+    """64 keys come of each, which the sizes that Spark goes by leave out."""
+    found = simhash.links(spark.range(10_000).select(F.xxhash64("id").alias("fp")), 4)
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_blocks_of_a_long_text_give_the_same_fingerprint(monkeypatch):
     from lendstrata.llm import common
 
