@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lendstrata.llm import language, mixing, pii, quality, secret_scan
+from lendstrata.llm import language, mixing, pii, quality, secret_scan, simhash
 from lendstrata.llm.common import stage, word_count, words
 from lendstrata.llm.queries import PSEUDONYM_KEY, op3_language, op10_secrets
 
@@ -472,6 +472,19 @@ def test_stages_take_awkward_rows(spark):
         assert corpus_pipeline.STAGES[-1][1](spark, table, "").count() == table.count()
 
 
+def test_no_stage_broadcasts_the_keys_of_fingerprints(spark, monkeypatch):
+    plans, links = [], simhash.links
+
+    def noted(fps, distance):
+        found = links(fps, distance)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(simhash, "links", noted)
+    assert corpus_pipeline.near_duplicates(spark, sample(spark), "").count() > 0
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_stages_are_named_in_order():
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == [
         "quality_rules",
