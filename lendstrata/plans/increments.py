@@ -11,7 +11,7 @@ noted after its table is published, so a run that dies is simply run again.
   contribute each value. New snapshots only add values; after a snapshot was replaced or
   withdrawn, the stored counts of all snapshots are merged.
 * The star's base, its joined but still folded rows, is kept by snapshot. A snapshot is joined
-  again when one of its facts changed, or when customers changed that have financials in it.
+  again when one of its facts changed; of the others, the rows of customers that changed.
 * Fences come from quantile sketches of the base's snapshots, merged; no history is read for
   them. When fences or the least balance move, all snapshots of the star follow, without joins,
   from the base. With ``keep_parameters`` those of the run before stay in force, and only
@@ -43,9 +43,12 @@ from lendstrata.plans.medallion import (
 from lendstrata.session import loading
 from lendstrata.sources import files, published
 from lendstrata.sources.specs import LINEAGE, LOAD_DATE, SNAPSHOT
+from lendstrata.sources.staging import stage, stage_all
 
 STAR, BASE, LABELS = "loan_analytics_star", "star_base", "label_store"
 STAR_FACTS = ("fact_financials", "fact_loan", "fact_customer_loan_type")
+#: Changed customers up to so many are broadcast to find their rows.
+FEW_CUSTOMERS = 250_000
 CLEANED = {
     "loans": "lms_loan_daily",
     "attributes": "features_attributes",
@@ -219,6 +222,23 @@ def _changed_customers(spark: SparkSession, layout: Layout, before: str | None)
     return differ.select("customer_id").distinct()
 
 
+def _joined_for(
+    tables: dict[str, DataFrame], base: DataFrame, dates: list[date], theirs: list[date], ids: DataFrame, grain: str
+) -> DataFrame:
+    """The base's rows of ``dates``, whose facts changed, and of ``theirs``, where customers did:
+    there only the rows of the customers ``ids`` are joined again, as every row is one customer's,
+    and the others stay as they are. Their facts are staged, as rows of scans are numbered alike
+    whenever they are read."""
+    keys = {"fact_loan": ["loan_id", *gold.BY_SNAPSHOT], "fact_customer_loan_type": gold.BY_SNAPSHOT}
+    facts = {name: tables[name].select(*keys.get(name, tables[name].columns)) for name in STAR_FACTS}
+    own = stage_all(
+        **{n: files.slice_snapshots(f, theirs).join(ids, "customer_id", "left_semi").select(*f.columns) for n, f in facts.items()}
+    )
+    again = {name: files.slice_snapshots(f, dates).unionByName(own[name]) for name, f in facts.items()}
+    stay = files.slice_snapshots(base, theirs).join(ids, "customer_id", "left_anti")
+    return gold.star_base(tables | again, grain).unionByName(stay)
+
+
 def update_base(spark: SparkSession, config: RunConfig) -> Delta:
     """Join again the snapshots of the star's base that are no longer what the mart gives."""
     layout = config.layout
@@ -233,17 +253,29 @@ def update_base(spark: SparkSession, config: RunConfig) -> Delta:
         for name in STAR_FACTS
     }
     dates = {d for each in found.values() for d in each.touched}
+    ids, theirs = None, set()
     if not again and note["customers"] != customers:
         ids = _changed_customers(spark, layout, note["customers"])
+        if ids is not None:
+            ids = stage(ids, "changed-customers")
+            # their zipped file says little of the room that they take at the driver
+            ids = ids.hint("broadcast" if ids.count() <= FEW_CUSTOMERS else "merge")
         financials = published.read(spark, layout.mart("fact_financials")).select("customer_id", SNAPSHOT)
         hit = financials if ids is None else financials.join(ids, "customer_id", "left_semi")
-        dates |= {r[0] for r in hit.select(SNAPSHOT).distinct().collect()}
+        theirs = {r[0] for r in hit.select(SNAPSHOT).distinct().collect()} - dates
+        if ids is None:
+            dates, theirs = dates | theirs, set()
     if again:
         dates |= set(published.partition_tokens(spark, path)) if published.is_published(spark, path) else set()
-    if dates or again:
+    if dates or theirs or again:
         tables = {name: published.read(spark, layout.mart(name)) for name in (*STAR_FACTS, "dim_customer")}
-        tables |= {name: files.slice_snapshots(tables[name], sorted(dates)) for name in STAR_FACTS}
-        published.publish(gold.star_base(tables, config.star.grain), path, replaces=dates)
+        if theirs:
+            made = _joined_for(tables, published.read(spark, path), sorted(dates), sorted(theirs), ids, config.star.grain)
+        else:
+            tables |= {name: files.slice_snapshots(tables[name], sorted(dates)) for name in STAR_FACTS}
+            made = gold.star_base(tables, config.star.grain)
+        dates |= theirs
+        published.publish(made, path, replaces=dates)
         base = files.slice_snapshots(published.read(spark, path), sorted(dates))
         columns = [c for c in config.star.outlier_columns if c in base.columns]
         summed = sketches.quantile_sketches(base, columns, [SNAPSHOT], weight="_copies")

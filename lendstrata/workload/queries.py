@@ -604,8 +604,8 @@ MONTHS_LATER = 120
 
 
 def _delivered(spark: SparkSession, d: str) -> tuple[medallion.Layout, date, date, date]:
-    """All rows of the four sources as CSV, the first and last of their snapshots, and the month
-    three before the first source ends."""
+    """All rows of the four sources as CSV, the first and last of their snapshots as seen while
+    they are written, and the month three before the first source ends."""
     root = staging_path(spark, "run")
     layout = medallion.Layout(f"{root}/raw", f"{root}/lake")
     later = F.add_months(SNAPSHOT, MONTHS_LATER)
@@ -615,9 +615,11 @@ def _delivered(spark: SparkSession, d: str) -> tuple[medallion.Layout, date, dat
         "features_attributes": inputs.raw_attributes(spark, d).withColumn(SNAPSHOT, later),
         "feature_clickstream": inputs.raw_clickstream(spark, d, inputs.CLICK_MONTH),
     }
-    spans = [df.agg(F.min(SNAPSHOT).alias("low"), F.max(SNAPSHOT).alias("high")) for df in sources.values()]
-    span = reduce(DataFrame.union, spans).agg(F.min("low"), F.max("high"), F.add_months(F.min("high"), -3)).first()
-    write_side_by_side(spark, sources, layout.raw)
+    spans = {name: Observation(f"span_{name}") for name in sources}
+    ends = [F.min(SNAPSHOT).alias("low"), F.max(SNAPSHOT).alias("high")]
+    write_side_by_side(spark, {name: df.observe(spans[name], *ends) for name, df in sources.items()}, layout.raw)
+    found = spark.createDataFrame([(s.get["low"], s.get["high"]) for s in spans.values()], "low date, high date")
+    span = found.agg(F.min("low"), F.max("high"), F.add_months(F.min("high"), -3)).first()
     return layout, *span
 
 

@@ -131,6 +131,35 @@ def test_changed_customers_reach_old_months_of_the_star(spark, layout):
     assert len(written["loan_analytics_star"]) > 1 and written["dim_customer"] == []
 
 
+@pytest.mark.parametrize("few", [0, 250_000])
+def test_only_rows_of_changed_customers_are_joined_again(spark, layout, monkeypatch, few):
+    seen, star_base = [], gold.star_base
+
+    def noted(tables, grain):
+        seen.append({name: tables[name] for name in FACTS})
+        return star_base(tables, grain)
+
+    def renamed(name, df):
+        if name != "features_attributes":
+            return df
+        return df.withColumn("Name", F.when(F.col("snapshot_date") == F.lit(END), F.lit("Another")).otherwise(F.col("Name")))
+
+    deliver(spark, layout, END, renamed)
+    monkeypatch.setattr(increments, "FEW_CUSTOMERS", few)
+    monkeypatch.setattr(gold, "star_base", noted)
+    before = rows(published.read(spark, layout.mart("dim_customer")))
+    increments.advance(spark, config(layout, END))
+    changed = {r[0] for r in rows(published.read(spark, layout.mart("dim_customer"))) - before}
+    assert len(seen) == 1 and changed
+    every = {name: published.read(spark, layout.mart(name)) for name in FACTS}
+    for name in FACTS:
+        want = every[name].where((F.col("snapshot_date") == END) | F.col("customer_id").isin(list(changed))).select(*gold.BY_SNAPSHOT)
+        got = seen[0][name].select(*gold.BY_SNAPSHOT)
+        assert rows(got) == rows(want) and got.count() < every[name].count(), name
+    monkeypatch.setattr(gold, "star_base", star_base)
+    assert tables(spark, layout) == whole_run(spark, layout, END)
+
+
 def test_reload_takes_in_what_differs(spark, layout):
     star = tokens(spark, layout, "loan_analytics_star")
     assert increments.advance(spark, config(layout, CUT, reload=True)) == {}
